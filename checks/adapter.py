@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from loanshift.functions import scalars, states
 from loanshift.operators import clean, lookups, panel
+from loanshift.operators.ordered import HOT_ROWS
+from loanshift.plans.build import Series, build_panel
 from loanshift.session import materialize
 
 # Vintage edges and sampling shares that suit the test years.
@@ -161,24 +163,37 @@ def spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _prepare(spark, sf_dir, "spread", build)
 
 
-def dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The six series a panel build needs, by argument name."""
-    return {
-        "zip_index": price_index(spark, sf_dir, "zip"),
-        "state_index": price_index(spark, sf_dir, "state"),
-        "rates": monthly_rates(spark, sf_dir),
-        "metro_unemployment": unemployment(spark, sf_dir, "metro"),
-        "state_unemployment": unemployment(spark, sf_dir, "state"),
-        "judicial": judicial(spark, sf_dir),
-        "spread": spread(spark, sf_dir),
-    }
+def dimensions(spark: SparkSession, sf_dir: str) -> Series:
+    return Series(
+        zip_index=price_index(spark, sf_dir, "zip"),
+        state_index=price_index(spark, sf_dir, "state"),
+        rates=monthly_rates(spark, sf_dir),
+        metro_unemployment=unemployment(spark, sf_dir, "metro"),
+        state_unemployment=unemployment(spark, sf_dir, "state"),
+        judicial=judicial(spark, sf_dir),
+        spread=spread(spark, sf_dir),
+    )
+
+
+def built(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full panel over all records."""
+    return build_panel(
+        records(spark, sf_dir), dimensions(spark, sf_dir), TEST_EDGES, count_from=loan_rows(spark, sf_dir)
+    )
+
+
+def loan_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loan key of every record: the cheap table to count loans in."""
+    return table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("Loan_ID"))
+
+
+def history(spark: SparkSession, sf_dir: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    return panel.add_history(panel.encode(records(spark, sf_dir)), hot_rows, loan_rows(spark, sf_dir))
 
 
-def observed(spark: SparkSession, sf_dir: str, hot_rows: int | None = None) -> DataFrame:
+def observed(spark: SparkSession, sf_dir: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """All records through status and history to observed transitions, nothing excluded before."""
-    extra = {} if hot_rows is None else {"hot_rows": hot_rows}
-    history = panel.add_history(panel.encode(records(spark, sf_dir)), **extra)
-    return panel.keep_observed(history, require_balance=False)
+    return panel.keep_observed(history(spark, sf_dir, hot_rows), require_balance=False)
 
 
 def transitions(spark: SparkSession, sf_dir: str) -> DataFrame:

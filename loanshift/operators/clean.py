@@ -76,7 +76,12 @@ def complete_cases(df: DataFrame) -> DataFrame:
 
 def clean(df: DataFrame, impute_by: list[str] | None = None) -> DataFrame:
     """Recode, exclude, drop filter-only columns, fill. Runs before any window,
-    so a removed month is skipped when looking for the next record."""
+    so a removed month is skipped when looking for the next record.
+
+    Empty rows need no filter here: every record carries its file's Time_Stamp.
+    (One predicate over all columns would also make Catalyst's constraint
+    propagation explode in the projections that follow.)
+    """
     out = recode_program_flag(df).transform(exclude_adjustable).transform(exclude_modified)
-    out = out.drop(*FILTER_ONLY).transform(drop_empty_rows).transform(fill_constants)
+    out = out.drop(*FILTER_ONLY).transform(fill_constants)
     return impute_mean(out, by=impute_by)

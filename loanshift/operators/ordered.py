@@ -38,13 +38,22 @@ class Scan:
         return names + ([self.position] if self.position else [])
 
 
-def scan(df: DataFrame, key: list[str], order: list[Column], what: Scan, hot_rows: int = HOT_ROWS) -> DataFrame:
+def scan(
+    df: DataFrame,
+    key: list[str],
+    order: list[Column],
+    what: Scan,
+    hot_rows: int = HOT_ROWS,
+    count_from: DataFrame | None = None,
+) -> DataFrame:
     """Add ``what`` to ``df``, computed per ``key`` in ``order``.
 
     ``order`` must be unique within a key. ``position`` is 0-based; ``fill`` is
     the last non-null value at or before the row; running columns skip nulls.
+    ``count_from`` is a cheaper table to count keys in, with the key columns and
+    at least as many rows per key as ``df`` (a stored table before joins, say).
     """
-    sizes = df.groupBy(*key).agg(F.count("*").alias("_n"))
+    sizes = (df if count_from is None else count_from).groupBy(*key).agg(F.count("*").alias("_n"))
     total, largest = sizes.agg(F.sum("_n"), F.max("_n")).first()
     if (largest or 0) <= hot_rows:
         return _window_scan(df, key, order, what)

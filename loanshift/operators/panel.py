@@ -29,7 +29,7 @@ def encode(df: DataFrame, credit_event_as_default: bool = False) -> DataFrame:
     return out
 
 
-def add_history(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def add_history(df: DataFrame, hot_rows: int = HOT_ROWS, count_from: DataFrame | None = None) -> DataFrame:
     """Next status, running worst status, record number, filled remaining term.
 
     All four share one partitioning and one sort. The running worst status is
@@ -42,7 +42,7 @@ def add_history(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         fill=fills,
         position="Cum_Count",
     )
-    out = scan(df, [KEY], panel_order(df), what, hot_rows)
+    out = scan(df, [KEY], panel_order(df), what, hot_rows, count_from)
     out = out.withColumn(
         "Cum_Max_Status", F.when(F.col("Current_Status").isNotNull(), F.col("Cum_Max_Status"))
     )
@@ -79,15 +79,17 @@ def dropped_jumps(df: DataFrame) -> DataFrame:
     )
 
 
-def imputed_balance(df: DataFrame, hot_rows: int = HOT_ROWS, round_payment: bool = False) -> DataFrame:
+def imputed_balance(
+    df: DataFrame, hot_rows: int = HOT_ROWS, round_payment: bool = False, count_from: DataFrame | None = None
+) -> DataFrame:
     """Replace zero balances by the scheduled balance.
 
     Each run of zero months starts again from the original balance, so the
     number of payments is the record's position in its run.
     """
-    out = scan(df, [KEY], panel_order(df), Scan(position="_at"), hot_rows)
+    out = scan(df, [KEY], panel_order(df), Scan(position="_at"), hot_rows, count_from)
     out = out.withColumn("_paid_at", F.when(~F.col("Curr_UPB").eqNullSafe(0.0), F.col("_at")))
-    out = scan(out, [KEY], panel_order(df), Scan(fill={"_before": "_paid_at"}), hot_rows)
+    out = scan(out, [KEY], panel_order(df), Scan(fill={"_before": "_paid_at"}), hot_rows, count_from)
     in_run = F.col("_at") - F.coalesce(F.col("_before"), F.lit(-1))
     scheduled = scalars.amortized_balance(
         F.col("Orig_UPB"), F.col("Orig_Rate"), F.col("Orig_Term"), in_run.cast("double"), round_payment
