@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanshift.functions import scalars, states
-from loanshift.operators import clean, lookups, panel
+from loanshift.operators import clean, lookups, metrics, panel
 from loanshift.operators.ordered import HOT_ROWS
 from loanshift.plans.build import Series, build_panel
 from loanshift.session import materialize
@@ -205,7 +205,7 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A fixed score per transition and target state: (Loan_ID, Seq, Act_Period, cur, truth, target, raw).
+    """A fixed score per transition and reachable state: (Loan_ID, Seq, cur, truth, target, raw).
 
     A hash draw plus a bonus on the true class, so metrics see some signal.
     """
@@ -215,24 +215,44 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         "Loan_ID", "Seq", F.col("Current_Status").alias("cur"), F.col("Next_Status").alias("truth"),
         targets.alias("target"),
     ).where(states.is_legal(F.col("cur"), F.col("target")))
-    draw = scalars.uniform_int([F.col("Loan_ID"), F.col("Seq"), F.col("target")], 7) % 1000
-    return long.withColumn(
-        "raw", (draw + 1 + F.when(F.col("truth") == F.col("target"), 400).otherwise(0)).cast("double") / 1400
+    return long.withColumn("raw", _score(F.col("truth"), F.col("target")))
+
+
+def _score(truth, target):
+    draw = scalars.uniform_int([F.col("Loan_ID"), F.col("Seq"), target], 7) % 1000
+    return (draw + 1 + F.when(truth == target, 400).otherwise(0)).cast("double")
+
+
+def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same scores normalised per record and melted: (..., target, p, y), no shuffle."""
+    rows = transitions(spark, sf_dir).withColumnsRenamed({"Current_Status": "cur", "Next_Status": "truth"})
+    names = {s: f"p_{s}" for s in states.STATES}
+    wide = rows.withColumns(
+        {
+            name: F.when(states.is_legal(F.col("cur"), F.lit(s)), _score(F.col("truth"), F.lit(s))).otherwise(0.0)
+            for s, name in names.items()
+        }
+    )
+    wide = metrics.normalize_wide(wide, list(names.values()))
+    return metrics.melt_scores(wide, names, ["Loan_ID", "Seq", "cur", "truth"]).where(
+        states.is_legal(F.col("cur"), F.col("target"))
     )
 
 
-def matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A one-month matrix per loan in long form (Loan_ID, cur, nxt, p): hash weights on the legal moves."""
+def matrix_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A one-month matrix per loan, long form (Loan_ID, cur, nxt, p): hash weights on the legal moves."""
     loans = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("Loan_ID"))
-    pairs = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(c).alias("cur"), F.lit(n).alias("nxt"))
-                for c in states.LIVE_STATES
-                for n in states.targets_of(c)
-            ]
-        )
-    )
-    long = loans.select("Loan_ID", pairs.alias("pair")).select("Loan_ID", "pair.cur", "pair.nxt")
-    draw = scalars.uniform_int([F.col("Loan_ID"), F.col("cur"), F.col("nxt")], 11) % 97
-    return long.withColumn("raw", (draw + 1).cast("double"))
+    out = loans
+    for c in states.LIVE_STATES:
+        weights = {n: _weight(c, n) for n in states.targets_of(c)}
+        total = sum(list(weights.values())[1:], list(weights.values())[0])
+        out = out.withColumn(f"_t{c}", total)
+        cells = [F.struct(F.lit(c).alias("cur"), F.lit(n).alias("nxt"), (w / F.col(f"_t{c}")).alias("p")) for n, w in weights.items()]
+        out = out.withColumn(f"_r{c}", F.array(*cells))
+    cells = F.explode(F.concat(*[f"_r{c}" for c in states.LIVE_STATES]))
+    return out.select("Loan_ID", cells.alias("cell")).select("Loan_ID", "cell.*")
+
+
+def _weight(current: int, following: int):
+    key = [F.col("Loan_ID"), F.lit(current), F.lit(following)]
+    return (scalars.uniform_int(key, 11) % 97 + 1).cast("double")

@@ -27,6 +27,13 @@ def normalize_wide(scored: DataFrame, columns: list[str]) -> DataFrame:
     return out.withColumns({c: F.try_divide(F.col(c), F.col("_sum")) for c in columns}).drop("_sum")
 
 
+def melt_scores(scored: DataFrame, columns: dict, keep: list[str], truth: str = "truth") -> DataFrame:
+    """One probability column per class to rows (keep..., target, p, y)."""
+    cells = [F.struct(F.lit(label).alias("target"), F.col(f"`{c}`").alias("p")) for label, c in columns.items()]
+    long = scored.select(*keep, F.explode(F.array(*cells)).alias("_c")).select(*keep, "_c.*")
+    return long.withColumn("y", (F.col(truth) == F.col("target")).cast("int"))
+
+
 def score_counts(scored: DataFrame, by: list[str], round_to: int | None = None) -> DataFrame:
     """Positives and negatives per distinct score; ``round_to`` merges near-equal scores."""
     p = F.col("p") if round_to is None else F.round("p", round_to)
@@ -42,9 +49,9 @@ def roc_points(
     # Written out: it is counted, scanned and totalled, and scoring may be costly.
     counts = materialize(score_counts(scored, by, round_to))
     curve = scan(counts, by, [F.col("p").desc()], Scan(running_sum={"tp": "pos", "fp": "neg"}), hot_rows)
-    totals = counts.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    totals = counts.groupBy(*by).agg(F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"))
     return curve.join(totals, by).withColumns(
-        {"tpr": F.try_divide(F.col("tp"), F.col("P")), "fpr": F.try_divide(F.col("fp"), F.col("N"))}
+        {"tpr": F.try_divide(F.col("tp"), F.col("positives")), "fpr": F.try_divide(F.col("fp"), F.col("negatives"))}
     )
 
 
@@ -54,14 +61,14 @@ def curve_areas(points: DataFrame, by: list[str]) -> DataFrame:
     pairs = F.col("neg").cast(wide) * (2 * F.col("tp") - F.col("pos")).cast(wide)
     precision = F.col("tp") / (F.col("tp") + F.col("fp"))
     return (
-        points.groupBy(*by, "P", "N")
+        points.groupBy(*by, "positives", "negatives")
         .agg(F.sum(pairs.cast(wide)).cast("double").alias("_pairs"), F.sum(F.col("pos") * precision).alias("_ap"))
         .select(
             *by,
-            "P",
-            "N",
-            F.try_divide(F.col("_pairs"), 2.0 * F.col("P") * F.col("N")).alias("roc_auc"),
-            F.try_divide(F.col("_ap"), F.col("P")).alias("pr_auc"),
+            "positives",
+            "negatives",
+            F.try_divide(F.col("_pairs"), 2.0 * F.col("positives") * F.col("negatives")).alias("roc_auc"),
+            F.try_divide(F.col("_ap"), F.col("positives")).alias("pr_auc"),
         )
     )
 
@@ -71,7 +78,7 @@ def ovr_auc(areas: DataFrame, by: list[str]) -> DataFrame:
     usable = areas.where(F.col("roc_auc").isNotNull())
     return usable.groupBy(*by).agg(
         F.avg("roc_auc").alias("macro_auc"),
-        (F.sum(F.col("roc_auc") * F.col("P")) / F.sum("P")).alias("weighted_auc"),
+        (F.sum(F.col("roc_auc") * F.col("positives")) / F.sum("positives")).alias("weighted_auc"),
         F.count("*").alias("classes"),
     )
 
@@ -83,7 +90,7 @@ def threshold_metrics(scored: DataFrame, by: list[str], threshold: float = 0.5,
     loss = -F.when(F.col("y") == 1, F.log(p)).otherwise(F.log(1 - p))
     counted = scored.groupBy(*by).agg(
         F.count("*").alias("n"),
-        F.sum(F.col("y").cast("bigint")).alias("P"),
+        F.sum(F.col("y").cast("bigint")).alias("positives"),
         F.count_if(hit & (F.col("y") == 1)).alias("_tp"),
         F.count_if(hit).alias("_hits"),
         F.avg((F.col("p") - F.col("y")) * (F.col("p") - F.col("y"))).alias("brier"),
@@ -94,7 +101,13 @@ def threshold_metrics(scored: DataFrame, by: list[str], threshold: float = 0.5,
         return F.coalesce(F.try_divide(F.col(a), F.col(b)), F.lit(0.0))
 
     return counted.select(
-        *by, "n", "P", share("_tp", "_hits").alias("precision"), share("_tp", "P").alias("recall"), "brier", "log_loss"
+        *by,
+        "n",
+        "positives",
+        share("_tp", "_hits").alias("precision"),
+        share("_tp", "positives").alias("recall"),
+        "brier",
+        "log_loss",
     )
 
 
@@ -130,15 +143,14 @@ def confusion(df: DataFrame, truth: str = "truth", prediction: str = "prediction
 def class_report(cells: DataFrame, truth: str = "truth", prediction: str = "prediction") -> DataFrame:
     """Precision, recall, F1 and support per class, with accuracy, macro and
     weighted averages, from confusion counts (at most classes squared rows)."""
-    sides = cells.select(
-        F.explode(
-            F.array(
-                F.struct(F.col(truth).alias("label"), F.col("n").alias("support"), F.lit(0).cast("bigint").alias("hits")),
-                F.struct(F.col(prediction), F.lit(0).cast("bigint"), F.col("n")),
-            )
-        ).alias("s"),
-        F.when(F.col(truth) == F.col(prediction), F.col("n")).otherwise(0).alias("right"),
-    ).select("s.*", "right")
+    none = F.lit(0).cast("bigint")
+
+    def side(label, support, hits):
+        return F.struct(F.col(label).alias("label"), support.alias("support"), hits.alias("hits"))
+
+    both = F.array(side(truth, F.col("n"), none), side(prediction, none, F.col("n")))
+    correct = F.when(F.col(truth) == F.col(prediction), F.col("n")).otherwise(0)
+    sides = cells.select(F.explode(both).alias("s"), correct.alias("right")).select("s.*", "right")
     # A correct cell appears once per side, hence the halving.
     per = sides.groupBy("label").agg(
         F.sum("support").alias("support"), F.sum("hits").alias("hits"), (F.sum("right") / 2).alias("right")

@@ -30,14 +30,16 @@ def histogram(
     range are ignored. Empty bins are listed with 0."""
     long = melt(df, columns, "double")
     if value_range:
-        lo, hi = (F.lit(float(v)) for v in value_range)
-        edges = long.groupBy("column").agg(F.min(lo).alias("lo"), F.min(hi).alias("hi"))
+        lo, hi = (F.lit(float(v)).alias(n) for n, v in zip(("lo", "hi"), value_range))
+        names = F.explode(F.array(*[F.lit(c) for c in columns])).alias("column")
+        edges = df.sparkSession.range(1).select(names, lo, hi)
+        placed = long.select("*", lo, hi)
     else:
         low, high = F.min("value"), F.max("value")
         pad = F.when(low == high, F.lit(0.5)).otherwise(F.lit(0.0))
         edges = long.groupBy("column").agg((low - pad).alias("lo"), (high + pad).alias("hi"))
-    # One row per column name in the call.
-    placed = long.join(F.broadcast(edges), "column")
+        # One row per column name in the call.
+        placed = long.join(F.broadcast(edges), "column")
     step = (F.col("value") - F.col("lo")) * bins / (F.col("hi") - F.col("lo"))
     placed = placed.where(F.col("value").between(F.col("lo"), F.col("hi")))
     counts = placed.groupBy("column", F.least(F.floor(step), F.lit(bins - 1)).cast("int").alias("bin")).agg(
