@@ -185,9 +185,10 @@ def _walk_sql(months, paths, seed):
         mixed = counter
         for shift, factor in matrix.MIX_STEPS:
             mixed = f"xor({mixed}, {mixed} >> {shift})" if factor == 1 else f"((xor({mixed}, {mixed} >> {shift}) * {factor}) & {matrix.MASK32})"
+        passed = " + ".join(f"(c.upto[{i}] <= w.u * c.upto[9])::integer" for i in range(1, 9))
         steps.append(f"""
           step{month} as (
-            select w.Loan_ID, w.path, w.base, -1 + cast(list_sum(list_transform(c.upto[:8], x -> (x <= w.u * c.upto[9])::int)) as integer) as spot
+            select w.Loan_ID, w.path, w.base, -1 + {passed} as spot
             from (select Loan_ID, path, base, {before} as spot, {mixed} / 4294967296e0 as u from {source}) w
             join cumulative c on c.Loan_ID = w.Loan_ID and c.cur = w.spot)""")
     return f"""
