@@ -83,11 +83,12 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
 _prepared: dict[tuple, DataFrame] = {}
 
 
-def _prepare(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """Dimension tables are files in practice, so each is written once per session."""
+def prepare(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """A stored table several queries read, written once per session. Economic
+    series are files in practice; model rows are stored before training."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _prepared:
-        _prepared[key] = materialize(build().coalesce(1))
+        _prepared[key] = materialize(build())
     return _prepared[key]
 
 
@@ -111,7 +112,7 @@ def price_index(spark: SparkSession, sf_dir: str, level: str) -> DataFrame:
         ]
         return items.groupBy(*group).agg((_exact_sum("l_extendedprice") / F.count("*")).alias("HPI"))
 
-    return _prepare(spark, sf_dir, f"hpi_{level}", build)
+    return prepare(spark, sf_dir, f"hpi_{level}", build)
 
 
 def daily_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,7 +126,7 @@ def daily_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         )
 
-    return _prepare(spark, sf_dir, "rates", build)
+    return prepare(spark, sf_dir, "rates", build)
 
 
 def monthly_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,7 +146,7 @@ def unemployment(spark: SparkSession, sf_dir: str, level: str) -> DataFrame:
         share = F.count(F.when(F.col("o_orderstatus") == "F", 1)) / F.count("*")
         return held.groupBy(*group).agg((F.lit(100.0) * share).alias("URate"))
 
-    return _prepare(spark, sf_dir, f"urate_{level}", build)
+    return prepare(spark, sf_dir, f"urate_{level}", build)
 
 
 def judicial(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,7 +161,7 @@ def spread(spark: SparkSession, sf_dir: str) -> DataFrame:
         mean = _exact_sum("o_totalprice") / F.count("*")
         return table(spark, sf_dir, "orders").groupBy(*group).agg((mean / 100000 - 2).alias("Spread"))
 
-    return _prepare(spark, sf_dir, "spread", build)
+    return prepare(spark, sf_dir, "spread", build)
 
 
 def dimensions(spark: SparkSession, sf_dir: str) -> Series:

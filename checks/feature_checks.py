@@ -138,7 +138,7 @@ def record_counts(spark, sf):
 
 
 @query("""
-  select Loan_ID, Seq, cast(('0x' || substr(md5(concat_ws('|', Loan_ID, cast(Act_Period as varchar), Seq, '123')), 1, 8))::bigint
+  select Loan_ID, Seq, cast(('0x' || substr(md5(concat_ws('|', Loan_ID, cast(Act_Period as varchar), Seq, '321')), 1, 8))::bigint
                               * 5 // 4294967296 as integer) as fold from transitions""")
 def cv_folds(spark, sf):
     return sampling.with_fold(A.transitions(spark, sf)).select(*WHO, "fold")

@@ -15,6 +15,8 @@ from loanshift.functions.scalars import UNIFORM_RANGE, sampled, uniform_int
 STATE_FRACTIONS = {0: 0.0005, 1: 0.05, 2: 0.2, 3: 0.2, 4: 0.2, 5: 0.2, 6: 0.2}
 SAMPLE_SEED = 601
 SPLIT_SEED = 123
+# Differs from the split's, or folds of the training part would miss the draws the test part took.
+FOLD_SEED = 321
 ROW_KEY = ["Loan_ID", "Act_Period"]
 
 
@@ -48,7 +50,7 @@ def train_test(df: DataFrame, test_share: float = 0.2, seed: int = SPLIT_SEED, k
     return tuple(parts.where(F.col("split") == s).drop("split") for s in ("train", "test"))
 
 
-def with_fold(df: DataFrame, folds: int = 5, seed: int = SPLIT_SEED, key: list[str] | None = None) -> DataFrame:
+def with_fold(df: DataFrame, folds: int = 5, seed: int = FOLD_SEED, key: list[str] | None = None) -> DataFrame:
     """Add ``fold`` in [0, folds); hashing keeps each class spread over the folds."""
     draw = F.floor(uniform_int(_key(df, key), seed) * folds / UNIFORM_RANGE)
     return df.withColumn("fold", draw.cast("int"))

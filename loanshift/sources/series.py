@@ -5,10 +5,11 @@ Fetching itself is left to the host: this package reads files only.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanshift.functions import scalars
+from loanshift.operators.ordered import Scan, scan
 
 # Response shape and ids per request.
 RESPONSE_SCHEMA = (
@@ -42,9 +43,11 @@ def flatten_series(responses: DataFrame) -> DataFrame:
 def request_batches(codes: DataFrame, prefix: str, size: int = REQUEST_SIZE) -> DataFrame:
     """Series ids of area codes with the request each belongs to.
 
-    ``codes`` is one column of area codes: a few thousand rows, so the ordering
-    runs in one task.
+    ``codes`` is one column of distinct area codes.
     """
-    at = F.row_number().over(Window.orderBy("code")) - 1
-    ids = codes.select(scalars.series_id(prefix, F.col("code")).alias("series"), at.alias("_at"))
-    return ids.select("series", F.floor(F.col("_at") / size).cast("int").alias("request"))
+    listed = codes.select("code", F.lit(0).alias("_all"))
+    placed = scan(listed, ["_all"], [F.col("code").asc()], Scan(position="_at"))
+    return placed.select(
+        scalars.series_id(prefix, F.col("code")).alias("series"),
+        F.floor(F.col("_at") / size).cast("int").alias("request"),
+    )
