@@ -78,13 +78,17 @@ def pad_states(long: DataFrame, key: list[str]) -> DataFrame:
 
 
 def loan_matrices(long: DataFrame, key: str = "Loan_ID") -> DataFrame:
-    """1-month matrix per loan from (key, cur, nxt, p); -1 and 7 absorb."""
-    cells = [
-        F.coalesce(F.sum(F.when((F.col("cur") == c) & (F.col("nxt") == n), F.col("p"))), F.lit(0.0))
-        for c in LIVE_STATES
-        for n in STATES
-    ]
-    return long.groupBy(key).agg(F.array(*absorbing(PREPAID), *cells, *absorbing(DEFAULT)).alias("matrix"))
+    """1-month matrix per loan from (key, cur, nxt, p); -1 and 7 absorb.
+
+    Rows are summed into 9 slots per (loan, current state) first, so a loan
+    brings at most 7 values to its own group.
+    """
+    rows = pad_states(long.where(F.col("cur").isin(LIVE_STATES)), [key, "cur"])
+    by_state = F.map_from_entries(F.collect_list(F.struct("cur", "slots")))
+    zeros = F.array(*[F.lit(0.0) for _ in STATES])
+    live = [F.coalesce(F.try_element_at("_rows", F.lit(c)), zeros) for c in LIVE_STATES]
+    whole = F.concat(F.array(*absorbing(PREPAID)), *live, F.array(*absorbing(DEFAULT)))
+    return rows.groupBy(key).agg(by_state.alias("_rows")).select(key, whole.alias("matrix"))
 
 
 def absorbing(state: int) -> list[Column]:

@@ -165,15 +165,23 @@ def class_report(cells: DataFrame, truth: str = "truth", prediction: str = "pred
     f1 = share(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall"))
     per = per.withColumn("f1", f1)
     scores = ["precision", "recall", "f1"]
-    classes = per.select(F.col("label").cast("string").alias("label"), *scores, "support")
-    macro = per.agg(*[F.avg(s).alias(s) for s in scores], F.sum("support").alias("support"))
-    weighted = per.agg(
-        *[(F.sum(F.col(s) * F.col("support")) / F.sum("support")).alias(s) for s in scores],
-        F.sum("support").alias("support"),
+
+    def line(name, weight, values):
+        return F.struct(
+            name.alias("label"),
+            weight.cast("double").alias("weight"),
+            *[(v * weight).cast("double").alias(s) for s, v in zip(scores, values)],
+        )
+
+    # Every class feeds its own line and the three averages.
+    own = [F.col(s) for s in scores]
+    lines = F.array(
+        line(F.col("label").cast("string"), F.lit(1), own),
+        line(F.lit("macro avg"), F.lit(1), own),
+        line(F.lit("weighted avg"), F.col("support"), own),
+        line(F.lit("accuracy"), F.col("support"), [F.col("recall")] * 3),
+    )
+    spread = per.select("support", F.explode(lines).alias("l")).select("support", "l.*")
+    return spread.groupBy("label").agg(
+        *[share(F.sum(s), F.sum("weight")).alias(s) for s in scores], F.sum("support").alias("support")
     )
-    right = F.sum("right") / F.sum("support")
-    accuracy = per.agg(*[right.alias(s) for s in scores], F.sum("support").alias("support"))
-    out = classes
-    for name, row in (("accuracy", accuracy), ("macro avg", macro), ("weighted avg", weighted)):
-        out = out.unionByName(row.select(F.lit(name).alias("label"), *scores, "support"))
-    return out

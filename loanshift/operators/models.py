@@ -242,16 +242,18 @@ def forward_select(
     return [names[i] for i in chosen]
 
 
-def compare_models(train: DataFrame, candidates: dict, folds: int = 5, parallelism: int = 2) -> DataFrame:
+def compare_models(train: DataFrame, candidates: dict, folds: int = 5, parallelism: int = 4) -> DataFrame:
     """Cross-validated accuracy per candidate on the same folds."""
     judge = MulticlassClassificationEvaluator(metricName="accuracy")
-    rows = []
-    for name, estimator in candidates.items():
+
+    def accuracy(name: str) -> float:
         search = CrossValidator(
-            estimator=estimator, estimatorParamMaps=[{}], evaluator=judge, numFolds=folds, seed=FOREST_SEED,
-            parallelism=parallelism, **_folds(train),
+            estimator=candidates[name], estimatorParamMaps=[{}], evaluator=judge, numFolds=folds, seed=FOREST_SEED,
+            **_folds(train),
         )
-        rows.append((name, float(search.fit(train).avgMetrics[0])))
+        return float(search.fit(train).avgMetrics[0])
+
+    rows = list(_at_once(accuracy, list(candidates), parallelism).items())
     return train.sparkSession.createDataFrame(rows, "model string, accuracy double")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loanshift.functions.states import DEFAULT
 from loanshift.operators.ordered import HOT_ROWS
-from loanshift.operators.quantiles import quantiles
+from loanshift.operators.quantiles import quantiles, quantiles_of, value_counts
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
@@ -54,22 +54,19 @@ def histogram(
 def box_stats(df: DataFrame, column: str, group: Column | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Quartiles, whiskers (furthest values within 1.5 IQR) and outlier count, per group."""
     grouping = F.lit("all") if group is None else group
-    rows = df.select(grouping.alias("group"), F.col(column).cast("double").alias("value")).where(
-        F.col("value").isNotNull() & F.col("group").isNotNull()
-    )
-    quartiles = quantiles(rows, "value", QUARTILES, ["group"], hot_rows)
+    rows = df.select(grouping.alias("group"), F.col(column).alias("value")).where(F.col("group").isNotNull())
+    counts = value_counts(rows, "value", ["group"])
+    quartiles = quantiles_of(counts, QUARTILES, ["group"], hot_rows)
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
-    counted = rows.groupBy("group", "value").agg(F.count("*").alias("_n"))
     return (
-        counted.join(quartiles, "group")
-        .groupBy("group")
+        counts.join(quartiles, "group")
+        .groupBy("group", *QUARTILES)
         .agg(
-            F.sum("_n").alias("n"),
-            *[F.first(q).alias(q) for q in QUARTILES],
+            F.sum("n").alias("n"),
             F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
             F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
-            F.sum(F.when(inside, 0).otherwise(F.col("_n"))).alias("outliers"),
+            F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("outliers"),
         )
     )
 

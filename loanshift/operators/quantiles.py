@@ -10,30 +10,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanshift.operators.ordered import HOT_ROWS, Scan, scan
+from loanshift.session import materialize
 
 
-def quantiles(
-    df: DataFrame, value: str, probabilities: dict[str, float], by: list[str] | None = None, hot_rows: int = HOT_ROWS
+def value_counts(df: DataFrame, value: str, by: list[str] | None = None) -> DataFrame:
+    """Rows (by..., value, n) of distinct non-null values, written out: quantiles
+    count, order and total them, and the source may be costly."""
+    counted = df.where(F.col(value).isNotNull()).groupBy(*(by or []), F.col(value).cast("double").alias("value"))
+    return materialize(counted.agg(F.count("*").alias("n")))
+
+
+def quantiles_of(
+    counts: DataFrame, probabilities: dict[str, float], by: list[str] | None = None, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """One row per group with a column per named probability, linearly interpolated."""
     by = by or []
-    counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(F.lit(0).alias("_all"), *by, F.col(value).cast("double").alias("_v"))
-        .agg(F.count("*").alias("_n"))
-    )
     key = ["_all", *by]
-    ranked = scan(counts, key, [F.col("_v").asc()], Scan(running_sum={"_upto": "_n"}), hot_rows)
+    rows = counts.withColumn("_all", F.lit(0))
+    ranked = scan(rows, key, [F.col("value").asc()], Scan(running_sum={"_upto": "n"}), hot_rows)
     # One row per group: the totals side is as small as the number of groups.
-    totals = counts.groupBy(*[F.col(k).alias(f"_t_{k}") for k in key]).agg(F.sum("_n").alias("_total"))
+    totals = rows.groupBy(*[F.col(k).alias(f"_t_{k}") for k in key]).agg(F.sum("n").alias("_total"))
     match = F.lit(True)
     for k in key:
         match = match & F.col(k).eqNullSafe(F.col(f"_t_{k}"))
     placed = ranked.join(totals, match)
 
     def at(index: Column) -> Column:
-        inside = (F.col("_upto") - F.col("_n") <= index) & (index < F.col("_upto"))
-        return F.max(F.when(inside, F.col("_v")))
+        inside = (F.col("_upto") - F.col("n") <= index) & (index < F.col("_upto"))
+        return F.max(F.when(inside, F.col("value")))
 
     found, result = [F.max("_total").alias("_total")], {}
     for name, p in probabilities.items():
@@ -43,3 +47,9 @@ def quantiles(
         result[name] = lo + (hi - lo) * (rank - F.floor(rank))
     out = placed.groupBy(*key).agg(*found).withColumns(result)
     return out.select(*by, *probabilities)
+
+
+def quantiles(
+    df: DataFrame, value: str, probabilities: dict[str, float], by: list[str] | None = None, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    return quantiles_of(value_counts(df, value, by), probabilities, by, hot_rows)
