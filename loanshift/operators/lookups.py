@@ -34,9 +34,18 @@ def lookup(df: DataFrame, dim: DataFrame, on: dict[str, Column], take: dict[str,
 
     ``dim`` must be unique on the join columns (see ``unique_by``).
     """
-    side = dim.select(*[F.col(c).alias(f"_on_{c}") for c in on], *[F.col(s).alias(n) for n, s in take.items()])
-    match = [expression == F.col(f"_on_{c}") for c, expression in on.items()]
-    return df.join(side, match, "left").drop(*[f"_on_{c}" for c in on])
+    return _without_scratch(_join(df, dim, on, take))
+
+
+def _join(df: DataFrame, dim: DataFrame, on: dict[str, Column], take: dict[str, str]) -> DataFrame:
+    """``lookup`` leaving its scratch columns, so a chain of lookups drops them once."""
+    mark = "_on_" + "_".join(take)
+    side = dim.select(*[F.col(c).alias(f"{mark}_{c}") for c in on], *[F.col(s).alias(n) for n, s in take.items()])
+    return df.join(side, [expression == F.col(f"{mark}_{c}") for c, expression in on.items()], "left")
+
+
+def _without_scratch(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in df.columns if c.startswith("_")])
 
 
 def _quarter(date: str) -> dict[str, Column]:
@@ -62,35 +71,34 @@ def add_price_index(df: DataFrame, by_zip: DataFrame, by_state: DataFrame, level
     regions = unique_by(by_state, ["State", "Year", "Quarter"])
     out = df
     for date, name in (("Act_Period", "Curr"), ("Orig_Date", "Orig")):
-        out = lookup(out, zips, {"Zip": F.col("ZIP"), **_quarter(date)}, {f"_{name}_zip": "HPI"})
-        out = lookup(out, regions, {"State": F.col("State"), **_quarter(date)}, {f"_{name}_state": "HPI"})
+        out = _join(out, zips, {"Zip": F.col("ZIP"), **_quarter(date)}, {f"_{name}_zip": "HPI"})
+        out = _join(out, regions, {"State": F.col("State"), **_quarter(date)}, {f"_{name}_state": "HPI"})
     added = {f"{n}_HPI": F.coalesce(F.col(f"_{n}_zip"), F.col(f"_{n}_state")) for n in ("Curr", "Orig")}
     if levels:
         for n in ("Curr", "Orig"):
             level = F.when(F.col(f"_{n}_zip").isNotNull(), "ZIP").when(F.col(f"_{n}_state").isNotNull(), "State")
             added[f"{n}_HPI_Level"] = level
-    out = out.withColumns(added).drop("_Curr_zip", "_Curr_state", "_Orig_zip", "_Orig_state")
+    out = out.withColumns(added)
     out = out.withColumn("HPI_Adjust_Factor", scalars.index_ratio(F.col("Curr_HPI"), F.col("Orig_HPI")))
     marked = scalars.marked_ltv(F.col("Curr_UPB"), F.col("Orig_UPB"), F.col("OLTV"), F.col("HPI_Adjust_Factor"))
-    return out.withColumn("MTMLTV", marked)
+    return _without_scratch(out.withColumn("MTMLTV", marked))
 
 
 def add_rates(df: DataFrame, monthly: DataFrame) -> DataFrame:
     """Benchmark rate for the loan's term now, refinance incentive, and the
     spread of the loan's rate over the benchmark at origination."""
     rates = unique_by(monthly, ["Year", "Month"])
-    out = lookup(df, rates, _month("Act_Period"), {"_now30": "30_Year", "_now15": "15_Year"})
-    out = lookup(out, rates, _month("Orig_Date"), {"_orig30": "30_Year", "_orig15": "15_Year"})
+    out = _join(df, rates, _month("Act_Period"), {"_now30": "30_Year", "_now15": "15_Year"})
+    out = _join(out, rates, _month("Orig_Date"), {"_orig30": "30_Year", "_orig15": "15_Year"})
     is_30y = F.col("Orig_Term") == 360
-    out = out.withColumn("Benchmark_Rate", F.when(is_30y, F.col("_now30")).otherwise(F.col("_now15")))
+    now = F.when(is_30y, F.col("_now30")).otherwise(F.col("_now15"))
     at_origin = F.when(is_30y, F.col("_orig30")).otherwise(F.col("_orig15"))
-    out = out.withColumns(
-        {
-            "Refinance Indicator": scalars.refinance_incentive(F.col("Orig_Rate"), F.col("Benchmark_Rate")),
-            "SATO": F.col("Orig_Rate") - at_origin,
-        }
-    )
-    return out.drop("_now30", "_now15", "_orig30", "_orig15")
+    added = {
+        "Benchmark_Rate": now,
+        "Refinance Indicator": scalars.refinance_incentive(F.col("Orig_Rate"), now),
+        "SATO": F.col("Orig_Rate") - at_origin,
+    }
+    return _without_scratch(out.withColumns(added))
 
 
 def split_unemployment(combined: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -107,12 +115,11 @@ def add_unemployment(df: DataFrame, metro: DataFrame, state: DataFrame) -> DataF
     regions = unique_by(state, ["StateAbb", "Year", "Month"])
     out = df
     for date, name in (("Act_Period", "Curr"), ("Orig_Date", "Orig")):
-        out = lookup(out, areas, {"FIPS": F.col("MSA"), **_month(date)}, {f"_{name}_metro": "URate"})
-        out = lookup(out, regions, {"StateAbb": F.col("State"), **_month(date)}, {f"_{name}_region": "URate"})
-    out = out.withColumns(
-        {f"{n}_URate": F.coalesce(F.col(f"_{n}_metro"), F.col(f"_{n}_region")) for n in ("Curr", "Orig")}
-    ).drop("_Curr_metro", "_Curr_region", "_Orig_metro", "_Orig_region")
-    return out.withColumn("URate_Change", F.col("Curr_URate") - F.col("Orig_URate"))
+        out = _join(out, areas, {"FIPS": F.col("MSA"), **_month(date)}, {f"_{name}_metro": "URate"})
+        out = _join(out, regions, {"StateAbb": F.col("State"), **_month(date)}, {f"_{name}_region": "URate"})
+    current, origin = (F.coalesce(F.col(f"_{n}_metro"), F.col(f"_{n}_region")) for n in ("Curr", "Orig"))
+    added = {"Curr_URate": current, "Orig_URate": origin, "URate_Change": current - origin}
+    return _without_scratch(out.withColumns(added))
 
 
 def add_judicial(df: DataFrame, judicial: DataFrame) -> DataFrame:
