@@ -86,4 +86,7 @@ def panel_full(spark, sf):
         < 0.2e0 * 4294967296""")
 def transition_table(spark, sf):
     """The whole build down to the sampled legal transitions."""
-    return _panel_columns(build.transition_table(A.built(spark, sf), A.TEST_FRACTIONS))
+    rows = build.transition_table(
+        A.records(spark, sf), A.dimensions(spark, sf), A.TEST_FRACTIONS, A.TEST_EDGES, count_from=A.loan_rows(spark, sf)
+    )
+    return _panel_columns(rows)

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loanshift.functions import scalars
+from loanshift.session import materialize
 
 DATE_COLUMNS = ["Act_Period", "Orig_Date", "First_Pay", "Maturity_Date"]
 FILTER_ONLY = ["Product", "Mod_Flag", "Adj_Rem_Months"]
@@ -58,7 +60,8 @@ def impute_mean(df: DataFrame, columns: list[str] | None = None, by: list[str] |
         means = {c: df.agg(F.avg(c)).scalar() for c in columns}
         return df.withColumns({c: F.coalesce(F.col(c), means[c]) for c in columns})
     means = df.groupBy(*by).agg(*[F.avg(c).alias(f"_mean_{c}") for c in columns])
-    means = means.select(*[F.col(b).alias(f"_by_{b}") for b in by], *[f"_mean_{c}" for c in columns])
+    # Stored, so that a small table of means is broadcast by its measured size.
+    means = materialize(means).select(*[F.col(b).alias(f"_by_{b}") for b in by], *[f"_mean_{c}" for c in columns])
     match = F.lit(True)
     for b in by:
         match = match & F.col(b).eqNullSafe(F.col(f"_by_{b}"))
@@ -67,11 +70,21 @@ def impute_mean(df: DataFrame, columns: list[str] | None = None, by: list[str] |
 
 
 def require(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    return df.na.drop("any", subset=REQUIRED if columns is None else columns)
+    """Rows where none of the columns is null or NaN.
+
+    One condition per column, which scans can take over; a single predicate
+    over all columns could not be pushed down.
+    """
+    present = F.lit(True)
+    for c in REQUIRED if columns is None else columns:
+        present = present & F.col(f"`{c}`").isNotNull()
+        if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)):
+            present = present & ~F.isnan(f"`{c}`")
+    return df.where(present)
 
 
 def complete_cases(df: DataFrame) -> DataFrame:
-    return df.na.drop("any")
+    return require(df, df.columns)
 
 
 def clean(df: DataFrame, impute_by: list[str] | None = None) -> DataFrame:

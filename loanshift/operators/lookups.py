@@ -14,12 +14,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanshift.functions import scalars
+from loanshift.session import materialize
 
 
 def unique_by(dim: DataFrame, keys: list[str], reduce: Callable[[str], Column] | None = None) -> DataFrame:
     """One row per key: an error on duplicates, or ``reduce`` applied to the values."""
     values = [c for c in dim.columns if c not in keys]
-    groups = dim.na.drop("any", subset=keys).groupBy(*keys)
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    groups = dim.where(known).groupBy(*keys)
     if reduce is not None:
         return groups.agg(*[reduce(v).alias(v) for v in values])
     message = F.lit("duplicate lookup key: " + ", ".join(keys))
@@ -131,6 +135,11 @@ def add_spread(df: DataFrame, spread: DataFrame) -> DataFrame:
 
 
 def rows_of_loans(rows: DataFrame, transitions: DataFrame, current: int = 0, following: int = 7) -> DataFrame:
-    """Every record of the loans that made a given transition."""
+    """Every record of the loans that made a given transition.
+
+    The loan list is stored first: few loans are broadcast by their measured
+    size and the records are not shuffled at all; many are joined by shuffle.
+    """
     made = (F.col("Current_Status") == current) & (F.col("Next_Status") == following)
-    return rows.join(transitions.where(made).select("Loan_ID").distinct(), "Loan_ID", "left_semi")
+    listed = materialize(transitions.where(made).select("Loan_ID").distinct())
+    return rows.join(listed, "Loan_ID", "left_semi")

@@ -49,7 +49,9 @@ def roc_points(
     # Written out: it is counted, scanned and totalled, and scoring may be costly.
     counts = materialize(score_counts(scored, by, round_to))
     curve = scan(counts, by, [F.col("p").desc()], Scan(running_sum={"tp": "pos", "fp": "neg"}), hot_rows)
-    totals = counts.groupBy(*by).agg(F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"))
+    totals = materialize(
+        counts.groupBy(*by).agg(F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"))
+    )
     return curve.join(totals, by).withColumns(
         {"tpr": F.try_divide(F.col("tp"), F.col("positives")), "fpr": F.try_divide(F.col("fp"), F.col("negatives"))}
     )

@@ -28,8 +28,8 @@ def quantiles_of(
     key = ["_all", *by]
     rows = counts.withColumn("_all", F.lit(0))
     ranked = scan(rows, key, [F.col("value").asc()], Scan(running_sum={"_upto": "n"}), hot_rows)
-    # One row per group: the totals side is as small as the number of groups.
-    totals = rows.groupBy(*[F.col(k).alias(f"_t_{k}") for k in key]).agg(F.sum("n").alias("_total"))
+    # One row per group, stored so that Catalyst sees how small it is.
+    totals = materialize(rows.groupBy(*[F.col(k).alias(f"_t_{k}") for k in key]).agg(F.sum("n").alias("_total")))
     match = F.lit(True)
     for k in key:
         match = match & F.col(k).eqNullSafe(F.col(f"_t_{k}"))
@@ -46,7 +46,7 @@ def quantiles_of(
         lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
         result[name] = lo + (hi - lo) * (rank - F.floor(rank))
     out = placed.groupBy(*key).agg(*found).withColumns(result)
-    return out.select(*by, *probabilities)
+    return materialize(out.select(*by, *probabilities))
 
 
 def quantiles(

@@ -6,7 +6,7 @@ hold under any partitioning and a retried task repeats its choice.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanshift.functions.scalars import UNIFORM_RANGE, sampled, uniform_int
@@ -33,11 +33,22 @@ def sample_by_state(
     state: str = "Current_Status",
 ) -> DataFrame:
     """Keep about ``fractions[state]`` of the rows of each state."""
+    return df.where(in_sample(df, fractions, seed, key, state))
+
+
+def in_sample(
+    df: DataFrame,
+    fractions: dict[int, float] | None = None,
+    seed: int = SAMPLE_SEED,
+    key: list[str] | None = None,
+    state: str = "Current_Status",
+) -> Column:
+    """The sampling decision as a column; it needs nothing but the row itself."""
     fractions = STATE_FRACTIONS if fractions is None else fractions
     fraction = F.lit(0.0)
     for value, share in fractions.items():
         fraction = F.when(F.col(state) == value, F.lit(share)).otherwise(fraction)
-    return df.where(sampled(_key(df, key), fraction, seed))
+    return sampled(_key(df, key), fraction, seed)
 
 
 def with_split(df: DataFrame, test_share: float = 0.2, seed: int = SPLIT_SEED, key: list[str] | None = None) -> DataFrame:

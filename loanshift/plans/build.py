@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from loanshift.operators import clean, features, lookups, panel, sampling
 from loanshift.operators.ordered import HOT_ROWS
@@ -57,6 +58,33 @@ def build_panel(
     return out.drop(*features.NOT_IN_PANEL)
 
 
-def transition_table(built: DataFrame, fractions: dict[int, float] | None = None) -> DataFrame:
-    """Legal transitions, sampled by current state."""
-    return sampling.sample_by_state(panel.legal_transitions(built), fractions)
+def transition_table(
+    records: DataFrame,
+    series: Series,
+    fractions: dict[int, float] | None = None,
+    vintage_edges: list[int] | None = None,
+    impute_by: list[str] | None = None,
+    credit_event_as_default: bool = False,
+    hot_rows: int = HOT_ROWS,
+    count_from: DataFrame | None = None,
+) -> DataFrame:
+    """The sampled legal transitions of ``build_panel``, shuffling little.
+
+    Windows need every record's loan, month and status, but only sampled rows
+    need the rest, and a row's own key and status decide whether it is sampled.
+    So the other columns travel as one struct that is null for rows left out:
+    with the default fractions well under one percent of the wide data is
+    shuffled, and only those rows are looked up.
+    """
+    out = panel.encode(clean.clean(records, impute_by=impute_by), credit_event_as_default)
+    narrow = [c for c in ("Loan_ID", "Act_Period", "Seq", "Current_Status") if c in out.columns]
+    unused = {"Zero_Balance_Code", *features.NOT_IN_PANEL} - {"Orig_Date", "State"}
+    rest = [c for c in out.columns if c not in narrow and c not in unused]
+    carried = F.when(sampling.in_sample(out, fractions), F.struct(*[F.col(f"`{c}`") for c in rest]))
+    history = panel.add_history(out.select(*narrow, carried.alias("_row")), hot_rows, count_from)
+    seen = panel.keep_observed(history, require_balance=False).where(F.col("_row").isNotNull())
+    rows = panel.legal_transitions(seen).select(*narrow, "Next_Status", "_row.*")
+    rows = rows.where(F.col("Curr_UPB").isNotNull())
+    rows = clean.require(enrich(rows, series))
+    rows = features.month_indicators(features.vintage_bins(rows, edges=vintage_edges))
+    return rows.drop(*features.NOT_IN_PANEL)

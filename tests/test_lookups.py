@@ -109,3 +109,15 @@ def test_every_fold_is_in_the_training_part(spark, sf):
 def test_too_many_categories_is_an_error(spark, sf):
     with pytest.raises(ValueError, match="too many categories"):
         features.categories_of(A.table(spark, sf, "orders"), ["o_orderkey"], limit=100)
+
+
+def test_sampled_build_equals_sampling_the_panel(spark, sf):
+    from loanshift.operators import panel
+    from loanshift.plans.build import transition_table
+
+    whole = sampling.sample_by_state(panel.legal_transitions(A.built(spark, sf)), A.TEST_FRACTIONS)
+    direct = transition_table(A.records(spark, sf), A.dimensions(spark, sf), A.TEST_FRACTIONS, A.TEST_EDGES, hot_rows=40)
+    assert sorted(direct.columns) == sorted(whole.columns)
+    direct = direct.select(*whole.columns)
+    assert direct.count() == whole.count() > 0
+    assert direct.exceptAll(whole).count() == 0
