@@ -5,11 +5,11 @@ Column rules follow FIXTURES.md §2; the same text runs in Spark and DuckDB.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loanshift.functions import scalars, states
-from loanshift.operators import clean, lookups, metrics, panel
+from loanshift.operators import clean, lookups, matrix, metrics, panel
 from loanshift.operators.ordered import HOT_ROWS
 from loanshift.plans.build import Series, build_panel
 from loanshift.session import materialize
@@ -17,6 +17,7 @@ from loanshift.session import materialize
 # Vintage edges and sampling shares that suit the test years.
 TEST_EDGES = [0, 1995, 1996, 1997, 2020]
 TEST_FRACTIONS = {s: 0.2 for s in states.LIVE_STATES}
+SCORES = {s: f"p_{s}" for s in states.STATES}
 
 # One expression per loan-record column, over orders joined to customer and nation.
 RECORD_SQL = {
@@ -224,36 +225,33 @@ def _score(truth, target):
     return (draw + 1 + F.when(truth == target, 400).otherwise(0)).cast("double")
 
 
-def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same scores normalised per record and melted: (..., target, p, y), no shuffle."""
+def scored_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same scores as one normalised column per state, 0 where unreachable."""
     rows = transitions(spark, sf_dir).withColumnsRenamed({"Current_Status": "cur", "Next_Status": "truth"})
-    names = {s: f"p_{s}" for s in states.STATES}
-    wide = rows.withColumns(
-        {
-            name: F.when(states.is_legal(F.col("cur"), F.lit(s)), _score(F.col("truth"), F.lit(s))).otherwise(0.0)
-            for s, name in names.items()
-        }
-    )
-    wide = metrics.normalize_wide(wide, list(names.values()))
-    return metrics.melt_scores(wide, names, ["Loan_ID", "Seq", "cur", "truth"]).where(
-        states.is_legal(F.col("cur"), F.col("target"))
-    )
+    raw = {
+        name: F.when(states.is_legal(F.col("cur"), F.lit(s)), _score(F.col("truth"), F.lit(s))).otherwise(0.0)
+        for s, name in SCORES.items()
+    }
+    return metrics.normalize_wide(rows.withColumns(raw), list(SCORES.values()))
+
+
+def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Melted: (Loan_ID, Seq, cur, truth, target, p, y) of reachable states, no shuffle."""
+    long = metrics.melt_scores(scored_wide(spark, sf_dir), SCORES, ["Loan_ID", "Seq", "cur", "truth"])
+    return long.where(states.is_legal(F.col("cur"), F.col("target")))
 
 
 def matrix_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A one-month matrix per loan, long form (Loan_ID, cur, nxt, p): hash weights on the legal moves."""
-    loans = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("Loan_ID"))
-    out = loans
-    for c in states.LIVE_STATES:
-        weights = {n: _weight(c, n) for n in states.targets_of(c)}
-        total = sum(list(weights.values())[1:], list(weights.values())[0])
-        out = out.withColumn(f"_t{c}", total)
-        cells = [F.struct(F.lit(c).alias("cur"), F.lit(n).alias("nxt"), (w / F.col(f"_t{c}")).alias("p")) for n, w in weights.items()]
-        out = out.withColumn(f"_r{c}", F.array(*cells))
-    cells = F.explode(F.concat(*[f"_r{c}" for c in states.LIVE_STATES]))
-    return out.select("Loan_ID", cells.alias("cell")).select("Loan_ID", "cell.*")
-
-
-def _weight(current: int, following: int):
-    key = [F.col("Loan_ID"), F.lit(current), F.lit(following)]
-    return (scalars.uniform_int(key, 11) % 97 + 1).cast("double")
+    """A one-month matrix per loan, long form (Loan_ID, cur, nxt, p): hash weights on the legal moves.
+
+    Loans are spread by key before each becomes 48 rows, which also serves
+    every later grouping by loan.
+    """
+    loans = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("Loan_ID")).repartition("Loan_ID")
+    pairs = F.array(*[F.struct(F.lit(c).alias("cur"), F.lit(n).alias("nxt")) for c, n in matrix.legal_cells()])
+    long = loans.select("Loan_ID", F.explode(pairs).alias("pair")).select("Loan_ID", "pair.*")
+    draw = scalars.uniform_int([F.col("Loan_ID"), F.col("cur"), F.col("nxt")], 11) % 97
+    weighted = long.withColumn("raw", (draw + 1).cast("double"))
+    # At most 9 rows per loan and current state.
+    total = F.sum("raw").over(Window.partitionBy("Loan_ID", "cur"))
+    return weighted.select("Loan_ID", "cur", "nxt", (F.col("raw") / total).alias("p"))

@@ -100,11 +100,17 @@ def calibration_uniform(spark, sf):
 
 
 def _predicted(spark, sf):
-    return metrics.hard_prediction(A.scored(spark, sf), ["Loan_ID", "Seq", "cur", "truth"])
+    return metrics.argmax(A.scored_wide(spark, sf), A.SCORES)
 
 
 @query("select Loan_ID, Seq, prediction from predicted")
 def hard_prediction(spark, sf):
+    rows = metrics.hard_prediction(A.scored(spark, sf), ["Loan_ID", "Seq"])
+    return rows.select("Loan_ID", "Seq", "prediction")
+
+
+@query("select Loan_ID, Seq, prediction from predicted")
+def hard_prediction_wide(spark, sf):
     return _predicted(spark, sf).select("Loan_ID", "Seq", "prediction")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanshift.operators.ordered import HOT_ROWS, Scan, scan
-from loanshift.operators.quantiles import quantiles
+from loanshift.operators.quantiles import quantiles_of
 from loanshift.session import materialize
 
 
@@ -120,15 +120,20 @@ def calibration(
 
     A score's bin is the number of inner edges strictly below it.
     """
-    inner = [(i + 1) / bins for i in range(bins - 1)]
+    inner = {f"_e{i}": (i + 1) / bins for i in range(bins - 1)}
+    counts = score_counts(scored, by).withColumn("n", F.col("pos") + F.col("neg"))
     if strategy == "uniform":
-        placed = scored.withColumns({f"_e{i}": F.lit(e) for i, e in enumerate(inner)})
+        placed = counts.withColumns({name: F.lit(edge) for name, edge in inner.items()})
     else:
-        edges = quantiles(scored, "p", {f"_e{i}": e for i, e in enumerate(inner)}, by, hot_rows)
-        placed = scored.join(edges, by)
-    bin_ = sum(((F.col(f"_e{i}") < F.col("p")).cast("int") for i in range(len(inner))), F.lit(0))
+        # Edges and bins both come from the counts, so scoring runs once.
+        counts = materialize(counts)
+        edges = quantiles_of(counts.withColumnRenamed("p", "value"), inner, by, hot_rows)
+        placed = counts.join(edges, by)
+    bin_ = sum(((F.col(edge) < F.col("p")).cast("int") for edge in inner), F.lit(0))
     return placed.groupBy(*by, bin_.alias("bin")).agg(
-        F.count("*").alias("n"), F.avg("p").alias("prob_pred"), F.avg("y").alias("prob_true")
+        F.sum("n").alias("n"),
+        (F.sum(F.col("p") * F.col("n")) / F.sum("n")).alias("prob_pred"),
+        (F.sum("pos") / F.sum("n")).alias("prob_true"),
     )
 
 
@@ -138,6 +143,12 @@ def hard_prediction(scored: DataFrame, key: list[str], label: str = "target", p:
     return scored.groupBy(*key).agg(best.alias("prediction"))
 
 
+def argmax(scored: DataFrame, columns: dict, out: str = "prediction") -> DataFrame:
+    """The same from one probability column per class: no shuffle."""
+    cells = [F.struct(F.col(f"`{c}`").alias("p"), F.lit(-label).alias("minus")) for label, c in columns.items()]
+    return scored.withColumn(out, -F.array_max(F.array(*cells))["minus"])
+
+
 def confusion(df: DataFrame, truth: str = "truth", prediction: str = "prediction", by: list[str] | None = None):
     return df.groupBy(*(by or []), truth, prediction).agg(F.count("*").alias("n"))
 
