@@ -16,6 +16,7 @@ from checks import adapter as A
 from checks.registry import query
 from loanshift.functions.states import targets_of
 from loanshift.operators import discriminant, features, matrix, metrics, models, panel, sampling
+from loanshift.plans import training
 from loanshift.session import materialize, shared_folder
 
 KEYS = ["Loan_ID", "Seq", "Act_Period"]
@@ -43,25 +44,39 @@ def _split(rows):
     return rows.where("split = 'train'"), rows.where("split = 'test'")
 
 
-def _evaluate(scored, by):
-    points = metrics.roc_points(scored, by, round_to=9)
-    areas = metrics.curve_areas(points, by).drop("positives")
-    return metrics.threshold_metrics(scored, by).join(areas, by)
-
-
 def _per_target(scored, targets):
     columns = {t: f"p_{t}" for t in targets}
     return metrics.melt_scores(scored, columns, [*KEYS, "Next_Status"], truth="Next_Status")
 
 
+_SCALED = ["Orig_Rate", "OLTV", "MTMLTV", "SATO"]
+_STATE_2 = """
+  select *, ('0x' || substr(md5(concat_ws('|', Loan_ID, cast(Act_Period as varchar), Seq, '123')), 1, 8))::bigint
+              >= 0.2e0 * 4294967296 as train
+  from panel where Current_Status = 2 and (Next_Status between -1 and 3 or Next_Status = 7)
+    and OLTV is not null and MTMLTV is not null and SATO is not null"""
+
+
+@query(f"""
+  with rows_ as ({_STATE_2})
+  select Loan_ID, Seq, train, Next_Status,
+         cast(case Next_Status when 7 then 5 else Next_Status + 1 end as double) as label,
+         {", ".join(f"round(({c} - (select avg({c}) from rows_ where train)) / (select stddev_pop({c}) from rows_ where train), 6) as {c}" for c in _SCALED)},
+         {", ".join(f"cast(Purpose = '{p}' as integer) as Purpose_{p}" for p in "PR")},
+         {", ".join(f"cast(Channel = '{c}' as integer) as Channel_{c}" for c in "BFHM")}
+  from rows_""")
+def training_tables(spark, sf):
+    """Train and test rows of state 2: scaled on the training part, first category dropped."""
+    parts = training.training_tables(_transitions(spark, sf), 2, _SCALED, ["Purpose", "Channel"], one_hot=True)
+    train, test = (p.withColumn("train", F.lit(i == 0)) for i, p in enumerate(parts))
+    return train.union(test).drop("Act_Period").withColumns({c: F.round(c, 6) for c in _SCALED})
+
+
 @query()
 def gbt_ovr(spark, sf):
     """Boosted trees per target of state 0, judged on the test rows."""
-    rows = _rows(spark, sf, 0, one_hot=False)
-    train, test = _split(rows)
-    fitted = models.fit_trees(train, 0)
-    scored = materialize(_per_target(models.score_trees(test, fitted), fitted))
-    return _evaluate(scored, ["target"])
+    train, test = _split(_rows(spark, sf, 0, one_hot=False))
+    return training.assess_trees(train, test, 0).metrics
 
 
 @query()
@@ -101,7 +116,7 @@ def _logit_scores(spark, sf, state):
 def logit(spark, sf):
     """Softmax regression per class: areas, scores and calibration inputs of the test rows."""
     scored = materialize(_per_target(_logit_scores(spark, sf, 1), targets_of(1)))
-    return _evaluate(scored, ["target"])
+    return training.judge(scored, ["target"])
 
 
 @query()
@@ -151,7 +166,7 @@ def lda_discriminant(spark, sf):
     train, test = _split(_arrays(rows))
     fitted = discriminant.fit(train, "Next_Status", "x", width)
     scored = materialize(_per_target(fitted.predict(test), [int(c) for c in fitted.classes]))
-    return _evaluate(scored, ["target"])
+    return training.judge(scored, ["target"])
 
 
 _COV = ["OLTV", "Orig_Rate", "Cscore_B"]
