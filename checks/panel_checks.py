@@ -232,9 +232,8 @@ def distinct_rows(spark, sf):
 
 
 @query("""
-  select * from records where Loan_ID in
-    (select Loan_ID from transitions where Current_Status = 0 and Next_Status = 7)""".replace(
-    "select * from", "select Loan_ID, Seq, cast(Act_Period as varchar) as period, Curr_UPB from", 1))
+  select Loan_ID, Seq, cast(Act_Period as varchar) as period, Curr_UPB from records
+  where Loan_ID in (select Loan_ID from transitions where Current_Status = 0 and Next_Status = 7)""")
 def outlier_series(spark, sf):
     """Whole history of the loans that went from current straight to default."""
     rows = lookups.rows_of_loans(A.records(spark, sf), A.transitions(spark, sf))

@@ -105,13 +105,12 @@ def fit_trees(
         )
         return trees.fit(rows)
 
-    return _at_once(fit, [t for t in at if 0 < sizes.get(at[t], 0) < total], parallelism)
+    return _at_once(train.sparkSession, fit, [t for t in at if 0 < sizes.get(at[t], 0) < total], parallelism)
 
 
-def _at_once(fit, keys: list, parallelism: int) -> dict:
+def _at_once(spark: SparkSession, fit, keys: list, parallelism: int) -> dict:
     """Fit independent models from several driver threads, so the small jobs of
     one fill the executors another leaves idle."""
-    spark = SparkSession.getActiveSession()
     with ThreadPool(processes=max(1, min(parallelism, len(keys)))) as pool:
         return dict(zip(keys, pool.map(inheritable_thread_target(spark)(fit), keys)))
 
@@ -253,7 +252,7 @@ def compare_models(train: DataFrame, candidates: dict, folds: int = 5, paralleli
         )
         return float(search.fit(train).avgMetrics[0])
 
-    rows = list(_at_once(accuracy, list(candidates), parallelism).items())
+    rows = list(_at_once(train.sparkSession, accuracy, list(candidates), parallelism).items())
     return train.sparkSession.createDataFrame(rows, "model string, accuracy double")
 
 
@@ -294,7 +293,7 @@ def fit_state_logits(
         stages = feature_pipeline(numeric, categorical).getStages()
         return Pipeline(stages=[*stages, multinomial_logit(max(rows.count(), 1), max_iter=max_iter)]).fit(rows)
 
-    return _at_once(fit, states or LIVE_STATES, parallelism)
+    return _at_once(transitions.sparkSession, fit, states or LIVE_STATES, parallelism)
 
 
 def save_model(model, path: str) -> None:
