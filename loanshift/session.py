@@ -8,9 +8,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import lru_cache
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
+_STORED: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+_SCOPES: list[list[str]] = []
+
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str = "loanshift") -> SparkSession:
     """A local session for tests and benchmarks; a cluster brings its own."""
@@ -30,17 +37,34 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for intermediate tables, as the session configures it."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder for intermediate tables, as the session configures it.
+
+    Only a local session may leave it unset: driver and executors are then one
+    process, and a temporary folder of this process is shared by all of them.
+    """
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="loanshift-"))
-    return spark.sparkContext.getCheckpointDir()
+    return _own_folder()
+
+
+@lru_cache(maxsize=1)
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="loanshift-")
+
+
+@contextmanager
+def _freeing_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Have Spark remove a query's shuffle files when it ends: what it wrote is stored, nothing reads them again."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def materialize(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
@@ -48,12 +72,42 @@ def materialize(df: DataFrame, partition_by: list[str] | None = None) -> DataFra
 
     Beyond cutting lineage this gives Catalyst a measured size: a small table
     is broadcast because it *is* below ``spark.sql.autoBroadcastJoinThreshold``,
-    a large one is joined by shuffle.
+    a large one is joined by shuffle. The table stays until ``discard`` or the
+    end of the ``scratch`` scope it was made in.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    with _freeing_shuffles(spark):
+        writer.parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    _STORED[stored] = path
+    for scope in _SCOPES:
+        scope.append(path)
+    return stored
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing will read again."""
+    for table in tables:
+        _delete(table.sparkSession, _STORED.pop(table))
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end, every table ``materialize`` stored inside; consume results before that."""
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(made)
+        for path in made:
+            _delete(spark, path)
