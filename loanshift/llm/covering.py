@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanshift.llm.components import components
-from loanshift.llm.text import map_batches
+from loanshift.llm.text import fresh, map_batches
 from loanshift.session import materialize
 
 BITS = 64
@@ -131,14 +131,15 @@ def drop_near_copies(docs: DataFrame, shingle: int = 3, radius: int = 2) -> Data
     Rows without a doc_id cannot be named as kept or dropped and stay. Of rows
     that repeat the kept doc_id, one stays (the smallest text).
     """
+    own, copies, row = fresh(docs.columns, "kept_id", "copies", "row")
     kept = near_groups(docs, shingle, radius).where("doc_id = component_id")
-    kept = materialize(kept.groupBy(F.col("doc_id").alias("_kept_id")).agg(F.count("*").alias("_copies")))
-    own_id = F.col("doc_id").cast("bigint")
-    # Left side first and no keys renamed in it, so that all its columns stay, whatever their names.
-    single = docs.join(kept.where("_copies = 1"), own_id.eqNullSafe(F.col("_kept_id")), "left_semi")
-    result = single.unionByName(docs.where(F.col("doc_id").isNull()))
-    if kept.where("_copies > 1").isEmpty():
+    kept = materialize(kept.groupBy(F.col("doc_id").alias(own)).agg(F.count("*").alias(copies)))
+    same = F.col("doc_id").cast("bigint") == F.col(own)
+    once = docs.join(kept.where(F.col(copies) == 1), same, "left_semi")
+    result = once.unionByName(docs.where(F.col("doc_id").isNull()))
+    if kept.where(F.col(copies) > 1).isEmpty():
         return result
-    repeated = docs.join(kept.where("_copies > 1"), own_id.eqNullSafe(F.col("_kept_id")), "left_semi")
-    first = repeated.groupBy("doc_id").agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.col("text")).alias("_row"))
-    return result.unionByName(first.select("_row.*"))
+    repeated = docs.join(kept.where(F.col(copies) > 1), same, "left_semi")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    first = repeated.groupBy("doc_id").agg(F.min_by(whole, F.coalesce(F.col("text"), F.lit(""))).alias(row))
+    return result.unionByName(first.select(f"{row}.*"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanshift.llm import covering
+from loanshift.llm import covering, doubling
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,6 +28,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query(
+    """
+    with cut as (
+      select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), w -> w <> '') as words
+      from documents),
+    windows as (
+      select doc_id, at, md5(array_to_string(words[at:at + 12], ' ')) as w
+      from (select doc_id, words, unnest(range(1, len(words) - 11)) as at from cut)),
+    firsts as (select w, min(doc_id) as first from windows group by w),
+    gone as (
+      select distinct doc_id, at + unnest(range(0, 13)) as at
+      from windows join firsts using (w) where doc_id > first),
+    lost as (select doc_id, list(at) as ats from gone group by doc_id)
+    select c.doc_id, cast(len(words) as bigint) as n_words, cast(coalesce(len(ats), 0) as bigint) as n_removed,
+           sha256(coalesce(array_to_string(list_filter(words, (w, i) -> not list_contains(coalesce(ats, []), i)), ' '), ''))
+             as kept_sha256
+    from cut c left join lost l on c.doc_id = l.doc_id
+    """
+)
+def op4_level_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return doubling.digests(table(spark, sf_dir, "documents"), window=13)
+
+
 @query()
 def op8_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = covering.near_groups(table(spark, sf_dir, "documents"), shingle=3, radius=2)

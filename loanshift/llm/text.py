@@ -34,6 +34,15 @@ def word_array(text: Column) -> Column:
     return F.filter(parts, lambda w: w != "")
 
 
+def fresh(taken: list[str], *names: str) -> list[str]:
+    """``names``, each with as many leading underscores as no column in ``taken`` has."""
+    used = {name.lower() for name in taken}
+    prefix = "_"
+    while any((prefix + name).lower() in used for name in names):
+        prefix += "_"
+    return [prefix + name for name in names]
+
+
 def map_batches(df: DataFrame, schema: str, on_batch: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]]) -> DataFrame:
     """Apply a function of one Arrow batch to every batch."""
 
