@@ -31,18 +31,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query(
     """
     with cut as (
-      select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), w -> w <> '') as words
+      select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as words
       from documents),
     windows as (
-      select doc_id, at, md5(array_to_string(words[at:at + 12], ' ')) as w
-      from (select doc_id, words, unnest(range(1, len(words) - 11)) as at from cut)),
+      select doc_id, pos, md5(array_to_string(words[pos:pos + 12], ' ')) as w
+      from (select doc_id, words, unnest(range(1, len(words) - 11)) as pos from cut)),
     firsts as (select w, min(doc_id) as first from windows group by w),
     gone as (
-      select distinct doc_id, at + unnest(range(0, 13)) as at
+      select distinct doc_id, pos + unnest(range(0, 13)) as pos
       from windows join firsts using (w) where doc_id > first),
-    lost as (select doc_id, list(at) as ats from gone group by doc_id)
+    lost as (select doc_id, list(pos) as ats from gone group by doc_id)
     select c.doc_id, cast(len(words) as bigint) as n_words, cast(coalesce(len(ats), 0) as bigint) as n_removed,
-           sha256(coalesce(array_to_string(list_filter(words, (w, i) -> not list_contains(coalesce(ats, []), i)), ' '), ''))
+           sha256(coalesce(array_to_string(list_filter(words, lambda w, i: not list_contains(coalesce(ats, []), i)), ' '), ''))
              as kept_sha256
     from cut c left join lost l on c.doc_id = l.doc_id
     """
