@@ -25,8 +25,6 @@ from loanshift.session import discard, materialize
 
 WINDOW = 13
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-#: Texts of a batch are hashed together up to so many words, which bounds memory.
-WORDS_AT_ONCE = 1_000_000
 U = np.uint64
 #: Odd multipliers and an offset of the mixing step; any would do.
 FIRST, SECOND, SHIFT = U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F), U(0x632BE59BD9B4E019)
@@ -90,18 +88,6 @@ class _Laid:
         return np.flatnonzero(self.full & (_least(marked, self.window - self.half + 1) == self.lows))
 
 
-def _groups(texts: list[list[bytes]]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about ``WORDS_AT_ONCE`` words."""
-    start, words = 0, 0
-    for k, text in enumerate(texts):
-        words += len(text)
-        if words >= WORDS_AT_ONCE:
-            yield start, k + 1
-            start, words = k + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(values).view(np.int64))
 
@@ -110,18 +96,13 @@ def seeds(docs: DataFrame, window: int) -> DataFrame:
     """Level one: ``(h, doc_id, at)``, the half windows that stand for full ones."""
 
     def on_batch(batch: pa.RecordBatch):
-        ids = np.asarray(batch["doc_id"])
-        texts = [words_of(t) for t in batch["text"].to_pylist()]
-        for start, end in _groups(texts):
-            laid = _Laid(texts[start:end], window)
-            if not len(laid.halves):
-                continue
+        laid = _Laid([words_of(t) for t in batch["text"].to_pylist()], window)
+        if len(laid.halves):
             at = laid.standing()
             doc = np.searchsorted(laid.offsets, at, side="right") - 1
             places = (at - laid.offsets[doc]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [_signed(laid.halves[at]), pa.array(ids[start:end][doc]), pa.array(places)], names=["h", "doc_id", "at"]
-            )
+            arrays = [_signed(laid.halves[at]), pa.array(np.asarray(batch["doc_id"])[doc]), pa.array(places)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["h", "doc_id", "at"])
 
     return map_batches(docs.select("doc_id", "text"), "h long, doc_id long, at int", on_batch)
 
@@ -138,22 +119,20 @@ def full_windows(docs: DataFrame, window: int) -> DataFrame:
         texts = [
             [] if th in (skip or ()) else words_of(t) for t, th, skip in zip(batch["text"].to_pylist(), hashes, skipped)
         ]
-        for start, end in _groups(texts):
-            laid = _Laid(texts[start:end], window)
-            if not len(laid.halves):
-                continue
-            marked = [np.array(chosen[start + k], np.int64) for k in range(end - start)]
-            # Positions come from all rows of a doc_id: those past the end belong to a longer one.
-            marked = [m[m <= n - laid.half] + off for m, n, off in zip(marked, laid.lengths, laid.offsets) if n]
-            at = laid.stood_for(np.concatenate(marked))
-            doc = np.searchsorted(laid.offsets, at, side="right") - 1
-            again = _Laid(texts[start:end], window, seed=1).words
-            arrays = [
-                _signed(_hashes(laid.words, window)[at]), _signed(_hashes(again, window)[at]),
-                pa.array(ids[start:end][doc]), pa.array(hashes[start:end][doc]),
-                pa.array((at - laid.offsets[doc]).astype(np.int32)),
-            ]
-            yield pa.RecordBatch.from_arrays(arrays, names=["ha", "hb", "doc_id", "th", "at"])
+        laid = _Laid(texts, window)
+        if not len(laid.halves):
+            return
+        # Positions come from all rows of a doc_id: those past the end belong to a longer one.
+        marked = [np.array(m, np.int64) for m in chosen]
+        marked = [m[m <= n - laid.half] + off for m, n, off in zip(marked, laid.lengths, laid.offsets)]
+        at = laid.stood_for(np.concatenate(marked))
+        doc = np.searchsorted(laid.offsets, at, side="right") - 1
+        again = _Laid(texts, window, seed=1).words
+        arrays = [
+            _signed(_hashes(laid.words, window)[at]), _signed(_hashes(again, window)[at]),
+            pa.array(ids[doc]), pa.array(hashes[doc]), pa.array((at - laid.offsets[doc]).astype(np.int32)),
+        ]
+        yield pa.RecordBatch.from_arrays(arrays, names=["ha", "hb", "doc_id", "th", "at"])
 
     wanted = docs.select("doc_id", "th", "text", "seeds", "copies")
     return map_batches(wanted, f"ha long, hb long, {KEY}, at int", on_batch)
@@ -176,13 +155,15 @@ def occurrences(docs: DataFrame, copied: DataFrame, window: int = WINDOW) -> Dat
     """Stored ``(ha, hb, doc_id, th, at)``: every window that may repeat, without those of exact copies."""
     keyed = _keyed(docs)
     level = materialize(seeds(keyed, window))
+    # Stored, so that the join meets plain shuffles and can split a hash that very many documents share.
     spread = level.groupBy("h").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
-    repeated = level.join(spread.select("h"), "h", "left_semi")
+    spread = materialize(spread.select("h"))
+    repeated = level.join(spread, "h", "left_semi")
     # A set of positions: as long as the longest text of the doc_id, however many rows share the id.
     marked = repeated.groupBy("doc_id").agg(F.collect_set("at").alias("seeds"))
     skipped = copied.groupBy("doc_id").agg(F.collect_set("th").alias("copies"))
     marked = materialize(marked.join(skipped, "doc_id", "left"))
-    discard(level)
+    discard(level, spread)
     found = materialize(full_windows(keyed.join(marked, "doc_id"), window))
     discard(marked)
     return found
@@ -191,7 +172,8 @@ def occurrences(docs: DataFrame, copied: DataFrame, window: int = WINDOW) -> Dat
 def later_windows(found: DataFrame) -> DataFrame:
     """``(doc_id, th, at)`` of the windows that also start in a document with a smaller doc_id."""
     first = found.groupBy("ha", "hb").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
-    return found.join(first.select("ha", "hb", "first"), ["ha", "hb"]).where("doc_id > first").select("doc_id", "th", "at")
+    first = materialize(first.select("ha", "hb", "first"))
+    return found.join(first, ["ha", "hb"]).where("doc_id > first").select("doc_id", "th", "at")
 
 
 def grow(found: DataFrame, length: int) -> Iterator[tuple[int, DataFrame]]:
@@ -309,7 +291,7 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         arrays = [pa.array(changed, pa.string()) if k == where else batch.column(k) for k in range(len(kept))]
         yield pa.RecordBatch.from_arrays(arrays, names=kept)
 
-    result = joined.mapInArrow(lambda batches: (b for batch in batches if batch.num_rows for b in on_batch(batch)), docs.schema)
+    result = map_batches(joined, docs.schema, on_batch)
     if "n_chars" in docs.columns:
         result = result.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return result

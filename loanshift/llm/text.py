@@ -10,16 +10,20 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SPACES = " \t\n\x0b\f\r"
 #: As a Java pattern.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
+#: UTF-8 bytes of text that become Python objects at a time.
+BYTES_AT_ONCE = 4 << 20
 #: Distinct words that a tokenizing worker keeps, about 200 bytes each.
 MEMO_WORDS = 500_000
 
@@ -43,19 +47,32 @@ def fresh(taken: list[str], *names: str) -> list[str]:
     return [prefix + name for name in names]
 
 
-def map_batches(df: DataFrame, schema: str, on_batch: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]]) -> DataFrame:
-    """Apply a function of one Arrow batch to every batch."""
+def by_text(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``BYTES_AT_ONCE`` of text, one row at least, so that memory follows texts, not rows."""
+    sizes = pc.fill_null(pc.binary_length(batch["text"]), 0).to_pylist()
+    start, held = 0, 0
+    for k, size in enumerate(sizes):
+        held += size
+        if held >= BYTES_AT_ONCE:
+            yield batch.slice(start, k + 1 - start)
+            start, held = k + 1, 0
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
+def map_batches(df: DataFrame, schema, on_batch: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]]) -> DataFrame:
+    """Apply a function of one Arrow batch with a ``text`` column to slices of every batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield from on_batch(batch)
+            for part in by_text(batch):
+                yield from on_batch(part)
 
     return df.mapInArrow(run, schema)
 
 
-#: Lower-case letters of Latin-1 with closing punctuation: one or two pre-tokens, which no normaliser changes.
-PLAIN = re.compile("([a-zà-öø-ÿ]*)([.,;:!?|]*)")
+#: Letters of Latin-1 with closing punctuation: one or two pre-tokens, of which normalisers change the case alone.
+PLAIN = re.compile("([a-zA-ZÀ-ÖØ-Þà-öø-ÿ]*)([.,;:!?|]*)")
 
 
 class WordEncoder:
@@ -72,6 +89,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.memo_words = memo_words
         self.memo: dict[bytes, bytes] = {b"": b""}
         self.pieces: dict[str, bytes] = {"": b""}
@@ -81,17 +99,17 @@ class WordEncoder:
     def _piece(self, piece: str) -> bytes:
         ids = self.pieces.get(piece)
         if ids is None:
-            tokens = self.tokenizer.model.tokenize(piece.translate(self.shown))
-            ids = self.pieces[piece] = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+            shown = piece if piece.isascii() else piece.translate(self.shown)
+            ids = self.pieces[piece] = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
         return ids
 
     def _word(self, word: bytes) -> bytes:
         text = word.decode()
         plain = PLAIN.fullmatch(text)
         if plain:
-            return self._piece(plain[1]) + self._piece(plain[2])
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
+            letters, marks = plain.groups()
+            return self._piece(letters.lower()) + self._piece(marks) if marks else self._piece(letters.lower())
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """Per text its ids as little-endian unsigned 32-bit integers."""
