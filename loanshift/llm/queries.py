@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanshift.llm import covering, doubling
+from loanshift.llm import covering, doubling, wavelet
+from loanshift.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -51,6 +54,17 @@ def op4_level_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubling.digests(table(spark, sf_dir, "documents"), window=13)
 
 
+def tokenizer() -> str:
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query()
+def op5_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/shards-{uuid.uuid4().hex}"
+    wavelet.write_shards(table(spark, sf_dir, "documents"), path, tokenizer(), end_id=1)
+    return wavelet.read_documents(spark, path)
+
+
 @query()
 def op8_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = covering.near_groups(table(spark, sf_dir, "documents"), shingle=3, radius=2)
