@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanshift.llm import covering, doubling, wavelet
+from loanshift.llm import covering, doubling, grouping, wavelet
 from loanshift.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +65,11 @@ def op5_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.read_documents(spark, path)
 
 
+@query()
+def op7_linear_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grouping.pack_documents(table(spark, sf_dir, "documents"), tokenizer(), end_id=1, capacity=4096)
+
+
 @query()
 def op8_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = covering.near_groups(table(spark, sf_dir, "documents"), shingle=3, radius=2)
