@@ -25,7 +25,7 @@ SPACE_CLASS = r"[\x20\x09-\x0D]"
 #: UTF-8 bytes of text that become Python objects at a time.
 BYTES_AT_ONCE = 4 << 20
 #: Distinct words that a tokenizing worker keeps, about 200 bytes each.
-MEMO_WORDS = 500_000
+MEMO_WORDS = 1_000_000
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -82,7 +82,7 @@ class WordEncoder:
     across it (``word_bpe_49k.json``): the ids of a text are then those of its
     words in turn. A plain word goes to the library's model as the byte-level
     characters of its pre-tokens; any other goes through the whole tokenizer.
-    ``memo_words`` bounds memory only: past it the latest words are kept.
+    ``memo_words`` bounds memory only: past it the memo starts anew.
     """
 
     def __init__(self, path: str, memo_words: int = MEMO_WORDS) -> None:
@@ -91,29 +91,34 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.memo_words = memo_words
-        self.memo: dict[bytes, bytes] = {b"": b""}
-        self.pieces: dict[str, bytes] = {"": b""}
+        self.memo: dict[bytes, bytes] = {}
         letters = [chr(c) for c in (*range(97, 123), *range(0xE0, 0x100)) if c != 0xF7]
         self.shown = {ord(c): self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in letters}
 
     def _piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
+        """Ids of one pre-token: a lower-case plain word, or its closing punctuation."""
+        key = piece.encode()
+        ids = self.memo.get(key)
         if ids is None:
             shown = piece if piece.isascii() else piece.translate(self.shown)
-            ids = self.pieces[piece] = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+            ids = self.memo[key] = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
         return ids
 
     def _word(self, word: bytes) -> bytes:
+        if word.isalpha():
+            return self._piece(word.decode().lower())
         text = word.decode()
         plain = PLAIN.fullmatch(text)
         if plain:
-            letters, marks = plain.groups()
-            return self._piece(letters.lower()) + self._piece(marks) if marks else self._piece(letters.lower())
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+            ids = self._piece(plain[1].lower()) + self._piece(plain[2])
+        else:
+            ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        self.memo[word] = ids
+        return ids
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """Per text its ids as little-endian unsigned 32-bit integers."""
-        memo = self.memo
+        memo, word_ids = self.memo, self._word
         for text in texts:
             raw = (text or "").encode()
             # A special token is spelt in lower case: other spellings must keep theirs.
@@ -123,15 +128,13 @@ class WordEncoder:
                 yield b"".join(found)
                 continue
             except TypeError:
-                new = {w for w, ids in zip(words, found) if ids is None}
-            if len(memo) + len(new) > self.memo_words:
-                now = {w: ids for w, ids in zip(words, found) if ids is not None}
+                pass
+            if len(memo) > self.memo_words:
                 memo.clear()
-                self.pieces = {"": b""}
-                memo.update(now)
-            for w in new:
-                memo[w] = self._word(w)
-            yield b"".join(map(memo.__getitem__, words))
+            for k, ids in enumerate(found):
+                if ids is None:
+                    found[k] = memo.get(words[k]) or word_ids(words[k])
+            yield b"".join(found)
 
 
 @lru_cache(maxsize=2)
