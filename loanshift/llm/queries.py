@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanshift.llm import covering, doubling, grouping, wavelet
+from loanshift.llm import covering, decision_list, doubling, grouping, wavelet
 from loanshift.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,3 +74,8 @@ def op7_linear_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = covering.near_groups(table(spark, sf_dir, "documents"), shingle=3, radius=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query()
+def op9_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decision_list.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
