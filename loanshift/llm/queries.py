@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanshift.llm import covering, decision_list, doubling, grouping, wavelet
+from loanshift.llm import covering, decision_list, doubling, grouping, mixing, wavelet
 from loanshift.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,3 +79,8 @@ def op8_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decision_list.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op10_hypergeometric_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.decisions(table(spark, sf_dir, "documents"))
