@@ -15,14 +15,13 @@ Rows are only ever hashed, summed and joined; the driver sees one row per source
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanshift.llm.text import SPACE_CLASS, fresh
+from loanshift.llm.text import SPACE_CLASS, fresh, local_table
 from loanshift.operators.ordered import Scan, scan
 from loanshift.session import materialize
 
@@ -79,10 +78,6 @@ def split_quotas(quotas: list[int], shards: int, seed: int) -> np.ndarray:
     return np.array(split(np.array(quotas, np.int64), shards))
 
 
-def _local_table(spark, rows: list[dict], schema: str) -> DataFrame:
-    return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")))
-
-
 def _key(text: Column, doc_id: Column) -> Column:
     return F.xxhash64(doc_id, F.coalesce(text, F.lit("")), F.lit(SEED))
 
@@ -123,7 +118,7 @@ def mix(
     given = [weights[k % len(weights)] for k in range(len(found))]
     goals = targets([r["size"] for r in found], given, share * sum(r["size"] for r in found), most_times)
     sources = [Source(r["source"], r["size"], r["rows"], goal) for r, goal in zip(found, goals)]
-    table = _local_table(
+    table = local_table(
         spark,
         [
             {"s": s.name, "sid": k, "n": -(-s.rows // ROWS_PER_BLOCK), "rest": s.target - s.times * s.size, "times": s.times,
@@ -151,7 +146,7 @@ def mix(
     totals = [per_source[k]["blocks"] for k in range(len(sources))]
     quotas = [s.times * totals[k] + per_source[k]["more"] for k, s in enumerate(sources)]
     runs = np.cumsum(split_quotas(quotas, shards, SEED), axis=0) if sources else np.zeros((shards, 0), np.int64)
-    ends = _local_table(
+    ends = local_table(
         spark,
         [{"sid": k, "blocks": totals[k], "ends": runs[:, k].tolist()} for k in range(len(sources))],
         "sid int, blocks bigint, ends array<bigint>",

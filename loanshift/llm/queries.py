@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanshift.llm import bilinear, covering, decision_list, doubling, grouping, mixing, wavelet
+from loanshift.llm import bilinear, covering, decision_list, doubling, grouping, mixing, syncmers, wavelet
 from loanshift.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,3 +89,8 @@ def op10_hypergeometric_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op6_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bilinear.score(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op2_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.edited(table(spark, sf_dir, "documents"))

@@ -7,6 +7,7 @@ A-Z alone, so words are cut from bytes in Python and by ``split`` in the JVM.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import zlib
@@ -16,7 +17,7 @@ from functools import lru_cache
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SPACES = " \t\n\x0b\f\r"
@@ -47,6 +48,11 @@ def fresh(taken: list[str], *names: str) -> list[str]:
     return [prefix + name for name in names]
 
 
+def local_table(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
+    """A table of a few rows from the driver, as a literal in the plan."""
+    return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")))
+
+
 def by_text(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``BYTES_AT_ONCE`` of text, one row at least, so that memory follows texts, not rows."""
     sizes = pc.fill_null(pc.binary_length(batch["text"]), 0).to_pylist()
