@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanshift.llm import bilinear, covering, decision_list, doubling, grouping, mixing, syncmers, wavelet
+from loanshift.llm import bilinear, covering, decision_list, doubling, grouping, mixing, splitters, syncmers, wavelet
 from loanshift.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,3 +94,10 @@ def op6_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op2_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.edited(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op3_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = splitters.shard_documents(table(spark, sf_dir, "documents"), shards=8)
+    none = F.lit(None).cast("int").alias("grown_shard")
+    return found.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", none)
