@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanshift.llm import bilinear, covering, decision_list, doubling, grouping, mixing, splitters, syncmers, wavelet
+from loanshift.llm import bilinear, chat_queries, covering, decision_list, doubling, grouping, mixing, splitters, syncmers, tool_calls, wavelet
 from loanshift.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +54,13 @@ def op4_level_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubling.digests(table(spark, sf_dir, "documents"), window=13)
 
 
+@query(chat_queries.LINKED_SQL)
+def op1_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    found = tool_calls.linked(chat_queries.calls(conversations), chat_queries.results(conversations), chat_queries.SCHEMAS)
+    return found.withColumn("faults", F.array_join("faults", ","))
+
+
 def tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
