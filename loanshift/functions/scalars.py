@@ -9,8 +9,14 @@ UNIFORM_RANGE = 4294967296  # 2 ** 32
 
 
 def month_start(text: Column) -> Column:
-    """``MMYYYY`` text (leading zero optional) to the first day of that month."""
-    return F.try_to_timestamp(F.lpad(text, 6, "0"), F.lit("MMyyyy")).cast("date")
+    """``MMYYYY`` text (leading zero optional) to the first day of that month.
+
+    Null and blank text is null; any other text that does not parse is an error,
+    as a file in another format would otherwise lose all its rows later.
+    """
+    parsed = F.try_to_timestamp(F.lpad(F.trim(text), 6, "0"), F.lit("MMyyyy")).cast("date")
+    wrong = F.raise_error(F.concat(F.lit("not a month as MMYYYY: "), text)).cast("date")
+    return F.when(F.trim(text) != "", F.coalesce(parsed, wrong))
 
 
 def quarter_start(text: Column) -> Column:

@@ -47,7 +47,7 @@ def month_indicators(df: DataFrame, date: str = "Act_Period") -> DataFrame:
 def categories_of(df: DataFrame, columns: list[str], limit: int = 10_000) -> dict[str, list]:
     """Sorted distinct non-null values per column. Each becomes a column of the
     design, so more than ``limit`` of them is an error, not a truncation."""
-    counts = df.agg(*[F.approx_count_distinct(f"`{c}`").alias(c) for c in columns]).first().asDict()
+    counts = df.agg(*[F.count_distinct(f"`{c}`").alias(c) for c in columns]).first().asDict()
     wide = [c for c, n in counts.items() if n > limit]
     if wide:
         raise ValueError(f"too many categories to one-hot encode: {wide}")

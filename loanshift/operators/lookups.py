@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanshift.functions import scalars
+from loanshift.functions.names import unused
 from loanshift.session import materialize
 
 
@@ -36,20 +37,25 @@ def unique_by(dim: DataFrame, keys: list[str], reduce: Callable[[str], Column] |
 def lookup(df: DataFrame, dim: DataFrame, on: dict[str, Column], take: dict[str, str]) -> DataFrame:
     """Left join ``dim`` on ``dim column == expression`` and add ``new column: dim column``.
 
-    ``dim`` must be unique on the join columns (see ``unique_by``).
+    ``dim`` must be unique on the join columns (see ``unique_by``). Nothing but
+    the new columns is added, and none of the caller's is lost.
     """
-    return _without_scratch(_join(df, dim, on, take))
+    held = dict(zip(take, unused(df.columns, *take)))
+    out = _join(df, dim, on, {held[n]: c for n, c in take.items()})
+    return _with(df, out, {n: F.col(f"`{h}`") for n, h in held.items()})
 
 
 def _join(df: DataFrame, dim: DataFrame, on: dict[str, Column], take: dict[str, str]) -> DataFrame:
-    """``lookup`` leaving its scratch columns, so a chain of lookups drops them once."""
-    mark = "_on_" + "_".join(take)
-    side = dim.select(*[F.col(c).alias(f"{mark}_{c}") for c in on], *[F.col(s).alias(n) for n, s in take.items()])
-    return df.join(side, [expression == F.col(f"{mark}_{c}") for c, expression in on.items()], "left")
+    """``lookup`` that leaves its key columns behind, so a chain of lookups drops them once."""
+    keys = dict(zip(on, unused([*df.columns, *take], *[f"on_{c}_{'_'.join(take)}" for c in on])))
+    side = dim.select(*[F.col(c).alias(k) for c, k in keys.items()], *[F.col(s).alias(n) for n, s in take.items()])
+    return df.join(side, [expression == F.col(f"`{keys[c]}`") for c, expression in on.items()], "left")
 
 
-def _without_scratch(df: DataFrame) -> DataFrame:
-    return df.drop(*[c for c in df.columns if c.startswith("_")])
+def _with(df: DataFrame, joined: DataFrame, added: dict[str, Column]) -> DataFrame:
+    """The columns of ``df`` and those added, from ``joined``; an added name replaces an old column."""
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in added]
+    return joined.select(*kept, *[value.alias(name) for name, value in added.items()])
 
 
 def _quarter(date: str) -> dict[str, Column]:
@@ -73,36 +79,38 @@ def add_price_index(df: DataFrame, by_zip: DataFrame, by_state: DataFrame, level
     their ratio, and the loan-to-value marked with it."""
     zips = unique_by(by_zip, ["Zip", "Year", "Quarter"])
     regions = unique_by(by_state, ["State", "Year", "Quarter"])
-    out = df
+    out, held = df, {}
     for date, name in (("Act_Period", "Curr"), ("Orig_Date", "Orig")):
-        out = _join(out, zips, {"Zip": F.col("ZIP"), **_quarter(date)}, {f"_{name}_zip": "HPI"})
-        out = _join(out, regions, {"State": F.col("State"), **_quarter(date)}, {f"_{name}_state": "HPI"})
-    added = {f"{n}_HPI": F.coalesce(F.col(f"_{n}_zip"), F.col(f"_{n}_state")) for n in ("Curr", "Orig")}
+        held[name] = unused(df.columns, f"{name}_zip", f"{name}_state")
+        out = _join(out, zips, {"Zip": F.col("ZIP"), **_quarter(date)}, {held[name][0]: "HPI"})
+        out = _join(out, regions, {"State": F.col("State"), **_quarter(date)}, {held[name][1]: "HPI"})
+    found = {n: F.coalesce(F.col(z), F.col(r)) for n, (z, r) in held.items()}
+    added = {f"{n}_HPI": value for n, value in found.items()}
     if levels:
-        for n in ("Curr", "Orig"):
-            level = F.when(F.col(f"_{n}_zip").isNotNull(), "ZIP").when(F.col(f"_{n}_state").isNotNull(), "State")
-            added[f"{n}_HPI_Level"] = level
-    out = out.withColumns(added)
-    out = out.withColumn("HPI_Adjust_Factor", scalars.index_ratio(F.col("Curr_HPI"), F.col("Orig_HPI")))
-    marked = scalars.marked_ltv(F.col("Curr_UPB"), F.col("Orig_UPB"), F.col("OLTV"), F.col("HPI_Adjust_Factor"))
-    return _without_scratch(out.withColumn("MTMLTV", marked))
+        for n, (z, r) in held.items():
+            added[f"{n}_HPI_Level"] = F.when(F.col(z).isNotNull(), "ZIP").when(F.col(r).isNotNull(), "State")
+    ratio = scalars.index_ratio(found["Curr"], found["Orig"])
+    added["HPI_Adjust_Factor"] = ratio
+    added["MTMLTV"] = scalars.marked_ltv(F.col("Curr_UPB"), F.col("Orig_UPB"), F.col("OLTV"), ratio)
+    return _with(df, out, added)
 
 
 def add_rates(df: DataFrame, monthly: DataFrame) -> DataFrame:
     """Benchmark rate for the loan's term now, refinance incentive, and the
     spread of the loan's rate over the benchmark at origination."""
     rates = unique_by(monthly, ["Year", "Month"])
-    out = _join(df, rates, _month("Act_Period"), {"_now30": "30_Year", "_now15": "15_Year"})
-    out = _join(out, rates, _month("Orig_Date"), {"_orig30": "30_Year", "_orig15": "15_Year"})
+    now30, now15, then30, then15 = unused(df.columns, "now30", "now15", "orig30", "orig15")
+    out = _join(df, rates, _month("Act_Period"), {now30: "30_Year", now15: "15_Year"})
+    out = _join(out, rates, _month("Orig_Date"), {then30: "30_Year", then15: "15_Year"})
     is_30y = F.col("Orig_Term") == 360
-    now = F.when(is_30y, F.col("_now30")).otherwise(F.col("_now15"))
-    at_origin = F.when(is_30y, F.col("_orig30")).otherwise(F.col("_orig15"))
+    now = F.when(is_30y, F.col(now30)).otherwise(F.col(now15))
+    at_origin = F.when(is_30y, F.col(then30)).otherwise(F.col(then15))
     added = {
         "Benchmark_Rate": now,
         "Refinance Indicator": scalars.refinance_incentive(F.col("Orig_Rate"), now),
         "SATO": F.col("Orig_Rate") - at_origin,
     }
-    return _without_scratch(out.withColumns(added))
+    return _with(df, out, added)
 
 
 def split_unemployment(combined: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -117,13 +125,14 @@ def add_unemployment(df: DataFrame, metro: DataFrame, state: DataFrame) -> DataF
     now and at origination, and the change."""
     areas = unique_by(metro, ["FIPS", "Year", "Month"])
     regions = unique_by(state, ["StateAbb", "Year", "Month"])
-    out = df
+    out, found = df, {}
     for date, name in (("Act_Period", "Curr"), ("Orig_Date", "Orig")):
-        out = _join(out, areas, {"FIPS": F.col("MSA"), **_month(date)}, {f"_{name}_metro": "URate"})
-        out = _join(out, regions, {"StateAbb": F.col("State"), **_month(date)}, {f"_{name}_region": "URate"})
-    current, origin = (F.coalesce(F.col(f"_{n}_metro"), F.col(f"_{n}_region")) for n in ("Curr", "Orig"))
-    added = {"Curr_URate": current, "Orig_URate": origin, "URate_Change": current - origin}
-    return _without_scratch(out.withColumns(added))
+        area, region = unused(df.columns, f"{name}_metro", f"{name}_region")
+        out = _join(out, areas, {"FIPS": F.col("MSA"), **_month(date)}, {area: "URate"})
+        out = _join(out, regions, {"StateAbb": F.col("State"), **_month(date)}, {region: "URate"})
+        found[name] = F.coalesce(F.col(area), F.col(region))
+    added = {"Curr_URate": found["Curr"], "Orig_URate": found["Orig"], "URate_Change": found["Curr"] - found["Orig"]}
+    return _with(df, out, added)
 
 
 def add_judicial(df: DataFrame, judicial: DataFrame) -> DataFrame:

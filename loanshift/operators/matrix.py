@@ -8,10 +8,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loanshift.functions.names import unused
 from loanshift.functions.states import DEFAULT, LIVE_STATES, PREPAID, STATES, targets_of
 
 SIZE = len(STATES)
@@ -33,28 +34,27 @@ def transition_counts(df: DataFrame, by: list[str] | None = None) -> DataFrame:
     )
 
 
-def _grid(rows: DataFrame, keep: list[str]) -> DataFrame:
-    states = F.array(*[F.lit(s) for s in STATES])
-    return rows.select(*keep, F.explode(states).alias("cur")).select(*keep, "cur", F.explode(states).alias("nxt"))
-
-
 def transition_matrix(counts: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Row-normalised counts on the full 9 x 9 grid; a state never left stays all zero.
 
-    ``counts`` has at most 81 rows per cohort.
+    ``counts`` has at most 81 rows per cohort, gathered into one map and laid
+    out again, so they are computed once. A null cohort is one like any other.
     """
     by = by or []
-    out_of = counts.groupBy(*by, "cur").agg(F.sum("n").alias("_from"))
-    shares = counts.join(out_of, [*by, "cur"]).withColumn("p", F.col("n") / F.col("_from"))
-    cohorts = counts.select(*by).distinct() if by else counts.sparkSession.range(1)
-    grid = _grid(cohorts, by)
-    return grid.join(shares, [*by, "cur", "nxt"], "left").select(
-        *by,
-        "cur",
-        "nxt",
-        F.coalesce("n", F.lit(0)).cast("bigint").alias("n"),
-        F.coalesce("p", F.lit(0.0)).alias("p"),
-    )
+    seen, total = unused(by, "seen", "total")
+    states = F.array(*[F.lit(s) for s in STATES])
+    pairs = F.map_from_entries(F.collect_list(F.struct(F.struct("cur", "nxt"), F.col("n"))))
+    cohorts = counts.groupBy(*by).agg(pairs.alias(seen))
+
+    def moves(nxt: Column) -> Column:
+        cell = F.struct(F.col("cur").alias("cur"), nxt.alias("nxt"))
+        return F.coalesce(F.try_element_at(seen, cell), F.lit(0)).cast("bigint")
+
+    rows = cohorts.select(*by, seen, F.explode(states).alias("cur"))
+    rows = rows.withColumn(total, F.aggregate(F.transform(states, moves), F.lit(0).cast("bigint"), lambda a, n: a + n))
+    cells = rows.select(*by, seen, total, "cur", F.explode(states).alias("nxt")).withColumn("n", moves(F.col("nxt")))
+    share = F.coalesce(F.try_divide(F.col("n"), F.col(total)), F.lit(0.0))
+    return cells.select(*by, "cur", "nxt", "n", share.alias("p"))
 
 
 def state_distribution(matrix: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -63,9 +63,9 @@ def state_distribution(matrix: DataFrame, by: list[str] | None = None) -> DataFr
     incoming = matrix.groupBy(*by, F.col("nxt").alias("state")).agg(
         F.sum("p").alias("incoming"), F.sum("n").alias("n")
     )
-    moves = matrix.groupBy(*by).agg(F.sum("n").alias("_moves"))
-    joined = incoming.join(moves, by) if by else incoming.withColumn("_moves", moves.scalar())
-    return joined.select(*by, "state", "incoming", (F.col("n") / F.col("_moves")).alias("share"))
+    # Nine rows per cohort.
+    moves = F.sum("n").over(Window.partitionBy(*(by or [F.lit(0)])))
+    return incoming.select(*by, "state", "incoming", F.try_divide(F.col("n"), moves).alias("share"))
 
 
 def pad_states(long: DataFrame, key: list[str]) -> DataFrame:
@@ -77,16 +77,29 @@ def pad_states(long: DataFrame, key: list[str]) -> DataFrame:
     return long.groupBy(*key).agg(F.array(*slots).alias("slots"))
 
 
-def loan_matrices(long: DataFrame, key: str = "Loan_ID") -> DataFrame:
+def loan_matrices(long: DataFrame, key: str = "Loan_ID", missing: str = "stay") -> DataFrame:
     """1-month matrix per loan from (key, cur, nxt, p); -1 and 7 absorb.
 
     Rows are summed into 9 slots per (loan, current state) first, so a loan
-    brings at most 7 values to its own group.
+    brings at most 7 values to its own group. A live state without a row, or
+    with one of zeros, keeps its mass (``missing="stay"``) or is an error
+    (``missing="error"``).
     """
+    if missing not in ("error", "stay"):
+        raise ValueError(f"unknown rule {missing!r}")
     rows = pad_states(long.where(F.col("cur").isin(LIVE_STATES)), [key, "cur"])
     by_state = F.map_from_entries(F.collect_list(F.struct("cur", "slots")))
-    zeros = F.array(*[F.lit(0.0) for _ in STATES])
-    live = [F.coalesce(F.try_element_at("_rows", F.lit(c)), zeros) for c in LIVE_STATES]
+
+    def without(state: int) -> Column:
+        if missing == "stay":
+            return F.array(*absorbing(state))
+        return F.raise_error(F.lit(f"a matrix has no row for state {state}")).cast(_MATRIX)
+
+    def row(state: int) -> Column:
+        found = F.try_element_at("_rows", F.lit(state))
+        return F.when(F.exists(found, lambda p: p > 0), found).otherwise(without(state))
+
+    live = [row(c) for c in LIVE_STATES]
     whole = F.concat(F.array(*absorbing(PREPAID)), *live, F.array(*absorbing(DEFAULT)))
     return rows.groupBy(key).agg(by_state.alias("_rows")).select(key, whole.alias("matrix"))
 

@@ -6,18 +6,22 @@ class. Curves work on counts per distinct score, never on ordered raw rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loanshift.functions.names import join_groups, unused
 from loanshift.operators.ordered import HOT_ROWS, Scan, scan
 from loanshift.operators.quantiles import quantiles_of
 from loanshift.session import materialize
 
 
 def normalize_ovr(scored: DataFrame, key: list[str], raw: str = "raw", out: str = "p") -> DataFrame:
-    """Divide each class score by the record's sum over its classes (long form)."""
-    sums = scored.groupBy(*key).agg(F.sum(raw).alias("_sum"))
-    return scored.join(sums, key).withColumn(out, F.try_divide(F.col(raw), F.col("_sum"))).drop("_sum")
+    """Divide each class score by the record's sum over its classes (long form).
+
+    At most nine rows per record share a window; a null key is a record too.
+    """
+    total = F.sum(raw).over(Window.partitionBy(*key))
+    return scored.withColumn(out, F.try_divide(F.col(raw), total))
 
 
 def normalize_wide(scored: DataFrame, columns: list[str]) -> DataFrame:
@@ -52,7 +56,7 @@ def roc_points(
     totals = materialize(
         counts.groupBy(*by).agg(F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"))
     )
-    return curve.join(totals, by).withColumns(
+    return join_groups(curve, totals, by).withColumns(
         {"tpr": F.try_divide(F.col("tp"), F.col("positives")), "fpr": F.try_divide(F.col("fp"), F.col("negatives"))}
     )
 
@@ -114,26 +118,38 @@ def threshold_metrics(scored: DataFrame, by: list[str], threshold: float = 0.5,
 
 
 def calibration(
-    scored: DataFrame, by: list[str], bins: int = 5, strategy: str = "quantile", hot_rows: int = HOT_ROWS
-) -> DataFrame:
+    scored: DataFrame, by: list[str], bins: int = 5, strategy: str = "quantile", hot_rows: int = HOT_ROWS,
+    accuracy: int = 10_000,
+) -> DataFrame:
     """Mean score and share of positives per non-empty score bin.
 
-    A score's bin is the number of inner edges strictly below it.
+    A score's bin is the number of inner edges strictly below it. Uniform edges
+    are known, and ``approximate`` takes quantile edges from a bounded sketch
+    per group, so those rows are binned where they are and only bins are
+    shuffled; exact quantiles shuffle a count per distinct score.
     """
     inner = {f"_e{i}": (i + 1) / bins for i in range(bins - 1)}
-    counts = score_counts(scored, by).withColumn("n", F.col("pos") + F.col("neg"))
     if strategy == "uniform":
-        placed = counts.withColumns({name: F.lit(edge) for name, edge in inner.items()})
-    else:
-        # Edges and bins both come from the counts, so scoring runs once.
-        counts = materialize(counts)
-        edges = quantiles_of(counts.withColumnRenamed("p", "value"), inner, by, hot_rows)
-        placed = counts.join(edges, by)
-    bin_ = sum(((F.col(edge) < F.col("p")).cast("int") for edge in inner), F.lit(0))
-    return placed.groupBy(*by, bin_.alias("bin")).agg(
-        F.sum("n").alias("n"),
-        (F.sum(F.col("p") * F.col("n")) / F.sum("n")).alias("prob_pred"),
-        (F.sum("pos") / F.sum("n")).alias("prob_true"),
+        return _binned(scored, by, [F.lit(edge) for edge in inner.values()], F.lit(1), F.col("y"))
+    if strategy == "approximate":
+        sketch = F.percentile_approx("p", list(inner.values()), accuracy)
+        [edges] = unused(scored.columns, "edges")
+        found = materialize(scored.groupBy(*by).agg(sketch.alias(edges)))
+        return _binned(join_groups(scored, found, by), by, [F.col(edges)[i] for i in range(bins - 1)], F.lit(1), F.col("y"))
+    if strategy != "quantile":
+        raise ValueError(f"unknown strategy {strategy!r}")
+    # Edges and bins both come from the counts, so scoring runs once.
+    counts = materialize(score_counts(scored, by).withColumn("n", F.col("pos") + F.col("neg")))
+    found = quantiles_of(counts.withColumnRenamed("p", "value"), inner, by, hot_rows)
+    return _binned(join_groups(counts, found, by), by, [F.col(e) for e in inner], F.col("n"), F.col("pos"))
+
+
+def _binned(rows: DataFrame, by: list[str], edges: list[Column], n: Column, positives: Column) -> DataFrame:
+    bin_ = sum(((edge < F.col("p")).cast("int") for edge in edges), F.lit(0))
+    return rows.groupBy(*by, bin_.alias("bin")).agg(
+        F.sum(n).cast("bigint").alias("n"),
+        (F.sum(F.col("p") * n) / F.sum(n)).alias("prob_pred"),
+        (F.sum(positives) / F.sum(n)).alias("prob_true"),
     )
 
 

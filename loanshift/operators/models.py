@@ -37,6 +37,7 @@ TREE_ROUNDS, TREE_STEP, TREE_DEPTH = 30, 0.3, 3
 TREE_GRID = {"stepSize": [0.3, 0.5, 0.8, 1.0], "maxDepth": [4, 6, 8, 10], "minInstancesPerNode": [1, 3, 5, 10]}
 FOREST_TREES, FOREST_SEED, IMPORTANCE_SHARE = 50, 123, 0.1
 HIDDEN_LAYERS = [36, 50, 45, 30, 15, 5]
+LOGIT_ITERATIONS = 10_000
 
 
 def state_rows(transitions: DataFrame, state: int, columns: list[str]) -> DataFrame:
@@ -168,7 +169,16 @@ def _folds(df: DataFrame) -> dict:
 # --- linear models ---------------------------------------------------------------
 
 
-def multinomial_logit(n_rows: int, c: float = 1.0, features: str = "features", max_iter: int = 100) -> LogisticRegression:
+def converged(model):
+    """The fitted model, or an error where it stopped at its limit of iterations and not by tolerance."""
+    if model.summary.totalIterations >= model.getOrDefault("maxIter"):
+        raise RuntimeError(f"not converged after {model.summary.totalIterations} iterations")
+    return model
+
+
+def multinomial_logit(
+    n_rows: int, c: float = 1.0, features: str = "features", max_iter: int = LOGIT_ITERATIONS
+) -> LogisticRegression:
     """Softmax regression whose ridge penalty equals inverse strength ``c`` on summed loss."""
     return LogisticRegression(
         featuresCol=features, family="multinomial", regParam=1.0 / (c * n_rows), elasticNetParam=0.0,
@@ -200,13 +210,12 @@ def perceptron(width: int, classes: int = 2, max_iter: int = 100, seed: int = 42
 
 
 def select_by_forest(
-    train: DataFrame, names: list[str], trees: int = FOREST_TREES, share: float = IMPORTANCE_SHARE, max_rounds: int = 50,
-    max_depth: int = 5,
-) -> list[str]:
+    train: DataFrame, names: list[str], trees: int = FOREST_TREES, share: float = IMPORTANCE_SHARE, max_depth: int = 5
+) -> list[str]:
     """Refit a forest, dropping features at or below ``min(share, share / p)``
-    importance, until none is dropped."""
+    importance, until none is dropped. Every round but the last drops one."""
     kept = list(range(len(names)))
-    for _ in range(max_rounds):
+    while True:
         part = VectorSlicer(inputCol="features", outputCol="picked", indices=kept).transform(train)
         forest = RandomForestClassifier(
             featuresCol="picked", numTrees=trees, maxDepth=max_depth, seed=FOREST_SEED, maxBins=64
@@ -260,18 +269,31 @@ def compare_models(train: DataFrame, candidates: dict, folds: int = 5, paralleli
 
 
 def class_columns(df: DataFrame, state: int, probability: str = "probability") -> DataFrame:
-    """Probability vector to one ``p_<target>`` column per target of ``state``."""
+    """Probability vector to one ``p_<target>`` column per target of ``state``; a
+    target above every label the model saw has probability 0."""
     values = vector_to_array(probability)
-    return df.withColumns({f"p_{t}": F.get(values, F.lit(i)) for i, t in enumerate(targets_of(state))})
+    return df.withColumns(
+        {f"p_{t}": F.coalesce(F.get(values, F.lit(i)), F.lit(0.0)) for i, t in enumerate(targets_of(state))}
+    )
 
 
-def portfolio_matrices(loans: DataFrame, models: dict[int, PipelineModel], key: list[str]) -> DataFrame:
+def portfolio_matrices(
+    loans: DataFrame, models: dict[int, PipelineModel], key: list[str], missing: str = "error"
+) -> DataFrame:
     """Score every loan under all live states' models: one 81-slot matrix per loan, no shuffle.
 
-    Slots are placed by target label; a target the model never saw gets 0.
+    Slots are placed by target label; a target the model never saw gets 0. A
+    live state without a model is an error, or with ``missing="stay"`` keeps
+    its mass.
     """
+    absent = [s for s in LIVE_STATES if s not in models]
+    if absent and missing != "stay":
+        raise ValueError(f"no model for states {absent}")
     out, rows = loans, []
     for state in LIVE_STATES:
+        if state in absent:
+            rows += matrix.absorbing(state)
+            continue
         name = f"_p{state}"
         scored = models[state].transform(out)
         made = [c for c in scored.columns if c not in out.columns]
@@ -284,16 +306,25 @@ def portfolio_matrices(loans: DataFrame, models: dict[int, PipelineModel], key:
 
 def fit_state_logits(
     transitions: DataFrame, numeric: list[str], categorical: list[str], states: list[int] | None = None,
-    max_iter: int = 50, parallelism: int = 4,
+    max_iter: int = LOGIT_ITERATIONS, parallelism: int = 4,
 ) -> dict[int, PipelineModel]:
-    """A full pipeline (features and softmax regression) per current state."""
+    """A full pipeline (features and softmax regression) per current state.
+
+    A state without complete rows has no model, and is not in the result.
+    """
 
-    def fit(state: int) -> PipelineModel:
+    def fit(state: int) -> PipelineModel | None:
         rows = materialize(state_rows(transitions, state, [*numeric, *categorical]))
+        found = rows.count()
+        if not found:
+            return None
         stages = feature_pipeline(numeric, categorical).getStages()
-        return Pipeline(stages=[*stages, multinomial_logit(max(rows.count(), 1), max_iter=max_iter)]).fit(rows)
+        fitted = Pipeline(stages=[*stages, multinomial_logit(found, max_iter=max_iter)]).fit(rows)
+        converged(fitted.stages[-1])
+        return fitted
 
-    return _at_once(transitions.sparkSession, fit, states or LIVE_STATES, parallelism)
+    fitted = _at_once(transitions.sparkSession, fit, states or LIVE_STATES, parallelism)
+    return {state: model for state, model in fitted.items() if model is not None}
 
 
 def save_model(model, path: str) -> None:

@@ -14,12 +14,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loanshift.functions.names import unused
 from loanshift.session import materialize
 
 HOT_ROWS = 2_000_000
-# A key counts as hot only above this share of the table too, which bounds the
-# number of hot keys (and so the broadcast list of them) at its inverse.
-MIN_HOT_SHARE = 1e-5
 
 
 @dataclass(frozen=True)
@@ -31,10 +29,12 @@ class Scan:
     running_max: dict[str, str] = field(default_factory=dict)
     running_sum: dict[str, str] = field(default_factory=dict)
     fill: dict[str, str] = field(default_factory=dict)
+    #: New column -> flag: the position of the last row so far where the flag holds.
+    last_at: dict[str, str] = field(default_factory=dict)
     position: str | None = None
 
     def outputs(self) -> list[str]:
-        names = [*self.lead, *self.lag, *self.running_max, *self.running_sum, *self.fill]
+        names = [*self.lead, *self.lag, *self.running_max, *self.running_sum, *self.fill, *self.last_at]
         return names + ([self.position] if self.position else [])
 
 
@@ -54,21 +54,23 @@ def scan(
     at least as many rows per key as ``df`` (a stored table before joins, say).
     """
     sizes = (df if count_from is None else count_from).groupBy(*key).agg(F.count("*").alias("_n"))
-    total, largest = sizes.agg(F.sum("_n"), F.max("_n")).first()
+    for name in what.running_sum.values():
+        if df.schema[name].dataType.typeName() in ("double", "float"):
+            raise TypeError(f"a running sum of {name} would depend on how rows are cut: cast it to a decimal")
+    largest = sizes.agg(F.max("_n")).first()[0]
     if (largest or 0) <= hot_rows:
         return _window_scan(df, key, order, what)
 
-    limit = max(hot_rows, int(total * MIN_HOT_SHARE))
-    hot = materialize(sizes.where(F.col("_n") > limit))
+    # Stored, so that the joins below broadcast the list only if it measures small.
+    hot = materialize(sizes.where(F.col("_n") > hot_rows))
     hot_total = hot.agg(F.sum("_n")).first()[0]
     if not hot_total:
         return _window_scan(df, key, order, what)
-    # At most 1 / MIN_HOT_SHARE rows, see above.
-    hot_keys = F.broadcast(hot.select(*[F.col(k).alias(f"_hot_{k}") for k in key]))
+    hot_keys = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in key])
     same_key = _all(F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in key)
     cold = df.join(hot_keys, same_key, "left_anti")
     busy = df.join(hot_keys, same_key, "left_semi")
-    segments = -(-hot_total // limit) + 1
+    segments = -(-hot_total // hot_rows) + 1
     return _window_scan(cold, key, order, what).unionByName(_segment_scan(busy, key, order, what, int(segments)))
 
 
@@ -87,9 +89,17 @@ def _window_scan(df: DataFrame, key: list[str], order: list[Column], what: Scan)
     columns |= {name: F.max(source).over(so_far) for name, source in what.running_max.items()}
     columns |= {name: F.sum(source).over(so_far) for name, source in what.running_sum.items()}
     columns |= {name: F.last(source, ignorenulls=True).over(so_far) for name, source in what.fill.items()}
+    at = (F.row_number().over(w) - 1).cast("bigint")
     if what.position:
-        columns[what.position] = (F.row_number().over(w) - 1).cast("bigint")
-    return df.withColumns(columns)
+        columns[what.position] = at
+    out = df.withColumns(columns)
+    if what.last_at:
+        # Positions first, then windows over them, on the same shuffle and sort.
+        [place] = unused(out.columns, "place")
+        placed = out.withColumn(place, at)
+        last = {n: F.last(F.when(F.col(flag), F.col(place)), ignorenulls=True).over(so_far) for n, flag in what.last_at.items()}
+        out = placed.withColumns(last).drop(place)
+    return out
 
 
 def _segment_scan(df: DataFrame, key: list[str], order: list[Column], what: Scan, segments: int) -> DataFrame:
@@ -111,7 +121,7 @@ def _segment_scan(df: DataFrame, key: list[str], order: list[Column], what: Scan
     summary += [at("_last", s).alias(f"_in_{n}") for n, s in what.lag.items()]
     summary += [F.max(s).alias(f"_in_{n}") for n, s in what.running_max.items()]
     summary += [F.sum(s).alias(f"_in_{n}") for n, s in what.running_sum.items()]
-    summary += [at("_last", n).alias(f"_in_{n}") for n in what.fill]
+    summary += [at("_last", n).alias(f"_in_{n}") for n in [*what.fill, *what.last_at]]
 
     # One row per segment and key in it: at most segments + number of hot keys.
     across = Window.partitionBy(*key).orderBy("_seg")
@@ -123,16 +133,24 @@ def _segment_scan(df: DataFrame, key: list[str], order: list[Column], what: Scan
     carried |= {f"_c_{n}": F.last(f"_in_{n}", ignorenulls=True).over(before) for n in what.fill}
     carried["_c_rows"] = F.sum("_rows").over(before)
     carry = marked.groupBy(*inside).agg(*summary).withColumns(carried)
-    carry = carry.select(*[F.col(c).alias(f"_k_{c}") for c in inside], *carried)
+    # A place in a segment is one in the key after the rows before the segment.
+    rows_before = F.coalesce(F.col("_c_rows"), F.lit(0))
+    for n in what.last_at:
+        carry = carry.withColumn(f"_in_{n}", F.col(f"_in_{n}") + rows_before)
+        carried[f"_c_{n}"] = F.last(f"_in_{n}", ignorenulls=True).over(before)
+        carry = carry.withColumn(f"_c_{n}", carried[f"_c_{n}"])
+    carry = materialize(carry.select(*[F.col(c).alias(f"_k_{c}") for c in inside], *carried))
 
     joined = marked.join(
-        F.broadcast(carry), _all(F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in inside), "left"
+        carry, _all(F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in inside), "left"
     )
     result = {n: F.when(F.col("_last"), F.col(f"_c_{n}")).otherwise(F.col(n)) for n in what.lead}
     result |= {n: F.when(F.col("_first"), F.col(f"_c_{n}")).otherwise(F.col(n)) for n in what.lag}
     result |= {n: F.greatest(F.col(n), F.col(f"_c_{n}")) for n in what.running_max}
     result |= {n: F.coalesce(F.col(n) + F.col(f"_c_{n}"), F.col(n), F.col(f"_c_{n}")) for n in what.running_sum}
     result |= {n: F.coalesce(F.col(n), F.col(f"_c_{n}")) for n in what.fill}
+    offset = F.coalesce(F.col("_c_rows"), F.lit(0))
+    result |= {n: F.coalesce(F.col(n) + offset, F.col(f"_c_{n}")) for n in what.last_at}
     if what.position:
         result[what.position] = F.col(what.position) + F.coalesce(F.col("_c_rows"), F.lit(0))
     return joined.withColumns(result).select(*df.columns, *what.outputs())

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanshift.functions import scalars, states
+from loanshift.functions.names import unused
 from loanshift.operators.ordered import HOT_ROWS, Scan, scan
 
 KEY = "Loan_ID"
@@ -87,12 +88,12 @@ def imputed_balance(
     Each run of zero months starts again from the original balance, so the
     number of payments is the record's position in its run.
     """
-    out = scan(df, [KEY], panel_order(df), Scan(position="_at"), hot_rows, count_from)
-    out = out.withColumn("_paid_at", F.when(~F.col("Curr_UPB").eqNullSafe(0.0), F.col("_at")))
-    out = scan(out, [KEY], panel_order(df), Scan(fill={"_before": "_paid_at"}), hot_rows, count_from)
-    in_run = F.col("_at") - F.coalesce(F.col("_before"), F.lit(-1))
+    at, before, paid = unused(df.columns, "at", "before", "paid")
+    flagged = df.withColumn(paid, ~F.col("Curr_UPB").eqNullSafe(0.0))
+    out = scan(flagged, [KEY], panel_order(df), Scan(position=at, last_at={before: paid}), hot_rows, count_from)
+    in_run = F.col(at) - F.coalesce(F.col(before), F.lit(-1))
     scheduled = scalars.amortized_balance(
         F.col("Orig_UPB"), F.col("Orig_Rate"), F.col("Orig_Term"), in_run.cast("double"), round_payment
     )
     balance = F.when(F.col("Curr_UPB") == 0, scheduled).otherwise(F.col("Curr_UPB"))
-    return out.withColumn("Curr_UPB", balance).drop("_at", "_paid_at", "_before")
+    return out.withColumn("Curr_UPB", balance).drop(at, before, paid)

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loanshift.functions.names import join_groups
 from loanshift.operators import features, metrics, models, sampling
 from loanshift.session import materialize
 
@@ -67,9 +68,12 @@ def assess_trees(train: DataFrame, test: DataFrame, state: int, **settings) -> A
     return Assessment(scored, judge(long, ["target"]), models.importance_table(fitted, names, train), fitted)
 
 
-def judge(long: DataFrame, by: list[str], round_to: int = 9) -> DataFrame:
-    """ROC and precision-recall areas, precision, recall, Brier score and log loss per group."""
-    areas = metrics.curve_areas(metrics.roc_points(long, by, round_to=round_to), by).drop("positives")
-    return metrics.threshold_metrics(long, by).join(areas, by)
+def judge(long: DataFrame, by: list[str], round_to: int | None = None) -> DataFrame:
+    """ROC and precision-recall areas, precision, recall, Brier score and log loss per group.
+
+    ``round_to`` rounds scores before areas are computed, which makes ties of scores that differ less.
+    """
+    areas = metrics.curve_areas(metrics.roc_points(long, by, round_to=round_to), by).drop("positives", "negatives")
+    return join_groups(metrics.threshold_metrics(long, by), areas, by)
 
 

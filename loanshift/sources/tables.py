@@ -11,8 +11,8 @@ from loanshift.operators.clean import complete_cases
 PAIR = ["Current_Status", "Next_Status"]
 
 
-def write_transitions(df: DataFrame, path: str, mode: str = "append") -> None:
-    """One directory per (current, next) pair.
+def write_transitions(df: DataFrame, path: str, mode: str = "error") -> None:
+    """One directory per (current, next) pair. A table that is there already is an error unless ``mode`` says otherwise.
 
     ``rebalance`` gathers a pair's rows into files of a sensible size and lets
     AQE split the pair that holds nearly everything, 0 -> 0.
