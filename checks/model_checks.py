@@ -84,7 +84,7 @@ def gbt_saved_scores(spark, sf):
     """Models saved, loaded and applied; probabilities sum to one per row."""
     train, test = _split(_rows(spark, sf, 2, one_hot=False))
     loaded = {}
-    for target, model in models.fit_trees(train, 2, rounds=5).items():
+    for target, model in models.fit_trees(train, 2).items():
         path = f"{shared_folder(spark)}/model-{uuid.uuid4().hex}"
         models.save_model(model, path)
         loaded[target] = GBTClassificationModel.load(path)
@@ -94,7 +94,7 @@ def gbt_saved_scores(spark, sf):
 @query()
 def gbt_importance(spark, sf):
     rows = _rows(spark, sf, 1, one_hot=False)
-    fitted = models.fit_trees(_split(rows)[0], 1, rounds=5)
+    fitted = models.fit_trees(_split(rows)[0], 1)
     return models.importance_table(fitted, models.feature_names(rows), rows)
 
 
@@ -154,7 +154,7 @@ def forward_select(spark, sf):
     train = _arrays(_split(rows)[0])
     at = {n: i for i, n in enumerate(models.feature_names(rows))}
     train = train.withColumn("x", F.array(*[F.col("x")[at[f"numeric_{n}"]] for n in names]))
-    chosen = discriminant.forward_select(train, "Next_Status", "x", names, "fold", keep=4)
+    chosen = discriminant.forward_select(train, "Next_Status", "x", names, "fold")
     return spark.createDataFrame(list(enumerate(chosen)), "position int, feature string")
 
 
@@ -187,7 +187,7 @@ def discriminant_statistics(spark, sf):
 def linear_svc(spark, sf):
     """Balanced linear support vectors, one against the rest: confusion on the test rows."""
     train, test = _split(_rows(spark, sf, 1))
-    fitted = models.support_vectors(train.count(), max_iter=20).fit(models.with_class_weights(train))
+    fitted = models.support_vectors(train.count()).fit(models.with_class_weights(train))
     scored = fitted.transform(test).withColumnRenamed("label", "truth")
     return metrics.confusion(scored.select("truth", "prediction"))
 
@@ -214,12 +214,66 @@ def mlp_current(spark, sf):
     return metrics.confusion(net.transform(test).withColumnRenamed("label", "truth").select("truth", "prediction"))
 
 
-@query()
+_FEATURES = [*features.NUMERIC, *features.CATEGORICAL]
+_COMPLETE = " and ".join(f'"{c}" is not null' for c in _FEATURES)
+_MODEL_ROWS = f"""
+  rows_ as (
+    select *, ('0x' || substr(md5(concat_ws('|', Loan_ID, cast(Act_Period as varchar), Seq, '123')), 1, 8))::bigint
+                >= {TEST_SHARE}e0 * 4294967296 as train
+    from panel
+    where Current_Status between 0 and 6 and (Next_Status = 7 or (Next_Status between -1 and 7 and Next_Status <= Current_Status + 1))
+      and {_COMPLETE}),
+  targets as (select a.s as cur, b.s as target from states a cross join states b where a.s between 0 and 6 and (b.s = 7 or b.s <= a.s + 1))"""
+
+
+def _state_logits(spark, sf):
+    """Converged softmax regressions of all seven states on all features, trained once, saved, and loaded for scoring."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _saved:
+        train = sampling.with_split(_transitions(spark, sf), TEST_SHARE).where("split = 'train'")
+        path = f"{shared_folder(spark)}/models-{uuid.uuid4().hex}"
+        models.save_states(spark, models.fit_state_logits(train, features.NUMERIC, features.CATEGORICAL), path)
+        _saved[key] = path
+    return models.load_states(spark, _saved[key])
+
+
+_saved: dict[tuple, str] = {}
+
+
+def _complete(spark, sf):
+    rows = sampling.with_split(_transitions(spark, sf), TEST_SHARE)
+    return rows.select(*KEYS, "split", "Current_Status", "Next_Status", *[F.col(f"`{c}`") for c in _FEATURES]).na.drop("any")
+
+
+@query(f"""with {_MODEL_ROWS}
+  select t.cur, t.target, count(*) filter (r.Next_Status = t.target) as n
+  from rows_ r join targets t on t.cur = r.Current_Status where r.train group by 1, 2""")
+def logit_class_mass(spark, sf):
+    """At the optimum the probabilities of a class add up to its rows, for every state and target."""
+    scored = models.score_states(_complete(spark, sf).where("split = 'train'"), _state_logits(spark, sf), ["Seq"])
+    return scored.groupBy("cur", "target").agg(F.round(F.sum("p"), 0).cast("bigint").alias("n"))
+
+
+@query(f"""with {_MODEL_ROWS}
+  select Loan_ID, Seq, Current_Status as cur, count(*) as targets, 1e0 as mass
+  from rows_ join targets on cur = Current_Status
+  where not train and Current_Status in (select Current_Status from rows_ where train) group by 1, 2, 3""")
+def saved_state_scores(spark, sf):
+    """Models of all states loaded from disk: every test row is scored once, over all its targets."""
+    scored = models.score_states(_complete(spark, sf).where("split = 'test'"), _state_logits(spark, sf), ["Loan_ID", "Seq"])
+    return scored.groupBy("Loan_ID", "Seq", "cur").agg(F.count("*").alias("targets"), F.round(F.sum("p"), 9).alias("mass"))
+
+
+@query(f"""with {_MODEL_ROWS}
+  select Loan_ID, Seq, Current_Status as cur, 9::bigint as states, 1e0 as mass, 0e0 as out_of_end from rows_""")
 def model_horizon(spark, sf):
-    """Six-month distribution of every current loan record from seven fitted models."""
-    rows = _transitions(spark, sf)
-    numeric, categorical = ["Orig_Rate", "MTMLTV", "Cscore_B", "DTI", "SATO"], ["Channel", "Purpose"]
-    fitted = models.fit_state_logits(rows, numeric, categorical, max_iter=10)
-    loans = rows.where("Current_Status = 0").select(*KEYS, *numeric, *categorical).na.drop("any")
-    one_month = models.portfolio_matrices(loans, fitted, ["Loan_ID", "Seq"])
-    return matrix.horizon_row(matrix.matrix_power(one_month, 6), 0, key="Seq")
+    """Six-month distributions of every live record from the models of all states: nine states, all of the mass."""
+    rows = _complete(spark, sf).withColumn("record", F.struct("Loan_ID", "Seq", F.col("Current_Status").alias("cur")))
+    one_month = models.portfolio_matrices(rows, _state_logits(spark, sf), ["record"], missing="stay")
+    cells = matrix.matrix_cells(matrix.matrix_power(one_month, 6), "record")
+    own = cells.groupBy("record").agg(
+        F.count_if(F.col("cur") == F.col("record.cur")).alias("states"),
+        F.round(F.sum(F.when(F.col("cur") == F.col("record.cur"), F.col("p"))), 9).alias("mass"),
+        F.round(F.sum(F.when(F.col("cur").isin(-1, 7) & (F.col("cur") != F.col("nxt")), F.col("p"))), 9).alias("out_of_end"),
+    )
+    return own.select("record.*", "states", "mass", "out_of_end")

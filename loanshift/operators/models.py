@@ -7,6 +7,7 @@ reach the driver, rows do not.
 
 from __future__ import annotations
 
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -306,11 +307,12 @@ def portfolio_matrices(
 
 def fit_state_logits(
     transitions: DataFrame, numeric: list[str], categorical: list[str], states: list[int] | None = None,
-    max_iter: int = LOGIT_ITERATIONS, parallelism: int = 4,
+    max_iter: int | None = None, parallelism: int = 4,
 ) -> dict[int, PipelineModel]:
     """A full pipeline (features and softmax regression) per current state.
 
-    A state without complete rows has no model, and is not in the result.
+    A state without complete rows has no model, and is not in the result. Fits
+    end by tolerance, or it is an error; ``max_iter`` ends them earlier on purpose.
     """
 
     def fit(state: int) -> PipelineModel | None:
@@ -319,8 +321,10 @@ def fit_state_logits(
         if not found:
             return None
         stages = feature_pipeline(numeric, categorical).getStages()
-        fitted = Pipeline(stages=[*stages, multinomial_logit(found, max_iter=max_iter)]).fit(rows)
-        converged(fitted.stages[-1])
+        logit = multinomial_logit(found, max_iter=max_iter or LOGIT_ITERATIONS)
+        fitted = Pipeline(stages=[*stages, logit]).fit(rows)
+        if max_iter is None:
+            converged(fitted.stages[-1])
         return fitted
 
     fitted = _at_once(transitions.sparkSession, fit, states or LIVE_STATES, parallelism)
@@ -331,5 +335,29 @@ def save_model(model, path: str) -> None:
     model.write().overwrite().save(path)
 
 
-def load_pipeline(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def save_states(spark: SparkSession, models: dict[int, PipelineModel], path: str) -> None:
+    """Whole pipelines, features included, per state, and the list of states that have one."""
+    for state, model in models.items():
+        save_model(model, f"{path}/state={state}")
+    spark.createDataFrame([(s,) for s in models], "state int").write.mode("overwrite").parquet(f"{path}/states")
+
+
+def load_states(spark: SparkSession, path: str) -> dict[int, PipelineModel]:
+    found = spark.read.parquet(f"{path}/states").collect()  # at most seven rows
+    return {r["state"]: PipelineModel.load(f"{path}/state={r['state']}") for r in found}
+
+
+def score_states(rows: DataFrame, models: dict[int, PipelineModel], keep: list[str]) -> DataFrame:
+    """Rows (keep..., cur, target, p): every row under the model of its own current state.
+
+    Rows of a state without a model, and without a value that its features need,
+    have no scores.
+    """
+    parts = []
+    for state, model in models.items():
+        own = rows.where(F.col("Current_Status") == state)
+        wide = class_columns(model.transform(own), state)
+        cells = [F.struct(F.lit(t).alias("target"), F.col(f"p_{t}").alias("p")) for t in targets_of(state)]
+        long = wide.select(*keep, F.lit(state).alias("cur"), F.explode(F.array(*cells)).alias("_c"))
+        parts.append(long.select(*keep, "cur", "_c.*"))
+    return reduce(DataFrame.unionByName, parts)
