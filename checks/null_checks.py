@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from checks import adapter as A
 from checks.lookup_checks import _rows
 from checks.registry import query
-from loanshift.operators import lookups, matrix, metrics
+from loanshift.operators import lookups, matrix, metrics, profile
 
 
 def _rounded(df, digits, *columns):
@@ -134,3 +134,18 @@ def counted_horizon_per_record(spark, sf):
     ahead = matrix.horizon(_counted(spark, sf), months=6, method="power", full=True, key="State")
     rows = A.transitions(spark, sf).select("State", "Loan_ID", "Seq", F.col("Current_Status").alias("cur"))
     return _rounded(rows.join(ahead, ["State", "cur"]).drop("cur"), 9, "p")
+
+
+@query("""
+  select event_type as "group", count(value) as n, true as q1, true as median, true as q3
+  from events where event_type is not null and value is not null group by 1""")
+def box_stats_approx(spark, sf):
+    """Sketched quartiles lie within a thousandth of their rank, in every group."""
+    events = A.table(spark, sf, "events")
+    found = profile.box_stats(events, "value", F.col("event_type"), accuracy=10_000)
+    rows = events.where("value is not null").join(found.select(F.col("group").alias("event_type"), "q1", "median", "q3"), "event_type")
+    within = []
+    for name, share in profile.QUARTILES.items():
+        below, upto = F.avg((F.col("value") < F.col(name)).cast("int")), F.avg((F.col("value") <= F.col(name)).cast("int"))
+        within.append(((below <= share + 0.001) & (upto >= share - 0.001)).alias(name))
+    return rows.groupBy(F.col("event_type").alias("group")).agg(F.count("value").alias("n"), *within)

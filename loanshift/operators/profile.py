@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from loanshift.functions.states import DEFAULT
 from loanshift.operators.ordered import HOT_ROWS
 from loanshift.operators.quantiles import quantiles, quantiles_of, value_counts
+from loanshift.session import materialize
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
@@ -27,36 +28,55 @@ def histogram(
     df: DataFrame, columns: list[str], bins: int = 25, value_range: tuple[float, float] | None = None
 ) -> DataFrame:
     """Counts in equal-width bins, the last one closed; values outside a given
-    range are ignored. Empty bins are listed with 0."""
-    long = melt(df, columns, "double")
+    range are ignored. Empty bins are listed with 0.
+
+    Edges are one wide aggregate, two numbers per column, and then literals, so
+    rows are binned in one pass and only bins are shuffled. A column without
+    values has no edges and no rows.
+    """
     if value_range:
-        lo, hi = (F.lit(float(v)).alias(n) for n, v in zip(("lo", "hi"), value_range))
-        names = F.explode(F.array(*[F.lit(c) for c in columns])).alias("column")
-        edges = df.sparkSession.range(1).select(names, lo, hi)
-        placed = long.select("*", lo, hi)
+        edges = {c: tuple(map(float, value_range)) for c in columns}
     else:
-        low, high = F.min("value"), F.max("value")
-        pad = F.when(low == high, F.lit(0.5)).otherwise(F.lit(0.0))
-        edges = long.groupBy("column").agg((low - pad).alias("lo"), (high + pad).alias("hi"))
-        # One row per column name in the call.
-        placed = long.join(F.broadcast(edges), "column")
-    step = (F.col("value") - F.col("lo")) * bins / (F.col("hi") - F.col("lo"))
-    placed = placed.where(F.col("value").between(F.col("lo"), F.col("hi")))
-    counts = placed.groupBy("column", F.least(F.floor(step), F.lit(bins - 1)).cast("int").alias("bin")).agg(
-        F.count("*").alias("n")
-    )
-    grid = edges.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+        numbers = [F.col(f"`{c}`").cast("double") for c in columns]
+        found = df.agg(*[f(x) for x in numbers for f in (F.min, F.max)]).first()
+        ends = {c: (found[2 * k], found[2 * k + 1]) for k, c in enumerate(columns)}
+        edges = {c: (lo, hi) if lo < hi else (lo - 0.5, hi + 0.5) for c, (lo, hi) in ends.items() if lo is not None}
+    if not edges:
+        return df.sparkSession.createDataFrame([], "column string, bin int, lo double, hi double, n bigint")
+
+    def cell(name: str) -> Column:
+        lo, hi = edges[name]
+        value = F.col(f"`{name}`").cast("double")
+        step = F.least(F.floor((value - lo) * bins / F.lit(hi - lo)), F.lit(bins - 1)).cast("int")
+        return F.struct(F.lit(name).alias("column"), F.when(value.between(lo, hi), step).alias("bin"))
+
+    binned = df.select(F.explode(F.array(*[cell(c) for c in edges])).alias("_c")).select("_c.*").where("bin is not null")
+    counts = binned.groupBy("column", "bin").agg(F.count("*").alias("n"))
+    every = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi")) for c, (lo, hi) in edges.items()])
+    grid = df.sparkSession.range(1).select(F.inline(every)).withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     return grid.join(counts, ["column", "bin"], "left").select(
         "column", "bin", "lo", "hi", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")
     )
 
 
-def box_stats(df: DataFrame, column: str, group: Column | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Quartiles, whiskers (furthest values within 1.5 IQR) and outlier count, per group."""
+def box_stats(
+    df: DataFrame, column: str, group: Column | None = None, hot_rows: int = HOT_ROWS, accuracy: int | None = None
+) -> DataFrame:
+    """Quartiles, whiskers (furthest values within 1.5 IQR) and outlier count, per group.
+
+    Exact quartiles shuffle a count per distinct value. With ``accuracy`` they
+    come from a bounded sketch, within 1 / accuracy of the rank, and no more
+    than groups are shuffled.
+    """
     grouping = F.lit("all") if group is None else group
     rows = df.select(grouping.alias("group"), F.col(column).alias("value")).where(F.col("group").isNotNull())
-    counts = value_counts(rows, "value", ["group"])
-    quartiles = quantiles_of(counts, QUARTILES, ["group"], hot_rows)
+    if accuracy is None:
+        counts = value_counts(rows, "value", ["group"])
+        quartiles = quantiles_of(counts, QUARTILES, ["group"], hot_rows)
+    else:
+        counts = rows.where(F.col("value").isNotNull()).select("group", F.col("value").cast("double"), F.lit(1).cast("bigint").alias("n"))
+        found = counts.groupBy("group").agg(F.percentile_approx("value", list(QUARTILES.values()), accuracy).alias("_q"))
+        quartiles = materialize(found.select("group", *[F.col("_q")[k].alias(name) for k, name in enumerate(QUARTILES)]))
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
     return (
