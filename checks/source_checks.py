@@ -7,9 +7,10 @@ import uuid
 from pyspark.sql import functions as F
 
 from checks import adapter as A
-from checks.registry import query
-from loanshift.functions import scalars
+from checks.registry import QUERIES, SQL, query, with_tables
+from loanshift.functions import scalars, states
 from loanshift.operators import clean
+from loanshift.plans import job
 from loanshift.session import shared_folder
 from loanshift.sources import economics, layout, performance, series, tables
 
@@ -209,3 +210,62 @@ def stored_counts(spark, sf):
     counts = A.transitions(spark, sf).groupBy("Current_Status", "Next_Status").agg(F.count("*").alias("n"))
     tables.write_result(counts, path)
     return spark.read.parquet(path)
+
+
+def _month_only(sql):
+    """The same SQL over records whose dates carry a month, as files do."""
+    whole = with_tables(sql).replace(
+        "cast(o_orderdate as date) as Act_Period", "cast(date_trunc('month', cast(o_orderdate as date)) as date) as Act_Period"
+    )
+    return whole.replace("min(cast(o_orderdate as date)) as orig_date", "cast(date_trunc('month', min(cast(o_orderdate as date))) as date) as orig_date")
+
+
+_KINDS = {"double": "float64", "bigint": "int64"}
+
+
+def _job_files(spark, sf):
+    """All inputs of the build as text: records pipe-separated by month, a layout, a file list, six series."""
+    records = A.records(spark, sf)
+    kinds = {n: _KINDS.get(k, "string") if n not in ("Loan_ID", "State", "ZIP", "MSA") else "string" for n, k in records.dtypes}
+    months = {d: F.date_format(d, "MMyyyy") for d in ("Act_Period", "Orig_Date")}
+    folder = _path(spark, "raw")
+    records.select(F.lit("unused").alias("Pool"), *[months.get(c, F.col(c)).alias(c) for c in kinds]).write.csv(folder, sep="|")
+    spec = [(0, "Pool", "Pool", "0", "string"), *((k + 1, n, n, "1", kind) for k, (n, kind) in enumerate(kinds.items()))]
+    names = sorted({r.name for r in spark.read.text(folder).select(F.col("_metadata.file_name").alias("name")).distinct().collect()})
+    series = A.dimensions(spark, sf)
+    first_day = F.make_date("Year", "Month", F.lit(1))
+    rates = A.daily_rates(spark, sf).select(F.date_format("Date", "d/M/yyyy").alias("Date"), "`30_Year`", "`15_Year`")
+    metro, state = series.metro_unemployment, series.state_unemployment
+    day = F.date_format(first_day, "M/d/yyyy").alias("Date")
+    none = F.lit(None).cast("string")
+    combined = metro.select("FIPS", day, "URate", none.alias("StateAbb")).union(state.select(none, day, "URate", "StateAbb"))
+    spread = series.spread.select(F.date_format(first_day, "d/M/yyyy").alias("Date"), "Spread")
+    return job.Files(
+        layout=_csv(spark, spark.createDataFrame(spec, layout.LAYOUT_SCHEMA), "layout"), folder=folder,
+        file_list=_csv(spark, spark.createDataFrame([(n,) for n in names], "name string"), "list"),
+        zip_index=_csv(spark, series.zip_index, "zip"), state_index=_csv(spark, series.state_index, "state"),
+        rates=_csv(spark, rates, "rates"), unemployment=_csv(spark, combined, "urate"),
+        judicial=_csv(spark, series.judicial.select("State", F.lit("x").alias("Full"), "Judicial"), "judicial"),
+        spread=_csv(spark, spread, "spread"),
+    )
+
+
+_BUILT = """
+  select cast(Loan_ID as varchar) as Loan_ID, Seq, Act_Period::varchar as period, Current_Status, Next_Status, Curr_HPI, MTMLTV,
+         Benchmark_Rate, SATO, Curr_URate, URate_Change, Judicial, "10-2Spread" as spread, DTI, Mi_Type, Month_2
+  from panel
+  where Current_Status between 0 and 6 and (Next_Status = 7 or (Next_Status between -1 and 7 and Next_Status <= Current_Status + 1))"""
+
+
+def build_from_files(spark, sf):
+    """Every legal transition, from text files to the stored table in one call."""
+    everything = {s: 1.0 for s in states.STATES}
+    out = job.build_from_files(spark, _job_files(spark, sf), _path(spark, "job"), fractions=everything, vintage_edges=A.TEST_EDGES)
+    return out.select(
+        "Loan_ID", "Seq", F.col("Act_Period").cast("string").alias("period"), "Current_Status", "Next_Status", "Curr_HPI", "MTMLTV",
+        "Benchmark_Rate", "SATO", "Curr_URate", "URate_Change", "Judicial", F.col("10-2Spread").alias("spread"), "DTI", "Mi_Type", "Month_2",
+    )
+
+
+QUERIES["build_from_files"], SQL["build_from_files"] = build_from_files, _month_only(_BUILT)
+
