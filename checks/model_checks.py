@@ -108,7 +108,7 @@ def gbt_grid(spark, sf):
 
 def _logit_scores(spark, sf, state):
     train, test = _split(_rows(spark, sf, state))
-    fitted = models.multinomial_logit(train.count()).fit(train)
+    fitted = models.converged(models.multinomial_logit(train.count()).fit(train))
     return models.class_columns(fitted.transform(test), state)
 
 
