@@ -242,10 +242,10 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their columns; cases as in ``judge``."""
-    thin = measured(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), ["doc_id"])
-    known = materialize(labelled(thin.where("not base_failed"), labels))
-    rules = learn(known)
-    discard(known)
+    # Stored before it is filtered: a filter on statistics would compute them once more.
+    thin = materialize(measured(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), ["doc_id"]))
+    rules = learn(labelled(thin.where("not base_failed"), labels))
+    discard(thin)
     [row] = fresh(docs.columns, "row")
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row), F.col("text").alias("text"))
     kept = measured(whole, [row]).where(~F.col("base_failed") & (verdict(rules) == 0))
