@@ -30,6 +30,8 @@ MOST_TIMES = 3
 SHARDS = 8
 ROWS_PER_BLOCK = 64
 SEED = 17
+#: A shard's order is dealt out in 2 ** PART_BITS parts.
+PART_BITS = 8
 WORDS = SPACE_CLASS.replace("[", "[^") + "+"
 
 
@@ -225,7 +227,9 @@ def decisions(docs: DataFrame, **options) -> DataFrame:
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as it is taken, by output shard in random order inside."""
     mixed, names = mix(docs, **options)
-    shard, order, copy = fresh(mixed.columns, "shard", "order", "copy")
+    shard, order, copy, part = fresh(mixed.columns, "shard", "order", "copy", "part")
     copies = mixed.select(*[F.col(f"`{c}`") for c in docs.columns], F.col(names["order"]).alias(order), F.posexplode(names["shards"]).alias(copy, shard))
     copies = copies.withColumn(order, F.xxhash64(F.col(order), F.col(copy)))
-    return copies.repartition(shard).sortWithinPartitions(shard, order).select(*docs.columns)
+    # A shard is as many tasks as its random order has parts, not one.
+    copies = copies.withColumn(part, F.shiftrightunsigned(order, 64 - PART_BITS))
+    return copies.repartition(shard, part).sortWithinPartitions(shard, order).select(*docs.columns)
