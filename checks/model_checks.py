@@ -16,7 +16,7 @@ from checks import adapter as A
 from checks.registry import query
 from loanshift.functions.states import targets_of
 from loanshift.operators import discriminant, features, matrix, metrics, models, panel, sampling
-from loanshift.plans import training
+from loanshift.plans import assessment, training
 from loanshift.session import materialize, shared_folder
 
 KEYS = ["Loan_ID", "Seq", "Act_Period"]
@@ -277,3 +277,37 @@ def model_horizon(spark, sf):
         F.round(F.sum(F.when(F.col("cur").isin(-1, 7) & (F.col("cur") != F.col("nxt")), F.col("p"))), 9).alias("out_of_end"),
     )
     return own.select("record.*", "states", "mass", "out_of_end")
+
+
+_ASSESSED = """
+  select cur, target, count(*) filter (Next_Status = target) as positives, count(*) filter (Next_Status <> target) as negatives,
+         case when count(*) filter (Next_Status = target) > 0 and count(*) filter (Next_Status <> target) > 0 then true end as area_in_range,
+         true as weighted_in_range, count(*) as calibrated, count(*) as predicted
+  from rows_ join {targets} on cur = Current_Status where not train group by 1, 2"""
+
+
+def _assessed(found):
+    """Counts and flags of an assessment, which SQL can tell."""
+    areas = found.areas.withColumn("area_in_range", F.col("roc_auc").between(0, 1))
+    weighted = found.weighted.select("cur", F.col("weighted_auc").between(0, 1).alias("weighted_in_range"))
+    bins = found.calibration.groupBy("cur", "target").agg(F.sum("n").alias("calibrated"))
+    predicted = found.predictions.groupBy("cur").agg(F.count("*").alias("predicted"))
+    joined = areas.join(weighted, "cur").join(bins, ["cur", "target"]).join(predicted, "cur")
+    return joined.select("cur", "target", "positives", "negatives", "area_in_range", "weighted_in_range", "calibrated", "predicted")
+
+
+@query(f"with {_MODEL_ROWS}" + _ASSESSED.format(targets="targets"))
+def assess_logit(spark, sf):
+    """Softmax regressions of all seven states, loaded from disk and judged on their test rows."""
+    test = _complete(spark, sf).where("split = 'test'")
+    return _assessed(assessment.assess(assessment.logit_scores(test, _state_logits(spark, sf), ["Loan_ID", "Seq"]), ["Loan_ID", "Seq"]))
+
+
+@query(f"""with {_MODEL_ROWS},
+  trained as (select distinct Current_Status as cur, Next_Status as target from rows_ where train)""" + _ASSESSED.format(targets="trained"))
+def assess_lda(spark, sf):
+    """Shrunken discriminants of all seven states, judged on their test rows over the classes they were trained on."""
+    rows = _complete(spark, sf)
+    train, test = rows.where("split = 'train'"), rows.where("split = 'test'")
+    scored = assessment.discriminant_scores(train, test, features.NUMERIC, features.CATEGORICAL, ["Loan_ID", "Seq"])
+    return _assessed(assessment.assess(scored, ["Loan_ID", "Seq"]))

@@ -162,6 +162,14 @@ def class_statistics(df: DataFrame, label: str, columns: list[str]) -> DataFrame
     return df.groupBy(label).agg(*stats)
 
 
+def standardized(df: DataFrame, features: str, width: int) -> DataFrame:
+    """The feature arrays with mean 0 and deviation 1 (constant features: deviation 0)."""
+    cells = [F.col(features)[i] for i in range(width)]
+    found = df.agg(*[f(c) for c in cells for f in (F.avg, F.stddev_pop)]).first()
+    scaled = [(c - (found[2 * i] or 0.0)) / (found[2 * i + 1] or 1.0) for i, c in enumerate(cells)]
+    return df.withColumn(features, F.array(*scaled))
+
+
 def forward_select(
     df: DataFrame, label: str, features: str, names: list[str], fold: str, folds: int = 5, keep: int | None = None
 ) -> list[str]:
@@ -169,9 +177,11 @@ def forward_select(
 
     Statistics of a training fold are the total minus the held-out fold's, so
     one pass serves every fit; each round scores all remaining candidates in
-    one more pass.
+    one more pass. Features are centred and scaled first: that changes no
+    discriminant, and keeps sums of squares of large values from cancelling.
     """
     keep = keep or max(1, len(names) // 2)
+    df = standardized(df, features, len(names))
     both = F.concat_ws("|", F.col(fold), F.col(label))
     parts = class_sums(df, both, F.col(features), len(names))
     by_fold = [{g.split("|")[1]: s for g, s in parts.items() if g.split("|")[0] == str(k)} for k in range(folds)]

@@ -359,5 +359,5 @@ def score_states(rows: DataFrame, models: dict[int, PipelineModel], keep: list[s
         wide = class_columns(model.transform(own), state)
         cells = [F.struct(F.lit(t).alias("target"), F.col(f"p_{t}").alias("p")) for t in targets_of(state)]
         long = wide.select(*keep, F.lit(state).alias("cur"), F.explode(F.array(*cells)).alias("_c"))
-        parts.append(long.select(*keep, "cur", "_c.*"))
+        parts.append(long.select(*[F.col(f"`{c}`") for c in long.columns if c != "_c"], "_c.*"))
     return reduce(DataFrame.unionByName, parts)
