@@ -148,7 +148,7 @@ def copies(docs: DataFrame) -> DataFrame:
     """``(doc_id, th)`` of rows whose whole text a smaller doc_id has too."""
     rows = materialize(_keyed(docs).select("doc_id", "th", F.md5("text").alias("digest")))
     first = rows.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("last > first")
-    return materialize(rows.join(first, "digest").where("doc_id > first").select("doc_id", "th").distinct())
+    return materialize(rows.join(materialize(first), "digest").where("doc_id > first").select("doc_id", "th").distinct())
 
 
 def occurrences(docs: DataFrame, copied: DataFrame, window: int = WINDOW) -> DataFrame:
