@@ -31,6 +31,8 @@ CAPACITY = 4096
 GROUPS = 16
 #: Large pieces are longer than this part of the capacity.
 LARGE = 5
+#: The part of a sequence that may stay empty before it is packed anew, at first.
+LOOSE = 64
 #: Pieces of one length that one task ranks.
 RANKED_AT_ONCE = 100_000
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -135,9 +137,8 @@ def _grouped(counts: np.ndarray, capacity: int, groups: int) -> list[Run]:
     return runs
 
 
-def pack_histogram(counts: np.ndarray, capacity: int = CAPACITY, groups: int = GROUPS) -> list[Run]:
-    """``(sequences, [(length, pieces in each)])`` that hold ``counts[length]`` pieces of every length."""
-    counts = counts.copy()
+def _best_fit(counts: np.ndarray, capacity: int, begun: list[Run]) -> list[Run]:
+    """Sequences ``begun`` and new ones that hold ``counts`` too: the longest first, each into the least room it fits."""
     by_room: dict[int, list[Run]] = {}
     rooms: list[int] = []
 
@@ -148,7 +149,7 @@ def pack_histogram(counts: np.ndarray, capacity: int = CAPACITY, groups: int = G
             insort(rooms, room)
         by_room[room].append(run)
 
-    for run in _grouped(counts, capacity, groups):
+    for run in begun:
         add(run)
     for length in range(capacity, 0, -1):
         left = int(counts[length])
@@ -172,6 +173,27 @@ def pack_histogram(counts: np.ndarray, capacity: int = CAPACITY, groups: int = G
     return [run for same in by_room.values() for run in same]
 
 
+def pack_histogram(counts: np.ndarray, capacity: int = CAPACITY, groups: int = GROUPS) -> list[Run]:
+    """``(sequences, [(length, pieces in each)])`` that hold ``counts[length]`` pieces of every length.
+
+    Where rounding cost room that no small piece fills, sequences with over so
+    much room are emptied and their pieces best-fitted once more, if that saves any.
+    """
+    left = counts.copy()
+    begun = _grouped(left, capacity, groups)
+    runs = _best_fit(left, capacity, begun)
+    for spare in (capacity // LOOSE, 0):
+        tight, loose, again = [], [], np.zeros_like(counts)
+        for sequences, content in runs:
+            room = capacity - sum(length * n for length, n in content)
+            (loose if room > spare else tight).append((sequences, content))
+        for sequences, content in loose:
+            for length, each in content:
+                again[length] += sequences * each
+        runs = tight + min(loose, _best_fit(again, capacity, []), key=lambda some: sum(n for n, _ in some))
+    return runs
+
+
 class Plan:
     """Where the pieces of a length go, by rank: arrays sorted by (length, first rank)."""
 

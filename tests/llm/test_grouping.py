@@ -76,7 +76,8 @@ def test_pieces_and_places(spark, monkeypatch):
             rooms.append(min(fitting) - length)
         else:
             rooms.append(64 - length)
-    assert used <= 1.02 * len(rooms) + 2
+    # Rounding up may cost a sequence per group, whatever the number of pieces.
+    assert used <= 1.02 * len(rooms) + grouping.GROUPS
     again = grouping.pack_documents(df.repartition(2), PATH, 1, 64).collect()
     assert Counter(tuple(r) for r in again) == Counter(tuple(r) for r in found)
     assert grouping.pack_documents(df.where(F.lit(False)), PATH).count() == 0
