@@ -7,6 +7,7 @@ Intermediate tables go to the shared folder the cluster names in
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -17,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 _STORED: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 _SCOPES: list[list[str]] = []
+_FREEING: dict[str, tuple[int, str]] = {}
+_LOCK = threading.Lock()
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str = "loanshift") -> SparkSession:
@@ -57,14 +60,24 @@ def _own_folder() -> str:
 
 @contextmanager
 def _freeing_shuffles(spark: SparkSession) -> Iterator[None]:
-    """Have Spark remove a query's shuffle files when it ends: what it wrote is stored, nothing reads them again."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, "false")
-    spark.conf.set(key, "true")
+    """Have Spark remove a query's shuffle files when it ends: what it wrote is stored, nothing reads them again.
+
+    Several threads may store at once: the first to come sets the option, the last to go restores it.
+    """
+    key, session = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", spark._jsparkSession.sessionUUID()
+    with _LOCK:
+        users, before = _FREEING.get(session) or (0, spark.conf.get(key, "false"))
+        _FREEING[session] = (users + 1, before)
+        spark.conf.set(key, "true")
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        with _LOCK:
+            users, before = _FREEING.pop(session)
+            if users > 1:
+                _FREEING[session] = (users - 1, before)
+            else:
+                spark.conf.set(key, before)
 
 
 def materialize(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import pathlib
 import re
+from multiprocessing.pool import ThreadPool
 
 import pytest
 from pyspark.errors import PySparkException
@@ -110,6 +111,8 @@ def test_stored_tables_go_with_their_scope(spark):
         session.discard(one)
         assert len(set(folder.iterdir()) - before) == 1
     assert set(folder.iterdir()) == before
+    with ThreadPool(6) as pool:
+        assert sum(t.count() for t in pool.map(lambda n: session.materialize(spark.range(n)), range(1, 13))) == 78
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
 
 
