@@ -7,14 +7,16 @@ statistics under the discriminant have.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks import adapter as A
 from checks.registry import query
-from loanshift.functions.states import targets_of
+from loanshift.functions.states import LIVE_STATES, targets_of
 from loanshift.operators import discriminant, features, matrix, metrics, models, panel, sampling
 from loanshift.plans import assessment, training
 from loanshift.session import materialize, shared_folder
@@ -40,6 +42,13 @@ def _rows(spark, sf, state, one_hot=True):
     return A.prepare(spark, sf, f"rows-{state}-{one_hot}", build)
 
 
+def _fitted_states(spark, sf):
+    """Current states with at least two classes among their training rows; others have nothing to fit."""
+    train = _complete(spark, sf).where("split = 'train'")
+    found = train.groupBy("Current_Status").agg(F.count_distinct("Next_Status").alias("classes")).where("classes > 1").collect()
+    return sorted(r["Current_Status"] for r in found if r["Current_Status"] in LIVE_STATES)
+
+
 def _split(rows):
     return rows.where("split = 'train'"), rows.where("split = 'test'")
 
@@ -100,10 +109,16 @@ def gbt_importance(spark, sf):
 
 @query()
 def gbt_grid(spark, sf):
-    """A corner of the tuning grid for 0 -> 1."""
-    train, _ = _split(_rows(spark, sf, 0, one_hot=False))
-    corner = {"stepSize": [0.3, 0.8], "maxDepth": [4], "minInstancesPerNode": [1]}
-    return models.tune_trees(train, targets_of(0).index(1), corner, folds=5, rounds=3)
+    """All 64 points of the tuning grid at all rounds, for every state and target with both outcomes."""
+    parts = []
+    for state in _fitted_states(spark, sf):
+        train, _ = _split(_rows(spark, sf, state, one_hot=False))
+        sizes = models.class_sizes(train)
+        for i, target in enumerate(targets_of(state)):
+            if 0 < sizes.get(float(i), 0) < sum(sizes.values()):
+                areas = models.tune_trees(train, i, folds=5)
+                parts.append(areas.select(F.lit(state).alias("cur"), F.lit(target).alias("target"), "*"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _logit_scores(spark, sf, state):
