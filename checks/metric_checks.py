@@ -216,3 +216,9 @@ def path_shares(spark, sf):
     """Sampled horizons for every loan: 100 walks of 3 months each."""
     matrices = matrix.loan_matrices(A.matrix_rows(spark, sf))
     return matrix.sampled_horizon(matrices, state=0, months=3, paths=100, seed=1)
+
+
+@query(_walk_sql(6, 10_000, 1))
+def path_shares_full(spark, sf):
+    """Sampled horizons for every loan at the operator's defaults: 10,000 walks of 6 months each."""
+    return matrix.sampled_horizon(matrix.loan_matrices(A.matrix_rows(spark, sf)), state=0)

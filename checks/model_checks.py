@@ -212,9 +212,10 @@ def model_comparison(spark, sf):
     train, _ = _split(_rows(spark, sf, 2))
     n = train.count()
     candidates = {
-        "logit": models.multinomial_logit(n, max_iter=20),
-        "logit_strong": models.multinomial_logit(n, c=0.01, max_iter=20),
-        "svc": models.support_vectors(n, max_iter=5),
+        "logit": models.multinomial_logit(n),
+        "logit_strong": models.multinomial_logit(n, c=0.01),
+        "svc": models.support_vectors(n),
+        "trees": models.boosted_trees(),
     }
     return models.compare_models(models.with_class_weights(train), candidates)
 
@@ -225,8 +226,9 @@ def mlp_current(spark, sf):
     rows = _rows(spark, sf, 0)
     stays = rows.withColumn("label", (F.col("Next_Status") == 0).cast("double"))
     train, test = _split(stays)
-    net = models.perceptron(len(models.feature_names(rows)), max_iter=30).fit(train)
-    return metrics.confusion(net.transform(test).withColumnRenamed("label", "truth").select("truth", "prediction"))
+    net = models.perceptron(len(models.feature_names(rows))).fit(train)
+    found = metrics.confusion(net.transform(test).withColumnRenamed("label", "truth").select("truth", "prediction"))
+    return found.withColumn("converged", F.lit(models.ended_by_tolerance(net)))
 
 
 _FEATURES = [*features.NUMERIC, *features.CATEGORICAL]

@@ -19,6 +19,7 @@ from pyspark.ml.classification import (
     LogisticRegression,
     MultilayerPerceptronClassifier,
     OneVsRest,
+    OneVsRestModel,
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
@@ -177,6 +178,16 @@ def converged(model):
     return model
 
 
+def ended_by_tolerance(model) -> bool:
+    """Whether a fit, or each of one-vs-rest, ended before its limit of iterations; boosted trees have rounds, not a tolerance."""
+    if isinstance(model, OneVsRestModel):
+        return all(ended_by_tolerance(m) for m in model.models)
+    if isinstance(model, GBTClassificationModel):
+        return True
+    summary = model.summary() if callable(model.summary) else model.summary
+    return summary.totalIterations < model.getOrDefault("maxIter")
+
+
 def multinomial_logit(
     n_rows: int, c: float = 1.0, features: str = "features", max_iter: int = LOGIT_ITERATIONS
 ) -> LogisticRegression:
@@ -203,6 +214,14 @@ def support_vectors(n_rows: int, c: float = 1.0, features: str = "features", max
     return OneVsRest(classifier=one, featuresCol=features, weightCol="weight")
 
 
+def boosted_trees(features: str = "features") -> OneVsRest:
+    """Boosted trees with the settings of ``fit_trees``, one against the rest."""
+    one = GBTClassifier(
+        featuresCol=features, maxIter=TREE_ROUNDS, stepSize=TREE_STEP, maxDepth=TREE_DEPTH, maxBins=64, seed=FOREST_SEED
+    )
+    return OneVsRest(classifier=one, featuresCol=features)
+
+
 def perceptron(width: int, classes: int = 2, max_iter: int = 100, seed: int = 42) -> MultilayerPerceptronClassifier:
     return MultilayerPerceptronClassifier(layers=[width, *HIDDEN_LAYERS, classes], maxIter=max_iter, seed=seed)
 
@@ -252,18 +271,21 @@ def forward_select(
 
 
 def compare_models(train: DataFrame, candidates: dict, folds: int = 5, parallelism: int = 4) -> DataFrame:
-    """Cross-validated accuracy per candidate on the same folds."""
+    """Cross-validated accuracy per candidate on the same folds, and whether each of its fits ended by tolerance."""
     judge = MulticlassClassificationEvaluator(metricName="accuracy")
 
-    def accuracy(name: str) -> float:
+    def accuracy(name: str) -> tuple[float, bool]:
         search = CrossValidator(
             estimator=candidates[name], estimatorParamMaps=[{}], evaluator=judge, numFolds=folds, seed=FOREST_SEED,
-            **_folds(train),
+            collectSubModels=True, **_folds(train),
         )
-        return float(search.fit(train).avgMetrics[0])
+        fitted = search.fit(train)
+        ended = all(ended_by_tolerance(m) for m in [fitted.bestModel, *(part[0] for part in fitted.subModels)])
+        return float(fitted.avgMetrics[0]), ended
 
-    rows = list(_at_once(train.sparkSession, accuracy, list(candidates), parallelism).items())
-    return train.sparkSession.createDataFrame(rows, "model string, accuracy double")
+    found = _at_once(train.sparkSession, accuracy, list(candidates), parallelism)
+    rows = [(name, *result) for name, result in found.items()]
+    return train.sparkSession.createDataFrame(rows, "model string, accuracy double, converged boolean")
 
 
 # --- scoring a portfolio ------------------------------------------------------------
