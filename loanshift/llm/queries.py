@@ -9,7 +9,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanshift.llm import bilinear, chat_queries, covering, decision_list, doubling, grouping, mixing, splitters, syncmers, tool_calls, wavelet
+from loanshift.llm import (
+    bilinear,
+    chat_queries,
+    class_cuts,
+    covering,
+    decision_list,
+    doubling,
+    grouping,
+    importance,
+    mixing,
+    shortest_first,
+    splitters,
+    syncmers,
+    tool_calls,
+    wavelet,
+)
 from loanshift.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,3 +123,83 @@ def op3_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = splitters.shard_documents(table(spark, sf_dir, "documents"), shards=8)
     none = F.lit(None).cast("int").alias("grown_shard")
     return found.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", none)
+
+
+@query(
+    """
+    with crc_table as (
+      select list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)
+                  order by i) as t
+      from (select unnest(range(0, 256)) as i)),
+    sets as (
+      select 'd' as side, doc_id, coalesce(text, '') as text from documents
+      union all select 'b', null, coalesce(text, '') from benchmark),
+    cut as (
+      select side, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+      from sets),
+    found as (select side, doc_id, unnest(words) as w from cut),
+    coded as (
+      select w, xor(list_reduce(
+               list_prepend(4294967295, [('0x' || substr(hex(w), 2 * i + 1, 2))::bigint for i in range(0, strlen(w))]),
+               lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 10000 as bucket
+      from (select distinct w from found) cross join crc_table),
+    counts as (
+      select bucket, count(*) filter (side = 'd') as s, count(*) filter (side = 'b') as t from found join coded using (w) group by 1),
+    sums as (select cast(sum(s) as double) as all_s, cast(sum(t) as double) as all_t from counts),
+    gains as (
+      select bucket, cast(floor(1000e0 * ln((t + 1e0) * (all_s + 1e4) / ((s + 1e0) * (all_t + 1e4)))) as bigint) as gain
+      from counts cross join sums),
+    weights as (
+      select doc_id, cast(sum(gain) as bigint) as weight from found join coded using (w) join gains using (bucket)
+      where side = 'd' group by 1),
+    scored as (
+      select c.doc_id, len(words) as n_features, coalesce(weight, 0) as weight,
+             coalesce(weight, 0) + cast(floor(-1000e0 * ln(-ln((h + 0.5e0) / 4294967296e0))) as bigint) as score
+      from (select *, ('0x' || substr(sha256('2024:' || doc_id), 1, 8))::bigint as h from cut where side = 'd') c
+      left join weights w on c.doc_id = w.doc_id),
+    drawn as (
+      select doc_id, row_number() over (order by score desc, doc_id) as rank from scored where n_features >= 20)
+    select s.doc_id, n_features, weight, score,
+           case when rank <= (10 * (select count(*) from drawn)) // 100 then rank end as rank
+    from scored s left join drawn d on s.doc_id = d.doc_id
+    """
+)
+def op11_tokenizers_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def byte_tokenizer() -> str:
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query()
+def op12_shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shortest_first.pack_documents(table(spark, sf_dir, "documents"), byte_tokenizer(), end_id=1, capacity=2048).drop("ids")
+
+
+@query(
+    """
+    with hashed as (select doc_id, coalesce(text, '') as t, length(coalesce(text, '')) as n, sha256('1:' || doc_id) as x from documents),
+    drawn as (
+      select *, ('0x' || substr(x, 1, 8))::bigint % (n + 1) as a, ('0x' || substr(x, 9, 8))::bigint % (n + 1) as b,
+             ('0x' || substr(x, 17, 8))::bigint as h3, ('0x' || substr(x, 25, 8))::bigint as h4 from hashed),
+    formed as (
+      select *, least(a, b) as p, greatest(a, b) - least(a, b) as m,
+             case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90 then 'plain'
+                  when h4 % 100 < 20 then 'spm' else 'psm' end as form from drawn)
+    select doc_id, n, form, case when form <> 'plain' then p end as prefix_chars, case when form <> 'plain' then m end as middle_chars,
+           sha256(case form when 'plain' then t
+                  when 'psm' then '<P>' || substr(t, 1, p) || '<S>' || substr(t, p + m + 1) || '<M>' || substr(t, p + 1, m)
+                  else '<S>' || substr(t, p + m + 1) || '<P>' || substr(t, 1, p) || '<M>' || substr(t, p + 1, m) end) as output_sha256,
+           sha256(t) as restored_sha256
+    from formed
+    """
+)
+def op13_wavelet_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = class_cuts.transform(table(spark, sf_dir, "documents"), unit="chars")
+    return found.select(
+        "doc_id", "n", "form", F.col("prefix_units").alias("prefix_chars"), F.col("middle_units").alias("middle_chars"),
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(class_cuts.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
