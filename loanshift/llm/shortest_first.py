@@ -14,7 +14,6 @@ each length, and the counts of the tasks before are added by a join.
 
 from __future__ import annotations
 
-import os
 import re
 import struct
 from array import array
@@ -36,6 +35,11 @@ CAPACITY = 2048
 LOOSE = 16
 #: Code points between which a byte-level pattern never merges: white space on one side only, the blank going right.
 BORDER = re.compile(r"(?<=\S)(?= \S)")
+#: Characters whose class every Unicode version agrees on, and the byte-level pre-tokens of text of them.
+PLAIN = re.compile("[\t\n\r -~À-ÖØ-öø-ſ]*")
+TOKENS = re.compile("'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ſ]+| ?[0-9]+| ?[^\\sA-Za-z0-9À-ÖØ-öø-ſ]+|\\s+(?!\\S)|\\s+")
+#: Code points of a segment that is worth keeping.
+LONGEST_KEPT = 64
 #: Code points that are cut into segments at a time.
 AT_ONCE = 1 << 20
 PIECE_SCHEMA = "doc_id long, start long, doc_tokens long, ids binary, length int, part int, nth long"
@@ -44,41 +48,60 @@ Run = tuple[int, list[tuple[int, int]]]
 
 
 class SegmentEncoder:
-    """Ids of whole texts by the tokenizers library, each distinct segment encoded once.
-
-    Sound for byte-level tokenizers without a normaliser: their pattern puts a
-    blank before the word after it and merges nothing across, so the ids of a
-    text are those of its segments in turn. ``memo_words`` bounds memory only.
+    """Ids of whole texts by the tokenizers library, each distinct pre-token encoded once.
+
+    Sound for byte-level tokenizers with the pattern below and no normaliser:
+    they put a blank before the word after it and merge nothing across, so a
+    text may be cut at borders. Segments of plain characters are cut into
+    pre-tokens, which go straight to the library's model; any other segment goes
+    through the whole tokenizer. ``memo_words`` bounds memory only: half of it
+    is kept when it is full.
     """
 
     def __init__(self, path: str, memo_words: int = MEMO_WORDS) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one thread
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.memo_words, self.memo = memo_words, {}
+        self.model = self.tokenizer.model
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.memo, self.older, self.at_most = {}, {}, max(1, memo_words // 2)
+        plain = [chr(c) for c in range(0x180) if PLAIN.fullmatch(chr(c))]
+        self.shown = {ord(c): self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in plain}
 
-    def _segments(self, text: str) -> Iterator[list[str]]:
+    def _tokens(self, text: str) -> Iterator[list[str]]:
         start = 0
         while start < len(text):
             border = BORDER.search(text, start + AT_ONCE)
             end = border.start() if border else len(text)
-            yield BORDER.split(text[start:end])
-            start = end
+            part, start = text[start:end], end
+            if any(mark in part for mark in self.special):
+                yield [part]
+            elif PLAIN.fullmatch(part):
+                yield TOKENS.findall(part)
+            else:
+                yield [t for s in BORDER.split(part) for t in (TOKENS.findall(s) if PLAIN.fullmatch(s) else (s,))]
+
+    def _code(self, token: str) -> bytes:
+        ids = self.older.get(token)
+        if ids is None:
+            if TOKENS.fullmatch(token) and PLAIN.fullmatch(token):
+                ids = array("I", [t.id for t in self.model.tokenize(token.translate(self.shown))]).tobytes()
+            else:
+                ids = array("I", self.tokenizer.encode(token, add_special_tokens=False).ids).tobytes()
+        if len(token) <= LONGEST_KEPT:
+            self.memo[token] = ids
+        return ids
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        memo, parts = self.memo, []
-        for segments in self._segments(text):
-            found = list(map(memo.get, segments))
+        parts, code = [], self._code
+        for tokens in self._tokens(text):
+            memo = self.memo
+            found = list(map(memo.get, tokens))
             if None in found:
-                missing = list({s for s, ids in zip(segments, found) if ids is None})
-                if len(memo) > self.memo_words:
-                    memo.clear()
-                    missing = list(set(segments))
-                for s, code in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)):
-                    memo[s] = array("I", code.ids).tobytes()
-                found = [memo[s] for s in segments]
+                found = [memo.get(t) or code(t) if ids is None else ids for t, ids in zip(tokens, found)]
+                if len(memo) > self.at_most:
+                    self.older, self.memo = memo, {}
             parts += found
         return b"".join(parts)
 
