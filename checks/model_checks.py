@@ -9,15 +9,16 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
-from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks import adapter as A
 from checks.registry import query
-from loanshift.functions.states import LIVE_STATES, targets_of
-from loanshift.operators import discriminant, features, matrix, metrics, models, panel, sampling
+from loanshift.functions.scalars import uniform_int
+from loanshift.functions.states import LIVE_STATES, STATES, targets_of
+from loanshift.operators import boosting, discriminant, features, matrix, metrics, models, panel, sampling, state_trees
+from loanshift.operators import target_statistics as ordered_statistics
 from loanshift.plans import assessment, training
 from loanshift.session import materialize, shared_folder
 
@@ -58,103 +59,222 @@ def _per_target(scored, targets):
     return metrics.melt_scores(scored, columns, [*KEYS, "Next_Status"], truth="Next_Status")
 
 
-_SCALED = ["Orig_Rate", "OLTV", "MTMLTV", "SATO"]
-_STATE_2 = """
-  select *, ('0x' || substr(md5(concat_ws('|', Loan_ID, cast(Act_Period as varchar), Seq, '123')), 1, 8))::bigint
-              >= 0.2e0 * 4294967296 as train
-  from panel where Current_Status = 2 and (Next_Status between -1 and 3 or Next_Status = 7)
-    and OLTV is not null and MTMLTV is not null and SATO is not null"""
+_FEATURES = [*features.NUMERIC, *features.CATEGORICAL]
+_COMPLETE = " and ".join(f'"{c}" is not null' for c in _FEATURES)
+_DRAWN = "('0x' || substr(md5(concat_ws('|', Loan_ID, cast(Act_Period as varchar), Seq, '{}')), 1, 8))::bigint"
+_TARGETS = """
+  targets as (select a.s as cur, b.s as target from states a cross join states b where a.s between 0 and 6 and (b.s = 7 or b.s <= a.s + 1))"""
+_MODEL_ROWS = f"""
+  rows_ as (
+    select *, {_DRAWN.format(123)} >= {TEST_SHARE}e0 * 4294967296 as train
+    from panel
+    where Current_Status between 0 and 6 and (Next_Status = 7 or (Next_Status between -1 and 7 and Next_Status <= Current_Status + 1))
+      and {_COMPLETE}),
+  {_TARGETS},
+  trained as (
+    select cur, target from rows_ join targets on cur = Current_Status where train group by 1, 2
+    having count(*) filter (Next_Status = target) between 1 and count(*) - 1)"""
+
+
+_SCALED = [c for c in features.NUMERIC if c not in features.NOT_FEATURES]
+_NAMED = [c for c in features.CATEGORICAL if c not in features.NOT_FEATURES]
+
+
+def _scaled_sql(column):
+    return f"""(case when stddev_pop("{column}") filter (train) over w = 0 then 0e0 else
+      round(("{column}" - avg("{column}") filter (train) over w) / stddev_pop("{column}") filter (train) over w, 6) end) as "{column}\""""
 
 
 @query(f"""
-  with rows_ as ({_STATE_2})
-  select Loan_ID, Seq, train, Next_Status,
-         cast(case Next_Status when 7 then 5 else Next_Status + 1 end as double) as label,
-         {", ".join(f"round(({c} - (select avg({c}) from rows_ where train)) / (select stddev_pop({c}) from rows_ where train), 6) as {c}" for c in _SCALED)},
-         {", ".join(f"cast(Purpose = '{p}' as integer) as Purpose_{p}" for p in "PR")},
-         {", ".join(f"cast(Channel = '{c}' as integer) as Channel_{c}" for c in "BFHM")}
-  from rows_""")
+  with drawn as (
+    select *, {_DRAWN.format(123)} >= 0.2e0 * 4294967296 as train from panel
+    where Current_Status between 0 and 6 and (Next_Status = 7 or (Next_Status between -1 and 7 and Next_Status <= Current_Status + 1))
+      and {" and ".join(f'"{c}" is not null' for c in [*_SCALED, *_NAMED])})
+  select Current_Status as cur, Loan_ID, Seq, train, Next_Status, {", ".join(_NAMED)}, {", ".join(map(_scaled_sql, _SCALED))},
+         cast(case Next_Status when 7 then Current_Status + 3 else Next_Status + 1 end as double)
+           - case when Current_Status = 6 and Next_Status = 7 then 1 else 0 end as label
+  from drawn window w as (partition by Current_Status)""")
 def training_tables(spark, sf):
-    """Train and test rows of state 2: scaled on the training part, first category dropped."""
-    parts = training.training_tables(_transitions(spark, sf), 2, _SCALED, ["Purpose", "Channel"], one_hot=True)
-    train, test = (p.withColumn("train", F.lit(i == 0)) for i, p in enumerate(parts))
-    return train.union(test).drop("Act_Period").withColumns({c: F.round(c, 6) for c in _SCALED})
+    """Train and test rows of all seven states: every model feature, scaled on the training part."""
+    parts = []
+    for state in LIVE_STATES:
+        for i, part in enumerate(training.training_tables(_transitions(spark, sf), state, _SCALED, _NAMED)):
+            parts.append(part.withColumns({"train": F.lit(i == 0), "cur": F.lit(state)}))
+    found = reduce(DataFrame.unionByName, parts).drop("Act_Period")
+    return found.withColumns({c: F.round(f"`{c}`", 6) for c in _SCALED})
 
 
-@query()
-def gbt_ovr(spark, sf):
-    """Boosted trees per target of state 0, judged on the test rows."""
-    train, test = _split(_rows(spark, sf, 0, one_hot=False))
-    return training.assess_trees(train, test, 0).metrics
+# --- boosted trees: every current state and target ---------------------------------------
 
 
-@query()
-def gbt_saved_scores(spark, sf):
-    """Models saved, loaded and applied; probabilities sum to one per row."""
-    train, test = _split(_rows(spark, sf, 2, one_hot=False))
-    loaded = {}
-    for target, model in models.fit_trees(train, 2).items():
-        path = f"{shared_folder(spark)}/model-{uuid.uuid4().hex}"
-        models.save_model(model, path)
-        loaded[target] = GBTClassificationModel.load(path)
-    return models.score_trees(test, loaded).drop("features", "label", "fold", "split")
+def _tree_rows(spark, sf):
+    """Complete rows of all states with split and fold, as the trees read them."""
 
+    def build():
+        marked = sampling.with_fold(sampling.with_split(_transitions(spark, sf), TEST_SHARE), 3)
+        rows = marked.where(F.col("Current_Status").isin(LIVE_STATES))
+        return rows.select(*KEYS, "split", "fold", "Current_Status", "Next_Status", *[F.col(f"`{c}`") for c in _FEATURES]).na.drop("any")
 
-@query()
-def gbt_importance(spark, sf):
-    rows = _rows(spark, sf, 1, one_hot=False)
-    fitted = models.fit_trees(_split(rows)[0], 1)
-    return models.importance_table(fitted, models.feature_names(rows), rows)
+    return A.prepare(spark, sf, "tree-rows", build)
 
 
-@query()
-def gbt_grid(spark, sf):
-    """All 64 points of the tuning grid at all rounds, for every state and target with both outcomes."""
-    parts = []
-    for state in _fitted_states(spark, sf):
-        train, _ = _split(_rows(spark, sf, state, one_hot=False))
-        sizes = models.class_sizes(train)
-        for i, target in enumerate(targets_of(state)):
-            if 0 < sizes.get(float(i), 0) < sum(sizes.values()):
-                areas = models.tune_trees(train, i, folds=5)
-                parts.append(areas.select(F.lit(state).alias("cur"), F.lit(target).alias("target"), "*"))
-    return reduce(DataFrame.unionByName, parts)
+def _trees(spark, sf):
+    """Trees of all states and targets, trained once, saved, and loaded for scoring."""
+    key = (spark.sparkContext.applicationId, sf, "trees")
+    if key not in _saved:
+        train, _ = _split(_tree_rows(spark, sf))
+        path = f"{shared_folder(spark)}/trees-{uuid.uuid4().hex}"
+        state_trees.save(state_trees.fit(train, features.NUMERIC, features.CATEGORICAL), path)
+        _saved[key] = path
+    return state_trees.load(spark, _saved[key])
 
 
-def _logit_scores(spark, sf, state):
-    train, test = _split(_rows(spark, sf, state))
-    fitted = models.converged(models.multinomial_logit(train.count()).fit(train))
-    return models.class_columns(fitted.transform(test), state)
+def _tree_scores(spark, sf):
+    """Test rows under the loaded trees, probabilities of a row divided by their sum."""
+    _, test = _split(_tree_rows(spark, sf))
+    raw = state_trees.score(test, _trees(spark, sf), ["Loan_ID", "Seq", F.col("Next_Status").alias("truth")])
+    return metrics.normalize_ovr(raw.withColumnRenamed("p", "raw"), ["Loan_ID", "Seq"])
 
 
-@query()
-def logit(spark, sf):
-    """Softmax regression per class: areas, scores and calibration inputs of the test rows."""
-    scored = materialize(_per_target(_logit_scores(spark, sf, 1), targets_of(1)))
-    return training.judge(scored, ["target"])
+_ASSESSED = """
+  select cur, target, count(*) filter (Next_Status = target) as positives, count(*) filter (Next_Status <> target) as negatives,
+         case when count(*) filter (Next_Status = target) > 0 and count(*) filter (Next_Status <> target) > 0 then true end as area_in_range,
+         true as weighted_in_range, count(*) as calibrated, count(*) as predicted
+  from rows_ join {targets} on cur = Current_Status where not train group by 1, 2"""
 
 
-@query()
-def logit_calibration(spark, sf):
-    scored = materialize(_per_target(_logit_scores(spark, sf, 1), targets_of(1)))
-    return metrics.calibration(scored, ["target"])
+def _assessed(found):
+    """Counts and flags of an assessment, which SQL can tell."""
+    areas = found.areas.withColumn("area_in_range", F.col("roc_auc").between(0, 1))
+    weighted = found.weighted.select("cur", F.col("weighted_auc").between(0, 1).alias("weighted_in_range"))
+    bins = found.calibration.groupBy("cur", "target").agg(F.sum("n").alias("calibrated"))
+    predicted = found.predictions.groupBy("cur").agg(F.count("*").alias("predicted"))
+    joined = areas.join(weighted, "cur").join(bins, ["cur", "target"]).join(predicted, "cur")
+    return joined.select("cur", "target", "positives", "negatives", "area_in_range", "weighted_in_range", "calibrated", "predicted")
 
 
-@query()
-def logit_predictions(spark, sf):
-    """Hard predictions beside the truth."""
-    at = F.array(*[F.lit(t) for t in targets_of(1)])
-    scored = _logit_scores(spark, sf, 1)
-    named = F.element_at(at, F.col("prediction").cast("int") + 1)
-    return scored.select(*KEYS, F.col("Next_Status").alias("truth"), named.alias("predicted"))
+@query(f"with {_MODEL_ROWS}" + _ASSESSED.format(targets="trained"))
+def gbt_ovr(spark, sf):
+    """Boosted trees per state and target, loaded from disk and judged on the test rows."""
+    return _assessed(assessment.assess(_tree_scores(spark, sf), ["Loan_ID", "Seq"]))
 
 
-@query()
-def rf_select(spark, sf):
-    """Features left by forest elimination."""
-    rows = _rows(spark, sf, 2)
-    kept = models.select_by_forest(_split(rows)[0], models.feature_names(rows))
-    return spark.createDataFrame(list(enumerate(kept)), "position int, feature string")
+@query(f"""with {_MODEL_ROWS}
+  select Loan_ID, Seq, cur, count(*) as targets, 1e0 as mass from rows_ join trained on cur = Current_Status where not train group by 1, 2, 3""")
+def gbt_saved_scores(spark, sf):
+    """Trees saved with their features, loaded and applied: every test row is scored once over all trained targets."""
+    return _tree_scores(spark, sf).groupBy("Loan_ID", "Seq", "cur").agg(F.count("*").alias("targets"), F.round(F.sum("p"), 9).alias("mass"))
+
+
+@query(f"""with {_MODEL_ROWS} select cur, target, {len(_FEATURES)}::bigint as features, 100e0 as importance from trained""")
+def gbt_importance(spark, sf):
+    """Importances of every trained target: all features, in percent."""
+    found = state_trees.importances(_trees(spark, sf))
+    return found.groupBy("cur", "target").agg(F.count_distinct("feature").alias("features"), F.round(F.sum("importance"), 6).alias("importance"))
+
+
+@query(f"""with {_MODEL_ROWS}
+  select cur, target, case when train then 'train' else 'test' end as part, round, count(*) as n,
+         case when round = 0 then round(ln(2e0), 9) end as at_start, true as falls
+  from rows_ join trained on cur = Current_Status cross join (select unnest(range(0, 31))::integer as round) group by 1, 2, 3, 4""")
+def gbt_curves(spark, sf):
+    """Log loss after every round on both parts; on the training part the last round is below the first."""
+    found = state_trees.curves(_tree_rows(spark, sf), _trees(spark, sf))
+    ends = found.groupBy("cur", "target").agg(*[
+        F.max(F.when((F.col("part") == "train") & (F.col("round") == r), F.col("log_loss"))).alias(n) for r, n in ((0, "first"), (state_trees.B.ROUNDS, "last"))
+    ])
+    start = F.when(F.col("round") == 0, F.round("log_loss", 9)).alias("at_start")
+    return found.join(ends, ["cur", "target"]).select("cur", "target", "part", "round", "n", start, (F.col("last") < F.col("first")).alias("falls"))
+
+
+@query(f"""with {_MODEL_ROWS},
+  points as (
+    select a.x as step, b.x::integer as depth, c.x as l2
+    from (select unnest([0.3e0, 0.5e0, 0.8e0, 1e0]) as x) a, (select unnest([4, 6, 8, 10]) as x) b, (select unnest([1e0, 3e0, 5e0, 10e0]) as x) c),
+  parts as (select *, floor({_DRAWN.format(321)} * 3 / 4294967296e0) as fold from rows_ where train),
+  held as (
+    select cur, target, fold, count(*) filter (Next_Status = target) between 1 and count(*) - 1 as judged
+    from parts join trained on cur = Current_Status group by 1, 2, 3)
+  select cur, target, step, depth, l2, count(*) filter (judged) as folds, case when count(*) filter (judged) > 0 then true end as area_in_range
+  from held cross join points group by 1, 2, 3, 4, 5""")
+def gbt_grid(spark, sf):
+    """All 64 points of the tuning grid at all rounds and three folds, for every state and target, trained in the same jobs."""
+    train, _ = _split(_tree_rows(spark, sf))
+    found = state_trees.tune(train, features.NUMERIC, features.CATEGORICAL, folds=3)
+    return found.select("cur", "target", "step", "depth", "l2", "folds", F.col("roc_auc").between(0, 1).alias("area_in_range"))
+
+
+_CODED = f"""
+  marked as (
+    select Loan_ID, Seq, Current_Status as cur, Next_Status as nxt, train, {_DRAWN.format(77)} as draw,
+           unnest([{", ".join(f"{{'col': {i}, 'value': cast({c} as varchar)}}" for i, c in enumerate(features.CATEGORICAL))}], recursive := true)
+    from rows_),
+  tallied as (
+    select *, count(*) filter (train) over w - train::int as total,
+           {", ".join(f"count(*) filter (train and nxt = {s}) over w - (train and nxt = {s})::int as seen_{i}" for i, s in enumerate(STATES))}
+    from marked window w as (partition by cur, col, value order by train desc, draw rows between unbounded preceding and current row))"""
+
+
+@query(f"""with {_MODEL_ROWS}, {_CODED}
+  select Loan_ID, Seq, cur, cast(col as integer) as "column", train, {", ".join(f"seen_{i}" for i in range(len(STATES)))} from tallied""")
+def target_statistics(spark, sf):
+    """Outcomes of the training rows before each row with the same category value, for every row and category."""
+    rows = _tree_rows(spark, sf).withColumns({"cur": F.col("Current_Status"), "train": F.col("split") == "train"})
+    draw = uniform_int([F.col("Loan_ID"), F.col("Act_Period"), F.col("Seq")], boosting.ORDER_SEED).alias("draw")
+    values = F.array(*[F.col(c).cast("string") for c in features.CATEGORICAL])
+    melted = rows.select("Loan_ID", "Seq", "cur", "Next_Status", "train", draw, F.posexplode(values).alias("column", "value"))
+    found = ordered_statistics.running(melted, ["cur", "column", "value"], [F.col("draw")], "train")
+    return found.select("Loan_ID", "Seq", "cur", "column", "train", *[F.col("seen")[i].alias(f"seen_{i}") for i in range(len(STATES))])
+
+
+def _first_split_sql():
+    numbers = ", ".join(f"{{'f': {i}, 'x': cast(\"{c}\" as double)}}" for i, c in enumerate(features.NUMERIC))
+    shift, bins = len(features.NUMERIC), boosting.BINS
+    probabilities = ", ".join(f"{k / bins!r}" for k in range(1, bins))
+    codes = " union all ".join(
+        f"""select c.cur, {s} as target, c.col + {shift} as f, c.nxt,
+                   least(floor((seen_{i} + base) / (total + 1) / ((seen_{i} + base) / (total + 1) + base) * 16), 15) as x
+            from tallied c join bases b on b.cur = c.cur and b.target = {s} where c.train"""
+        for i, s in enumerate(STATES)
+    )
+    return f"""with {_MODEL_ROWS}, {_CODED},
+      bases as (
+        select t.cur, t.target, count(*) filter (Next_Status = target)::double / count(*) as base
+        from rows_ join trained t on t.cur = Current_Status where train group by 1, 2),
+      numbers as (
+        select Current_Status as cur, Next_Status as nxt, unnest([{numbers}], recursive := true) from rows_ where train),
+      edges as (
+        select distinct cur, f, unnest(quantile_disc(x, [{probabilities}])) as edge from numbers group by cur, f),
+      values_ as (
+        select cur, f, x, {", ".join(f"count(*) filter (nxt = {s}) as n_{i}" for i, s in enumerate(STATES))}, count(*) as n from numbers group by 1, 2, 3),
+      sides as (
+        select t.cur, t.target, v.f, e.edge, sum(v.n) filter (v.x <= e.edge) as n_left, sum(v.n) as n,
+               sum(case t.target {" ".join(f"when {s} then n_{i}" for i, s in enumerate(STATES))} end) filter (v.x <= e.edge) as y_left,
+               sum(case t.target {" ".join(f"when {s} then n_{i}" for i, s in enumerate(STATES))} end) as y
+        from values_ v join edges e on e.cur = v.cur and e.f = v.f join trained t on t.cur = v.cur group by 1, 2, 3, 4
+        union all
+        select cur, target, f, cut, count(*) filter (x < cut), count(*), count(*) filter (x < cut and nxt = target), count(*) filter (nxt = target)
+        from ({codes}) cross join (select unnest(range(1, 16)) as cut) group by 1, 2, 3, 4),
+      halves as (
+        select *, coalesce(y_left, 0) - coalesce(n_left, 0) / 2 as g_left, coalesce(n_left, 0) / 4 as h_left, y - n / 2 as g, n / 4 as h from sides),
+      judged as (
+        select *, g_left * g_left / (h_left + 10) + (g - g_left) * (g - g_left) / (h - h_left + 10) - g * g / (h + 10) as gain from halves),
+      best as (
+        select *, row_number() over (partition by cur, target order by round(gain, 9) desc, f, edge) as place from judged)
+      select cur, target, [{", ".join(f"'{c}'" for c in _FEATURES)}][f + 1] as feature, round(gain, 5) as gain,
+             round(g_left / (h_left + 10), 6) as value_left, round((g - g_left) / (h - h_left + 10), 6) as value_right
+      from best where place = 1 and gain > 1e-9"""
+
+
+@query(_first_split_sql())
+def gbt_first_split(spark, sf):
+    """The first cut of every model with its gain and leaf values: quantile bins, category codes, histograms and penalty against SQL."""
+    train, _ = _split(_tree_rows(spark, sf))
+    found = state_trees.fit(train, features.NUMERIC, features.CATEGORICAL, rounds=1, step=1.0, depth=1)
+    rows = [
+        (cur, target, found.design.names[f[0]], round(w[0], 5), round(v[0], 6), round(v[1], 6)) for (cur, target), [(f, _, w, v)] in found.trees.items() if f
+    ]
+    return spark.createDataFrame(rows, "cur int, target int, feature string, gain double, value_left double, value_right double")
 
 
 def _arrays(rows):
@@ -231,18 +351,6 @@ def mlp_current(spark, sf):
     return found.withColumn("converged", F.lit(models.ended_by_tolerance(net)))
 
 
-_FEATURES = [*features.NUMERIC, *features.CATEGORICAL]
-_COMPLETE = " and ".join(f'"{c}" is not null' for c in _FEATURES)
-_MODEL_ROWS = f"""
-  rows_ as (
-    select *, ('0x' || substr(md5(concat_ws('|', Loan_ID, cast(Act_Period as varchar), Seq, '123')), 1, 8))::bigint
-                >= {TEST_SHARE}e0 * 4294967296 as train
-    from panel
-    where Current_Status between 0 and 6 and (Next_Status = 7 or (Next_Status between -1 and 7 and Next_Status <= Current_Status + 1))
-      and {_COMPLETE}),
-  targets as (select a.s as cur, b.s as target from states a cross join states b where a.s between 0 and 6 and (b.s = 7 or b.s <= a.s + 1))"""
-
-
 def _state_logits(spark, sf):
     """Converged softmax regressions of all seven states on all features, trained once, saved, and loaded for scoring."""
     key = (spark.sparkContext.applicationId, sf)
@@ -296,23 +404,6 @@ def model_horizon(spark, sf):
     return own.select("record.*", "states", "mass", "out_of_end")
 
 
-_ASSESSED = """
-  select cur, target, count(*) filter (Next_Status = target) as positives, count(*) filter (Next_Status <> target) as negatives,
-         case when count(*) filter (Next_Status = target) > 0 and count(*) filter (Next_Status <> target) > 0 then true end as area_in_range,
-         true as weighted_in_range, count(*) as calibrated, count(*) as predicted
-  from rows_ join {targets} on cur = Current_Status where not train group by 1, 2"""
-
-
-def _assessed(found):
-    """Counts and flags of an assessment, which SQL can tell."""
-    areas = found.areas.withColumn("area_in_range", F.col("roc_auc").between(0, 1))
-    weighted = found.weighted.select("cur", F.col("weighted_auc").between(0, 1).alias("weighted_in_range"))
-    bins = found.calibration.groupBy("cur", "target").agg(F.sum("n").alias("calibrated"))
-    predicted = found.predictions.groupBy("cur").agg(F.count("*").alias("predicted"))
-    joined = areas.join(weighted, "cur").join(bins, ["cur", "target"]).join(predicted, "cur")
-    return joined.select("cur", "target", "positives", "negatives", "area_in_range", "weighted_in_range", "calibrated", "predicted")
-
-
 @query(f"with {_MODEL_ROWS}" + _ASSESSED.format(targets="targets"))
 def assess_logit(spark, sf):
     """Softmax regressions of all seven states, loaded from disk and judged on their test rows."""
@@ -321,7 +412,7 @@ def assess_logit(spark, sf):
 
 
 @query(f"""with {_MODEL_ROWS},
-  trained as (select distinct Current_Status as cur, Next_Status as target from rows_ where train)""" + _ASSESSED.format(targets="trained"))
+  classes as (select distinct Current_Status as cur, Next_Status as target from rows_ where train)""" + _ASSESSED.format(targets="classes"))
 def assess_lda(spark, sf):
     """Shrunken discriminants of all seven states, judged on their test rows over the classes they were trained on."""
     rows = _complete(spark, sf)

@@ -51,7 +51,11 @@ def roc_points(
 ) -> DataFrame:
     """One point per distinct score, from the highest: cumulative and class totals and rates."""
     # Written out: it is counted, scanned and totalled, and scoring may be costly.
-    counts = materialize(score_counts(scored, by, round_to))
+    return points_of_counts(materialize(score_counts(scored, by, round_to)), by, hot_rows)
+
+
+def points_of_counts(counts: DataFrame, by: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``roc_points`` from stored counts ``(by..., p, pos, neg)``, one row per distinct score."""
     curve = scan(counts, by, [F.col("p").desc()], Scan(running_sum={"tp": "pos", "fp": "neg"}), hot_rows)
     totals = materialize(
         counts.groupBy(*by).agg(F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"))

@@ -13,8 +13,6 @@ from multiprocessing.pool import ThreadPool
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
-    GBTClassificationModel,
-    GBTClassifier,
     LinearSVC,
     LogisticRegression,
     MultilayerPerceptronClassifier,
@@ -22,10 +20,10 @@ from pyspark.ml.classification import (
     OneVsRestModel,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,8 +33,6 @@ from loanshift.operators.clean import complete_cases
 from loanshift.session import materialize
 
 # Training settings of the models.
-TREE_ROUNDS, TREE_STEP, TREE_DEPTH = 30, 0.3, 3
-TREE_GRID = {"stepSize": [0.3, 0.5, 0.8, 1.0], "maxDepth": [4, 6, 8, 10], "minInstancesPerNode": [1, 3, 5, 10]}
 FOREST_TREES, FOREST_SEED, IMPORTANCE_SHARE = 50, 123, 0.1
 HIDDEN_LAYERS = [36, 50, 45, 30, 15, 5]
 LOGIT_ITERATIONS = 10_000
@@ -88,29 +84,6 @@ def class_sizes(df: DataFrame, label: str = "label") -> dict[float, int]:
     return {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
 
 
-# --- one-vs-rest boosted trees -------------------------------------------------
-
-
-def fit_trees(
-    train: DataFrame, state: int, rounds: int = TREE_ROUNDS, step: float = TREE_STEP, depth: int = TREE_DEPTH,
-    features: str = "features", max_bins: int = 64, parallelism: int = 4,
-) -> dict[int, GBTClassificationModel]:
-    """A boosted-tree model per reachable target; targets without both outcomes are skipped."""
-    sizes = class_sizes(train)
-    total = sum(sizes.values())
-    at = {target: float(i) for i, target in enumerate(targets_of(state))}
-
-    def fit(target: int) -> GBTClassificationModel:
-        rows = train.withColumn("is_target", (F.col("label") == at[target]).cast("double"))
-        trees = GBTClassifier(
-            featuresCol=features, labelCol="is_target", maxIter=rounds, stepSize=step, maxDepth=depth,
-            maxBins=max_bins, seed=FOREST_SEED,
-        )
-        return trees.fit(rows)
-
-    return _at_once(train.sparkSession, fit, [t for t in at if 0 < sizes.get(at[t], 0) < total], parallelism)
-
-
 def _at_once(spark: SparkSession, fit, keys: list, parallelism: int) -> dict:
     """Fit independent models from several driver threads, so the small jobs of
     one fill the executors another leaves idle."""
@@ -118,52 +91,6 @@ def _at_once(spark: SparkSession, fit, keys: list, parallelism: int) -> dict:
         return dict(zip(keys, pool.map(inheritable_thread_target(spark)(fit), keys)))
 
 
-def score_trees(df: DataFrame, models: dict) -> DataFrame:
-    """Add ``p_<target>`` per trained target, normalised to sum to one. Keys stay
-    on the row, so no join back to the source is needed."""
-    out = df
-    for target, model in models.items():
-        scratch = {"probabilityCol": "_prob", "rawPredictionCol": "_raw", "predictionCol": "_pred"}
-        out = model.copy({getattr(model, n): v for n, v in scratch.items()}).transform(out)
-        out = out.withColumn(f"p_{target}", vector_to_array("_prob")[1]).drop(*scratch.values())
-    return metrics.normalize_wide(out, [f"p_{t}" for t in models])
-
-
-def importance_table(models: dict, names: list[str], df: DataFrame) -> DataFrame:
-    """(feature, target, importance): features times targets, in percent."""
-    rows = [
-        (name, int(target), float(value) * 100)
-        for target, model in models.items()
-        for name, value in zip(names, model.featureImportances.toArray())
-    ]
-    return df.sparkSession.createDataFrame(rows, "feature string, target int, importance double")
-
-
-def tune_trees(
-    train: DataFrame, target_index: int, grid: dict[str, list] | None = None, folds: int = 3, parallelism: int = 4,
-    rounds: int = TREE_ROUNDS,
-) -> DataFrame:
-    """Cross-validated ROC area for every point of the grid.
-
-    Spark's trees have no leaf penalty; ``minInstancesPerNode`` takes that axis.
-    """
-    grid = TREE_GRID if grid is None else grid
-    rows = train.withColumn("is_target", (F.col("label") == float(target_index)).cast("double"))
-    trees = GBTClassifier(featuresCol="features", labelCol="is_target", maxIter=rounds, maxBins=64, seed=FOREST_SEED)
-    builder = ParamGridBuilder()
-    for name, values in grid.items():
-        builder = builder.addGrid(getattr(trees, name), values)
-    points = builder.build()
-    search = CrossValidator(
-        estimator=trees, estimatorParamMaps=points, numFolds=folds, seed=FOREST_SEED, parallelism=parallelism,
-        evaluator=BinaryClassificationEvaluator(labelCol="is_target"), **_folds(train),
-    )
-    areas = search.fit(rows).avgMetrics
-    listed = [(*[float(p[getattr(trees, n)]) for n in grid], float(a)) for p, a in zip(points, areas)]
-    schema = ", ".join(f"{n} double" for n in grid) + ", roc_auc double"
-    return train.sparkSession.createDataFrame(listed, schema)
-
-
 def _folds(df: DataFrame) -> dict:
     return {"foldCol": "fold"} if "fold" in df.columns else {}
 
@@ -179,11 +106,9 @@ def converged(model):
 
 
 def ended_by_tolerance(model) -> bool:
-    """Whether a fit, or each of one-vs-rest, ended before its limit of iterations; boosted trees have rounds, not a tolerance."""
+    """Whether a fit, or each of one-vs-rest, ended before its limit of iterations."""
     if isinstance(model, OneVsRestModel):
         return all(ended_by_tolerance(m) for m in model.models)
-    if isinstance(model, GBTClassificationModel):
-        return True
     summary = model.summary() if callable(model.summary) else model.summary
     return summary.totalIterations < model.getOrDefault("maxIter")
 
@@ -214,14 +139,6 @@ def support_vectors(n_rows: int, c: float = 1.0, features: str = "features", max
     return OneVsRest(classifier=one, featuresCol=features, weightCol="weight")
 
 
-def boosted_trees(features: str = "features") -> OneVsRest:
-    """Boosted trees with the settings of ``fit_trees``, one against the rest."""
-    one = GBTClassifier(
-        featuresCol=features, maxIter=TREE_ROUNDS, stepSize=TREE_STEP, maxDepth=TREE_DEPTH, maxBins=64, seed=FOREST_SEED
-    )
-    return OneVsRest(classifier=one, featuresCol=features)
-
-
 def perceptron(width: int, classes: int = 2, max_iter: int = 100, seed: int = 42) -> MultilayerPerceptronClassifier:
     return MultilayerPerceptronClassifier(layers=[width, *HIDDEN_LAYERS, classes], maxIter=max_iter, seed=seed)
 
@@ -249,27 +166,6 @@ def select_by_forest(
     return [names[i] for i in kept]
 
 
-def forward_select(
-    train: DataFrame, names: list[str], estimator, keep: int | None = None, folds: int = 3
-) -> list[str]:
-    """Greedy forward selection by cross-validated accuracy of any Spark
-    estimator reading ``picked``; half of the features by default."""
-    keep = keep or max(1, len(names) // 2)
-    chosen: list[int] = []
-    judge = MulticlassClassificationEvaluator(metricName="accuracy")
-    while len(chosen) < keep:
-        scores = {}
-        for i in (i for i in range(len(names)) if i not in chosen):
-            part = VectorSlicer(inputCol="features", outputCol="picked", indices=[*chosen, i]).transform(train)
-            search = CrossValidator(
-                estimator=estimator, estimatorParamMaps=[{}], evaluator=judge, numFolds=folds, seed=FOREST_SEED,
-                **_folds(train),
-            )
-            scores[i] = search.fit(part).avgMetrics[0]
-        chosen.append(max(scores, key=lambda i: (scores[i], -i)))
-    return [names[i] for i in chosen]
-
-
 def compare_models(train: DataFrame, candidates: dict, folds: int = 5, parallelism: int = 4) -> DataFrame:
     """Cross-validated accuracy per candidate on the same folds, and whether each of its fits ended by tolerance."""
     judge = MulticlassClassificationEvaluator(metricName="accuracy")

@@ -1,9 +1,7 @@
-"""Training tables of one current state, and the boosted-tree assessment of it."""
+"""Training tables of one current state, and scores judged per group."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,30 +42,6 @@ def training_tables(
     return tuple(out.where(F.col("split") == part).drop("split") for part in ("train", "test"))
 
 
-@dataclass(frozen=True)
-class Assessment:
-    """Test rows with one normalised probability per target, metrics per target,
-    importances per feature and target, and the fitted models."""
-
-    scored: DataFrame
-    metrics: DataFrame
-    importances: DataFrame
-    models: dict
-
-
-def assess_trees(train: DataFrame, test: DataFrame, state: int, **settings) -> Assessment:
-    """Fit one tree model per reachable target and judge them on the test rows.
-
-    Both tables need ``features``, ``label`` and ``Next_Status``. Scores stay on
-    their rows, so nothing is matched by position.
-    """
-    fitted = models.fit_trees(train, state, **settings)
-    scored = materialize(models.score_trees(test, fitted).drop("features", "label"))
-    long = metrics.melt_scores(scored, {t: f"p_{t}" for t in fitted}, ["Next_Status"], truth="Next_Status")
-    names = models.feature_names(train)
-    return Assessment(scored, judge(long, ["target"]), models.importance_table(fitted, names, train), fitted)
-
-
 def judge(long: DataFrame, by: list[str], round_to: int | None = None) -> DataFrame:
     """ROC and precision-recall areas, precision, recall, Brier score and log loss per group.
 
