@@ -1,7 +1,8 @@
-"""Models on the full panel: trained, selected, scored, compared.
+"""Models on the full panel: trained, selected, scored, compared, over all current states.
 
-Coefficients and trees have no SQL equivalent, so these run without one; the
-statistics under the discriminant have.
+SQL cannot fit them, but it knows what must hold: how many rows are judged, the
+masses that probabilities add up to, the points of the grid, the feature that a
+selection has to find, and the first cut of every boosted model.
 """
 
 from __future__ import annotations
@@ -9,15 +10,16 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from checks import adapter as A
 from checks.registry import query
 from loanshift.functions.scalars import uniform_int
-from loanshift.functions.states import LIVE_STATES, STATES, targets_of
-from loanshift.operators import boosting, discriminant, features, matrix, metrics, models, panel, sampling, state_trees
+from loanshift.functions.states import LIVE_STATES, STATES, is_legal, targets_of
+from loanshift.operators import boosting, calibrate, discriminant, features, margins, matrix, metrics, models, panel, sampling, state_trees
 from loanshift.operators import target_statistics as ordered_statistics
 from loanshift.plans import assessment, training
 from loanshift.session import materialize, shared_folder
@@ -277,31 +279,233 @@ def gbt_first_split(spark, sf):
     return spark.createDataFrame(rows, "cur int, target int, feature string, gain double, value_left double, value_right double")
 
 
+# --- linear models, selection, margins: all states ------------------------------------
+
+
+def _logit_scored(spark, sf):
+    """Test rows under the loaded softmax regressions of their states."""
+
+    def build():
+        test = _complete(spark, sf).where("split = 'test'")
+        scored = assessment.logit_scores(test, _state_logits(spark, sf), ["Loan_ID", "Seq"])
+        return scored.withColumn("y", (F.col("truth") == F.col("target")).cast("int"))
+
+    return A.prepare(spark, sf, "logit-scores", build)
+
+
+_SCORED = """
+  scored_ as (
+    select * from rows_ join targets on cur = Current_Status
+    where not train and Current_Status in (select Current_Status from rows_ where train))"""
+
+
+@query(f"""with {_MODEL_ROWS}, {_SCORED}
+  select cur, target, count(*) as n, count(*) filter (Next_Status = target) as positives, true as in_range from scored_ group by 1, 2""")
+def logit(spark, sf):
+    """Softmax regression of every state, judged per target on the test rows."""
+    found = training.judge(_logit_scored(spark, sf), ["cur", "target"])
+    shares = [F.coalesce(F.col(c).between(0, 1), F.lit(True)) for c in ("roc_auc", "pr_auc", "precision", "recall", "brier")]
+    return found.select("cur", "target", "n", "positives", reduce(lambda a, b: a & b, [*shares, F.col("log_loss") >= 0]).alias("in_range"))
+
+
+@query(f"""with {_MODEL_ROWS}, {_SCORED}
+  select cur, target, count(*) as n, count(*) filter (Next_Status = target) as positives, true as rises from scored_ group by 1, 2""")
+def logit_calibration(spark, sf):
+    """Quantile bins of every state and target hold all test rows and all positives, and their scores rise."""
+    found = metrics.calibration(_logit_scored(spark, sf), ["cur", "target"])
+    bins = F.array_sort(F.collect_list(F.struct("bin", "prob_pred")))  # five at most
+    rises = F.forall(F.sequence(F.lit(1), F.size("bins")), lambda k: F.coalesce(F.get("bins", k - 1)["prob_pred"] <= F.get("bins", k)["prob_pred"], F.lit(True)))
+    sums = found.groupBy("cur", "target").agg(
+        F.sum("n").alias("n"), F.round(F.sum(F.col("prob_true") * F.col("n"))).cast("bigint").alias("positives"), bins.alias("bins")
+    )
+    return sums.select("cur", "target", "n", "positives", rises.alias("rises"))
+
+
+@query(f"""with {_MODEL_ROWS}, {_SCORED}
+  select distinct Loan_ID, Seq, cur, Next_Status as truth, true as legal from scored_""")
+def logit_predictions(spark, sf):
+    """A predicted target beside the truth for every test row."""
+    found = metrics.hard_prediction(_logit_scored(spark, sf), ["Loan_ID", "Seq", "cur", "truth"])
+    return found.select("Loan_ID", "Seq", "cur", "truth", is_legal(F.col("cur"), F.col("prediction")).alias("legal"))
+
+
 def _arrays(rows):
     return rows.withColumn("x", vector_to_array("features"))
 
 
-@query()
+def _planted(state, rows):
+    """The label with a little noise, which any selection has to find."""
+    noise = uniform_int([F.col("Loan_ID"), F.col("Seq")], 5) / 4294967296.0
+    return rows.withColumn("planted", F.col("label") + 0.2 * noise)
+
+
+_FITTED = """
+  fitted as (select Current_Status as cur from rows_ where train group by 1 having count(distinct Next_Status) > 1)"""
+
+
+@query(f"""with {_MODEL_ROWS}, {_FITTED}
+  select cur, count(*) filter (train) as train_rows, true as found from rows_ join fitted on cur = Current_Status group by 1""")
+def rf_select(spark, sf):
+    """Forest elimination in every state over all features and a planted one, which stays."""
+
+    def select(state):
+        rows = _planted(state, _split(_rows(spark, sf, state))[0])
+        both = VectorAssembler(inputCols=["features", "planted"], outputCol="all").transform(rows)
+        names = [*models.feature_names(rows), "planted"]
+        kept = models.select_by_forest(both.drop("features").withColumnRenamed("all", "features"), names)
+        return rows.count(), "planted" in kept and set(kept) <= set(names)
+
+    found = models._at_once(spark, select, _fitted_states(spark, sf), 4)
+    return spark.createDataFrame([(s, *r) for s, r in found.items()], "cur int, train_rows long, found boolean")
+
+
+@query(f"""with {_MODEL_ROWS}, {_FITTED}
+  select cur, unnest(range(0, {(len(features.NUMERIC) + 1) // 2}))::integer as position, position = 0 as planted from fitted""")
 def forward_select(spark, sf):
-    """Half of the numeric features, chosen by cross-validated discriminants."""
-    names = features.NUMERIC
-    rows = _rows(spark, sf, 2, one_hot=False)
-    train = _arrays(_split(rows)[0])
-    at = {n: i for i, n in enumerate(models.feature_names(rows))}
-    train = train.withColumn("x", F.array(*[F.col("x")[at[f"numeric_{n}"]] for n in names]))
-    chosen = discriminant.forward_select(train, "Next_Status", "x", names, "fold")
-    return spark.createDataFrame(list(enumerate(chosen)), "position int, feature string")
+    """In every state half of the numeric features and a planted one, chosen by cross-validated discriminants; the planted one is first."""
+    parts = []
+    for state in _fitted_states(spark, sf):
+        rows = _rows(spark, sf, state, one_hot=False)
+        train = _arrays(_planted(state, _split(rows)[0]))
+        at = {n: i for i, n in enumerate(models.feature_names(rows))}
+        names = [*features.NUMERIC, "planted"]
+        values = [F.col("x")[at[f"numeric_{n}"]] for n in features.NUMERIC]
+        chosen = discriminant.forward_select(train.withColumn("x", F.array(*values, "planted")), "Next_Status", "x", names, "fold")
+        parts += [(state, k, name == "planted") for k, name in enumerate(chosen)]
+    return spark.createDataFrame(parts, "cur int, position int, planted boolean")
 
 
-@query()
+@query(f"""with {_MODEL_ROWS},
+  classes as (select distinct Current_Status as cur, Next_Status as target from rows_ where train)
+  select cur, target, count(*) as n, count(*) filter (Next_Status = target) as positives, true as in_range
+  from rows_ join classes on cur = Current_Status where not train group by 1, 2""")
 def lda_discriminant(spark, sf):
-    """Linear discriminant with automatic shrinkage: areas of the test rows."""
-    rows = _rows(spark, sf, 2)
-    width = len(models.feature_names(rows))
-    train, test = _split(_arrays(rows))
-    fitted = discriminant.fit(train, "Next_Status", "x", width)
-    scored = materialize(_per_target(fitted.predict(test), [int(c) for c in fitted.classes]))
-    return training.judge(scored, ["target"])
+    """Linear discriminant with automatic shrinkage in every state: judged on the test rows."""
+    rows = _complete(spark, sf)
+    scored = assessment.discriminant_scores(*_split(rows), features.NUMERIC, features.CATEGORICAL, ["Loan_ID", "Seq"])
+    scored = materialize(scored.withColumn("y", (F.col("truth") == F.col("target")).cast("int")))
+    found = training.judge(scored, ["cur", "target"])
+    shares = [F.coalesce(F.col(c).between(0, 1), F.lit(True)) for c in ("roc_auc", "pr_auc", "precision", "recall", "brier")]
+    return found.select("cur", "target", "n", "positives", reduce(lambda a, b: a & b, shares).alias("in_range"))
+
+
+def _vectors(spark, sf):
+    """Prepared rows of all states as arrays: ``cur``, ``x``, ``label`` and the keys."""
+
+    def build():
+        parts = [_rows(spark, sf, state).withColumn("cur", F.lit(state)) for state in _fitted_states(spark, sf)]
+        return reduce(DataFrame.unionByName, [_arrays(p).drop("features") for p in parts])
+
+    return A.prepare(spark, sf, "vectors", build)
+
+
+_KERNELS = [margins.Kernel("linear"), *[margins.Kernel(kind, gamma) for kind in ("poly", "rbf", "sigmoid") for gamma in ("scale", "auto")]]
+_LINEAR, _RBF = _KERNELS[:1], [k for k in _KERNELS if k.name == "rbf_scale"]
+
+
+def _machines(rows, kernels, folds, **settings):
+    """Maps, fitted machines and whether all of a group converged."""
+    found = margins.maps(rows, kernels)
+    fitted = margins.fit(margins.blocks(rows), found, margins.machines(rows, kernels, folds, **settings))
+    return found, fitted
+
+
+@query(f"""with {_MODEL_ROWS}, {_FITTED}
+  select cur, Next_Status as truth, count(*) as n, true as trained from rows_ join fitted on cur = Current_Status where not train group by 1, 2""")
+def linear_svc(spark, sf):
+    """Balanced linear support vectors of every state, one against the rest: confusion on the test rows."""
+    train, test = _split(_vectors(spark, sf))
+    found, fitted = _machines(train, _LINEAR, [margins.NO_FOLD])
+    scored = margins.margins(test, found, fitted, ["Loan_ID", "Seq", F.col("Next_Status").alias("truth")])
+    classes = spark.createDataFrame(sorted({(m.cur, m.label) for m in fitted}), "cur int, prediction int").withColumn("known", F.lit(True))
+    cells = metrics.confusion(margins.predicted(scored, ["Loan_ID", "Seq", "truth"]), by=["cur"]).join(classes, ["cur", "prediction"], "left")
+    return cells.groupBy("cur", "truth").agg(F.sum("n").alias("n"), F.bool_and(F.coalesce("known", F.lit(False))).alias("trained"))
+
+
+def _accuracies(scored):
+    """Cross-validated accuracy per state and kernel from held-out margins."""
+    best = margins.predicted(scored, ["Loan_ID", "Seq", "truth", "fold"])
+    folds = best.groupBy("cur", "kernel", "fold").agg(F.avg((F.col("truth") == F.col("prediction")).cast("int")).alias("share"), F.count("*").alias("n"))
+    return folds.groupBy("cur", "kernel").agg(F.avg("share").alias("accuracy"), F.count("*").alias("folds"), F.sum("n").alias("judged"))
+
+
+_FOLDED = f"""
+  folded as (
+    select Current_Status as cur, count(*) as judged, count(distinct floor({_DRAWN.format(321)} * 5 / 4294967296e0)) as folds
+    from rows_ where train and Current_Status in (select cur from fitted) group by 1)"""
+
+
+@query(f"""with {_MODEL_ROWS}, {_FITTED}, {_FOLDED}
+  select cur, unnest([{", ".join(f"'{k.name}'" for k in _KERNELS)}]) as kernel, folds, judged, true as in_range, true as converged from folded""")
+def svc_kernels(spark, sf):
+    """Cross-validated accuracy of balanced support vectors in every state under each kernel, all folds at once."""
+    train, _ = _split(_vectors(spark, sf))
+    found, fitted = _machines(train, _KERNELS, list(range(5)))
+    names = spark.createDataFrame([(i, k.name) for i, k in enumerate(_KERNELS)], "kernel int, name string")
+    ended = {}
+    for m, (_, done) in fitted.items():
+        ended[m.cur, m.kernel] = ended.get((m.cur, m.kernel), True) and done
+    ends = spark.createDataFrame([(*k, v) for k, v in ended.items()], "cur int, kernel int, converged boolean")
+    scored = margins.margins(train, found, fitted, ["Loan_ID", "Seq", F.col("label").cast("int").alias("truth"), "fold"], held_out=True)
+    told = _accuracies(scored).join(names, "kernel").join(ends, ["cur", "kernel"])
+    return told.select("cur", F.col("name").alias("kernel"), "folds", "judged", F.col("accuracy").between(0, 1).alias("in_range"), "converged")
+
+
+@query(f"""with {_MODEL_ROWS}, {_FITTED},
+  counts as (
+    select cur, target, count(*) filter (Next_Status = target) as positives, count(*) filter (Next_Status <> target) as negatives
+    from rows_ join fitted f on f.cur = Current_Status join targets using (cur) where train group by 1, 2)
+  select cur, target, positives, negatives, positives as isotonic_mass,
+         round(positives * (positives + 1) / (positives + 2) + negatives / (negatives + 2), 3) as sigmoid_mass, true as rises
+  from counts where positives > 0""")
+def svc_calibrated(spark, sf):
+    """Probabilities from held-out margins of rbf machines: masses over the training rows, and pools that rise."""
+    train, _ = _split(_vectors(spark, sf))
+    found, fitted = _machines(train, _RBF, list(range(5)))
+    keep = ["Loan_ID", "Seq", F.col("label").cast("int").alias("truth")]
+    rows = margins.margins(train, found, fitted, [*keep, "fold"], held_out=True)
+    rows = materialize(rows.withColumn("y", (F.col("truth") == F.col("label")).cast("int")))
+    by = ["cur", "label"]
+    curve = calibrate.sigmoid(rows, by)
+    smooth = calibrate.apply_sigmoid(rows, curve, by).groupBy(*by).agg(F.round(F.sum("p"), 3).alias("sigmoid_mass"))
+    pools = calibrate.isotonic(rows, by)
+    told = calibrate.apply_isotonic(rows, pools, by).groupBy(*by).agg(F.round(F.sum("p")).cast("bigint").alias("isotonic_mass"))
+    steps = Window.partitionBy(*by).orderBy("low")
+    up = pools.withColumn("up", F.coalesce(F.col("hits") / F.col("n") > F.lag(F.col("hits") / F.col("n")).over(steps), F.lit(True)))
+    rises = up.groupBy(*by).agg(F.bool_and("up").alias("rises"))
+    out = curve.drop("a", "b").join(smooth, by).join(told, by).join(rises, by)
+    names = spark.createDataFrame([(s, i, t) for s in LIVE_STATES for i, t in enumerate(targets_of(s))], "cur int, label int, target int")
+    return out.join(names, by).drop("label")
+
+
+_CANDIDATES = ["logistic", "logistic_strong", "svc_linear", "svc_rbf", "trees"]
+
+
+@query(f"""with {_MODEL_ROWS}, {_FITTED}, {_FOLDED}
+  select cur, unnest([{", ".join(f"'{c}'" for c in _CANDIDATES)}]) as model, folds, judged, true as in_range, true as converged from folded""")
+def model_comparison(spark, sf):
+    """Five-fold accuracy of logistic machines at two strengths, support vectors on two kernels and boosted trees, in every state."""
+    train, _ = _split(_vectors(spark, sf))
+    folds, keep = list(range(5)), ["Loan_ID", "Seq", F.col("label").cast("int").alias("truth"), "fold"]
+    settings = {
+        "logistic": (_LINEAR, {"loss": "logistic"}), "logistic_strong": (_LINEAR, {"loss": "logistic", "c": 0.01}),
+        "svc_linear": (_LINEAR, {}), "svc_rbf": (_RBF, {}),
+    }
+    parts = []
+    for name, (kernels, more) in settings.items():
+        found, fitted = _machines(train, kernels, folds, **more)
+        scored = margins.margins(train, found, fitted, keep, held_out=True)
+        ended = all(done for _, done in fitted.values())
+        parts.append(_accuracies(scored).select("cur", F.lit(name).alias("model"), "folds", "judged", "accuracy", F.lit(ended).alias("converged")))
+    trees = sampling.with_fold(_split(_tree_rows(spark, sf))[0].drop("fold"), 5)
+    held = state_trees.held_out(trees, features.NUMERIC, features.CATEGORICAL, ["Loan_ID", "Seq", "Next_Status", "fold"], 5)
+    best = held.groupBy("Loan_ID", "Seq", "cur", "fold").agg((F.max_by("target", F.struct("score", -F.col("target"))) == F.max("Next_Status")).alias("right"))
+    shares = best.groupBy("cur", "fold").agg(F.avg(F.col("right").cast("int")).alias("share"), F.count("*").alias("n"))
+    parts.append(shares.groupBy("cur").agg(
+        F.lit("trees").alias("model"), F.count("*").alias("folds"), F.sum("n").alias("judged"), F.avg("share").alias("accuracy"), F.lit(True).alias("converged")
+    ))
+    told = reduce(DataFrame.unionByName, parts)
+    return told.select("cur", "model", "folds", "judged", F.col("accuracy").between(0, 1).alias("in_range"), "converged")
 
 
 _COV = ["OLTV", "Orig_Rate", "Cscore_B"]
@@ -318,37 +522,15 @@ def discriminant_statistics(spark, sf):
     return found.withColumns({c: F.round(c, d) for c, d in digits.items()})
 
 
-@query()
-def linear_svc(spark, sf):
-    """Balanced linear support vectors, one against the rest: confusion on the test rows."""
-    train, test = _split(_rows(spark, sf, 1))
-    fitted = models.support_vectors(train.count()).fit(models.with_class_weights(train))
-    scored = fitted.transform(test).withColumnRenamed("label", "truth")
-    return metrics.confusion(scored.select("truth", "prediction"))
-
-
-@query()
-def model_comparison(spark, sf):
-    train, _ = _split(_rows(spark, sf, 2))
-    n = train.count()
-    candidates = {
-        "logit": models.multinomial_logit(n),
-        "logit_strong": models.multinomial_logit(n, c=0.01),
-        "svc": models.support_vectors(n),
-        "trees": models.boosted_trees(),
-    }
-    return models.compare_models(models.with_class_weights(train), candidates)
-
-
-@query()
+@query(f"""with {_MODEL_ROWS}
+  select (Next_Status = 0)::integer as truth, count(*) as n, true as binary from rows_ where Current_Status = 0 and not train group by 1""")
 def mlp_current(spark, sf):
-    """Feed-forward net for staying current: confusion on the test rows."""
+    """Feed-forward net for staying current, at the operator's own limit of iterations: confusion on the test rows."""
     rows = _rows(spark, sf, 0)
-    stays = rows.withColumn("label", (F.col("Next_Status") == 0).cast("double"))
-    train, test = _split(stays)
+    train, test = _split(rows.withColumn("label", (F.col("Next_Status") == 0).cast("double")))
     net = models.perceptron(len(models.feature_names(rows))).fit(train)
-    found = metrics.confusion(net.transform(test).withColumnRenamed("label", "truth").select("truth", "prediction"))
-    return found.withColumn("converged", F.lit(models.ended_by_tolerance(net)))
+    found = metrics.confusion(net.transform(test).select(F.col("label").cast("int").alias("truth"), F.col("prediction").cast("int").alias("prediction")))
+    return found.groupBy("truth").agg(F.sum("n").alias("n"), F.bool_and(F.col("prediction").isin(0, 1)).alias("binary"))
 
 
 def _state_logits(spark, sf):
