@@ -455,8 +455,7 @@ def svc_kernels(spark, sf):
   counts as (
     select cur, target, count(*) filter (Next_Status = target) as positives, count(*) filter (Next_Status <> target) as negatives
     from rows_ join fitted f on f.cur = Current_Status join targets using (cur) where train group by 1, 2)
-  select cur, target, positives, negatives, positives as isotonic_mass,
-         round(positives * (positives + 1) / (positives + 2) + negatives / (negatives + 2), 3) as sigmoid_mass, true as rises
+  select cur, target, positives, negatives, positives as isotonic_mass, true as sigmoid_mass, true as rises
   from counts where positives > 0""")
 def svc_calibrated(spark, sf):
     """Probabilities from held-out margins of rbf machines: masses over the training rows, and pools that rise."""
@@ -467,7 +466,9 @@ def svc_calibrated(spark, sf):
     rows = materialize(rows.withColumn("y", (F.col("truth") == F.col("label")).cast("int")))
     by = ["cur", "label"]
     curve = calibrate.sigmoid(rows, by)
-    smooth = calibrate.apply_sigmoid(rows, curve, by).groupBy(*by).agg(F.round(F.sum("p"), 3).alias("sigmoid_mass"))
+    expected = F.col("positives") * (F.col("positives") + 1) / (F.col("positives") + 2) + F.col("negatives") / (F.col("negatives") + 2)
+    mass = calibrate.apply_sigmoid(rows, curve, by).groupBy(*by).agg(F.sum("p").alias("mass"))
+    smooth = mass.join(curve, by).select(*by, (F.abs(F.col("mass") - expected) < 1e-3).alias("sigmoid_mass"))
     pools = calibrate.isotonic(rows, by)
     told = calibrate.apply_isotonic(rows, pools, by).groupBy(*by).agg(F.round(F.sum("p")).cast("bigint").alias("isotonic_mass"))
     steps = Window.partitionBy(*by).orderBy("low")
