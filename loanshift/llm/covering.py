@@ -14,7 +14,7 @@ from itertools import accumulate, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanshift.llm.components import components
@@ -47,14 +47,19 @@ def simhash(words: list[bytes], shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
-    """``(doc_id, fp)`` per row; words are lower-cased in A-Z, ``fp`` is the fingerprint as a signed long."""
+    """``(doc_id, key, fp)`` per row; words are lower-cased in A-Z, ``key`` is a hash of the text, ``fp`` the fingerprint as a signed long."""
 
     def on_batch(batch: pa.RecordBatch):
         found = [simhash(t.encode().lower().split() if t else [], shingle) for t in batch["text"].to_pylist()]
         signed = pa.array(np.array(found, dtype=np.uint64).view(np.int64))
-        yield pa.RecordBatch.from_arrays([batch["doc_id"], signed], names=["doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["key"], signed], names=["doc_id", "key", "fp"])
 
-    return map_batches(docs.select(F.col("doc_id").cast("bigint"), "text"), "doc_id long, fp long", on_batch)
+    wanted = docs.select(F.col("doc_id").cast("bigint"), "text", text_key().alias("key"))
+    return map_batches(wanted, "doc_id long, key long, fp long", on_batch)
+
+
+def text_key() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
 def signed(value: int) -> int:
@@ -118,28 +123,39 @@ def near_groups(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame
     for ``component_id``, which is null in a group without any id.
     """
     rows = materialize(fingerprints(docs, shingle))
-    classes = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
+    labelled = _rooted(rows, F.min("doc_id"), radius)
+    least = labelled.groupBy("root").agg(F.min("first").alias("component_id"))
+    return rows.select("doc_id", "fp").join(labelled.join(least, "root").select("fp", "component_id"), "fp")
+
+
+def _rooted(rows: DataFrame, first: Column, radius: int) -> DataFrame:
+    """``(fp, first, root)`` per distinct fingerprint of ``rows``; ``root`` is the smallest fingerprint reachable."""
+    classes = materialize(rows.groupBy("fp").agg(first.alias("first")))
     rooted = components(links(classes, radius)).select(F.col("node").alias("fp"), "root")
-    labelled = classes.join(rooted, "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    least = labelled.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return rows.join(labelled.join(least, "root").select("fp", "component_id"), "fp")
+    return classes.join(rooted, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
 
 
 def drop_near_copies(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
     """``docs`` with one document of each near-duplicate group, the one with the smallest doc_id.
 
-    Rows without a doc_id cannot be named as kept or dropped and stay. Of rows
-    that repeat the kept doc_id, one stays (the smallest text).
+    Groups are told apart by fingerprint, not by id, so an id that repeats with
+    unlike texts is in several groups. Of one group's rows with the same id, the
+    text with the smallest hash stays; of rows alike in id and text, one. Rows
+    without a doc_id cannot be named as kept or dropped and stay.
     """
-    own, copies, row = fresh(docs.columns, "kept_id", "copies", "row")
-    kept = near_groups(docs, shingle, radius).where("doc_id = component_id")
-    kept = materialize(kept.groupBy(F.col("doc_id").alias(own)).agg(F.count("*").alias(copies)))
-    same = F.col("doc_id").cast("bigint") == F.col(own)
-    once = docs.join(kept.where(F.col(copies) == 1), same, "left_semi")
-    result = once.unionByName(docs.where(F.col("doc_id").isNull()))
+    own, key, copies, row = fresh(docs.columns, "kept_id", "kept_key", "copies", "row")
+    rows = materialize(fingerprints(docs, shingle))
+    place = F.when(F.col("doc_id").isNotNull(), F.struct(F.col("doc_id").alias("id"), F.col("key").alias("key")))
+    least = _rooted(rows, F.min(place), radius).groupBy("root").agg(F.min("first").alias("first"))
+    chosen = least.where(F.col("first").isNotNull()).select(F.col("first.id").alias(own), F.col("first.key").alias(key))
+    counts = rows.groupBy("doc_id", "key").agg(F.count("*").alias(copies))
+    same = (F.col("doc_id") == F.col(own)) & (F.col("key") == F.col(key))
+    kept = materialize(counts.join(chosen, same).select(own, key, copies))
+    here = (F.col("doc_id").cast("bigint") == F.col(own)) & (text_key() == F.col(key))
+    once = docs.join(kept.where(F.col(copies) == 1), here, "left_semi").unionByName(docs.where(F.col("doc_id").isNull()))
     if kept.where(F.col(copies) > 1).isEmpty():
-        return result
-    repeated = docs.join(kept.where(F.col(copies) > 1), same, "left_semi")
+        return once
+    repeated = docs.join(kept.where(F.col(copies) > 1), here, "left_semi")
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    first = repeated.groupBy("doc_id").agg(F.min_by(whole, F.coalesce(F.col("text"), F.lit(""))).alias(row))
-    return result.unionByName(first.select(f"{row}.*"))
+    first = repeated.groupBy("doc_id", text_key().alias(key)).agg(F.min_by(whole, F.to_json(whole)).alias(row))
+    return once.unionByName(first.select(f"{row}.*"))

@@ -5,7 +5,7 @@ reduced to bins of each statistic; one aggregation per step counts good and bad
 rows by statistic and bin, which is all that growing a rule by its best
 threshold needs (FOIL gain, on two thirds of the rows). The last conditions of a
 grown rule are pruned as long as that helps on the other third (Cohen's RIPPER,
-1995), and a rule that is not precise there ends the list.
+1995). A rule that is not precise there is dropped, and the search goes on from another first condition.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ MIN_WORDS, MAX_REPEATED_PERCENT = 50, 50
 #: Quantiles of a statistic between which thresholds lie.
 QUANTILES = 64
 MAX_CONDITIONS = 4
-#: Share of bad rows among those a rule covers in the pruning part, below which the list ends; bad rows it must cover there.
+#: Share of bad rows among those a rule covers in the pruning part, below which it is dropped; bad rows it must cover there.
 PRECISION, LEAST_COVERED = 0.95, 5
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 RATIOS = {
@@ -143,70 +143,136 @@ def _all(rule: Rule) -> Column:
     return holds
 
 
-def _grow(rows: DataFrame, cuts: dict[str, list[float]]) -> Rule:
-    """Conditions added by the best FOIL gain until no good row is left or nothing is gained."""
-    rule: Rule = ()
+Tally = tuple[int, int]
+
+
+def _tallies(rows: DataFrame, cuts: dict[str, list[float]]) -> tuple[dict[Condition, dict[bool, Tally]], dict[bool, Tally]]:
+    """Bad and good rows of every single condition by pruning part, and of the parts: one job, and a bounded answer."""
     bins = F.explode(F.array(*[F.struct(F.lit(s).alias("s"), F.col(f"bin_{s}").alias("b")) for s in cuts]))
+    sums = [F.sum("bad").alias("p"), F.sum(1 - F.col("bad")).alias("n")]
+    found = rows.select("bad", "pruning", bins.alias("x")).groupBy("x.s", "x.b", "pruning").agg(*sums).collect()
+
+    def count(statistic: str, part: bool, least: int) -> Tally:
+        own = [r for r in found if r["s"] == statistic and r["pruning"] == part and r["b"] >= least]
+        return sum(r["p"] for r in own), sum(r["n"] for r in own)
+
+    whole = {part: count(STATISTICS[0], part, 0) for part in (False, True)}
+    tallies: dict[Condition, dict[bool, Tally]] = {}
+    for statistic, thresholds in cuts.items():
+        for k, threshold in enumerate(thresholds, start=1):
+            high = {part: count(statistic, part, k) for part in whole}
+            tallies[Condition(statistic, True, threshold)] = high
+            tallies[Condition(statistic, False, threshold)] = {part: (whole[part][0] - p, whole[part][1] - n) for part, (p, n) in high.items()}
+    return tallies, whole
+
+
+def _precise(counts: Tally) -> bool:
+    bad, good = counts
+    return bad >= LEAST_COVERED and bad >= PRECISION * (bad + good)
+
+
+def _gain(before: Tally, after: Tally) -> float:
+    (p0, n0), (p1, n1) = before, after
+    return p1 * (math.log2(p1 / (p1 + n1)) - math.log2(p0 / (p0 + n0))) if p1 else 0.0
+
+
+def _grow(rows: DataFrame, cuts: dict[str, list[float]], barred: set[tuple[str, bool]]) -> Rule:
+    """Conditions added by the best FOIL gain until no good row is left or nothing is gained.
+
+    ``barred`` statistics and directions cannot come first.
+    """
+    rule: Rule = ()
     while len(rule) < MAX_CONDITIONS:
-        inside = rows.where(_all(rule)).select("bad", bins.alias("x"))
-        # Statistics times bins: a bounded answer.
-        table = inside.groupBy("x.s", "x.b").agg(F.sum("bad").alias("p"), F.sum(1 - F.col("bad")).alias("n")).collect()
-        first = [r for r in table if r["s"] == STATISTICS[0]]
-        p0, n0 = sum(r["p"] for r in first), sum(r["n"] for r in first)
-        if not p0 or not n0:
+        tallies, whole = _tallies(rows.where(_all(rule)), cuts)
+        before = whole[False]
+        if not all(before):
             return rule
-        best = (0.0, None)
-        for statistic, thresholds in cuts.items():
-            for k, threshold in enumerate(thresholds, start=1):
-                high = [r for r in table if r["s"] == statistic and r["b"] >= k]
-                p, n = sum(r["p"] for r in high), sum(r["n"] for r in high)
-                for at_least, p1, n1 in ((True, p, n), (False, p0 - p, n0 - n)):
-                    if p1:
-                        gain = p1 * (math.log2(p1 / (p1 + n1)) - math.log2(p0 / (p0 + n0)))
-                        if gain > best[0] + 1e-9:
-                            best = (gain, Condition(statistic, at_least, threshold))
-        if best[1] is None:
+        allowed = [c for c in tallies if rule or (c.statistic, c.at_least) not in barred]
+        best = max(allowed, key=lambda c: _gain(before, tallies[c][False]), default=None)
+        if best is None or _gain(before, tallies[best][False]) <= 1e-9:
             return rule
-        rule = (*rule, best[1])
+        rule = (*rule, best)
     return rule
 
 
-def learn(rows: DataFrame) -> list[Rule]:
-    """Rules for bad rows, in order, from ``rows``: an id ``doc_id``, ``bad`` (1 or 0) and the statistics.
+def _thresholds(rows: DataFrame) -> dict[str, list[float]]:
+    """Per statistic the places halfway between neighbouring quantiles, of all rows and of the bad ones alone.
 
-    Ends when a rule is not precise or not covering enough on the pruning part.
-    Without bad or good rows there is no rule.
+    So tails are cut as finely as the middle, and a gap between good and bad is
+    parted in its middle.
     """
     at = [k / QUANTILES for k in range(QUANTILES + 1)]
-    found = rows.agg(*[F.percentile_approx(s, at, 100_000).alias(s) for s in STATISTICS]).first()
-    # Halfway between neighbouring quantiles, so that a gap between good and bad is parted in its middle.
-    values = {s: sorted(set(found[s] or [])) for s in STATISTICS}
-    cuts = {s: [(a + b) / 2 for a, b in zip(v, v[1:])] for s, v in values.items()}
-    if not any(cuts.values()):
-        return []
-
+    bad = {s: F.percentile_approx(F.when(F.col("bad") == 1, F.col(s)), at, 100_000).alias(f"bad_{s}") for s in STATISTICS}
+    found = rows.agg(*[F.percentile_approx(s, at, 100_000).alias(s) for s in STATISTICS], *bad.values()).first()
+    values = {s: [sorted(set(found[c] or [])) for c in (s, f"bad_{s}")] for s in STATISTICS}
+    near = {s: {(a + b) / 2 for own in both for a, b in zip(own, own[1:])} for s, both in values.items()}
+    # The outermost bad values are parted from what lies past them too.
+    for s, (every, own) in values.items():
+        past = [*[v for v in every if own and v < own[0]][-1:], *own[:1]], [*own[-1:], *[v for v in every if own and v > own[-1]][:1]]
+        near[s] |= {(a + b) / 2 for pair in past if len(pair) == 2 for a, b in [pair]}
+    return {s: sorted(v) for s, v in near.items()}
+
+
+def _binned(rows: DataFrame, cuts: dict[str, list[float]]) -> DataFrame:
     def bin_of(statistic: str) -> Column:
         thresholds = F.array(*[F.lit(float(t)) for t in cuts[statistic]]).cast("array<double>")
         return F.size(F.filter(thresholds, lambda t: t <= F.col(statistic))).alias(f"bin_{statistic}")
 
-    pruning = F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0
-    stored = materialize(rows.select("bad", *STATISTICS, pruning.alias("pruning"), *[bin_of(s) for s in STATISTICS]))
-    rules: list[Rule] = []
-    left = stored
+    return rows.select("bad", "pruning", *STATISTICS, *[bin_of(s) for s in STATISTICS])
+
+
+def _next_rule(left: DataFrame, cuts: dict[str, list[float]]) -> Rule:
+    """The next precise rule, or none: a rule that fails bars its first statistic and direction, and the search goes on.
+
+    After the last failure single conditions are all tried, the one with the most bad rows first.
+    """
+    barred: set[tuple[str, bool]] = set()
     while True:
-        rule = _grow(left.where("not pruning"), cuts)
+        rule = _grow(left, cuts, barred)
         if not rule:
             break
         prefixes = {f"k{k}_": _all(rule[:k]) for k in range(1, len(rule) + 1)}
         counts = list(_counts(left.where("pruning"), prefixes).values())
         worth = [(p - n) / (p + n) if p + n else -1.0 for p, n in counts]
         length = max(range(len(rule)), key=lambda k: (worth[k], -k)) + 1
-        bad, good = counts[length - 1]
-        if bad < LEAST_COVERED or bad < PRECISION * (bad + good):
+        if _precise(counts[length - 1]):
+            return rule[:length]
+        barred.add((rule[0].statistic, rule[0].at_least))
+    tallies, whole = _tallies(left, cuts)
+    if not any(good for _, good in whole.values()):
+        return ()
+    alone = {c: t for c, t in tallies.items() if _precise(t[True]) and _precise(t[False])}
+    best = max(alone, key=lambda c: (sum(alone[c][part][0] for part in alone[c]), -c.threshold), default=None)
+    return (best,) if best else ()
+
+
+def learn(rows: DataFrame) -> list[Rule]:
+    """Rules for bad rows, in order, from ``rows``: an id ``doc_id``, ``bad`` (1 or 0) and the statistics.
+
+    After every rule the rows it covers go, thresholds are cut anew over the
+    rest, and the search ends when no rule is precise and covers enough on the
+    pruning part. Without bad or good rows there is no rule. The search is
+    bounded by ``QUANTILES`` places (of all and of bad rows) per statistic and
+    ``MAX_CONDITIONS`` per rule, not by rows.
+    """
+    pruning = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0, F.lit(False))
+    left = materialize(rows.select("bad", *STATISTICS, pruning.alias("pruning")))
+    rules: list[Rule] = []
+    while True:
+        cuts = _thresholds(left)
+        if not any(cuts.values()):
+            break
+        binned = materialize(_binned(left, cuts))
+        rule = _next_rule(binned, cuts)
+        if rule:
+            following = materialize(left.where(~_all(rule)))
+            discard(left)
+            left = following
+            rules.append(rule)
+        discard(binned)
+        if not rule:
             break
-        rules.append(rule[:length])
-        left = left.where(~_all(rule[:length]))
-    discard(stored)
+    discard(left)
     return rules
 
 
@@ -242,11 +308,9 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their columns; cases as in ``judge``."""
-    # Stored before it is filtered: a filter on statistics would compute them once more.
-    thin = materialize(measured(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), ["doc_id"]))
-    rules = learn(labelled(thin.where("not base_failed"), labels))
-    discard(thin)
-    [row] = fresh(docs.columns, "row")
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row), F.col("text").alias("text"))
-    kept = measured(whole, [row]).where(~F.col("base_failed") & (verdict(rules) == 0))
-    return kept.select(f"{row}.*")
+    # Stored with their statistics, which are costly: once for learning and for the verdict.
+    row, own = fresh(docs.columns, "row", "id")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row), F.col("doc_id").cast("bigint").alias(own), F.col("text").alias("text"))
+    stored = materialize(measured(whole, [row, own]))
+    rules = learn(labelled(stored.where("not base_failed").select(F.col(own).alias("doc_id"), *STATISTICS), labels))
+    return stored.where(~F.col("base_failed") & (verdict(rules) == 0)).select(f"{row}.*")

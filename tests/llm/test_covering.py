@@ -90,3 +90,21 @@ def test_one_document_of_a_group_stays_with_its_columns(spark):
 def test_a_repeated_kept_id_stays_once(spark):
     df = spark.createDataFrame([(1, "a b c d"), (1, "a b c d"), (2, "a b c d")], "doc_id long, text string")
     assert [tuple(r) for r in covering.drop_near_copies(df).collect()] == [(1, "a b c d")]
+
+
+@pytest.mark.parametrize(
+    "rows, kept",
+    [
+        ([(5, "A"), (5, "B"), (7, "B"), (9, "A")], [(5, "A"), (5, "B")]),
+        ([(5, "A"), (5, "B"), (3, "B")], [(3, "B"), (5, "A")]),
+        ([(5, "A"), (5, "A"), (5, "B"), (None, "A"), (2, "C")], [(2, "C"), (5, "A"), (5, "B"), (None, "A")]),
+        ([(None, "A"), (None, "A"), (4, "B"), (4, "B")], [(4, "B"), (None, "A"), (None, "A")]),
+    ],
+)
+def test_an_id_with_unlike_texts_is_in_several_groups(spark, rows, kept):
+    words = {"A": "the quick brown fox jumps over a lazy dog", "B": "some other words that share no shingle with it", "C": "third kind of text is here"}
+    schema = "doc_id long, text string, kept_id string, fp int, key double"
+    df = spark.createDataFrame([(i, words[t], t, k, 0.5) for k, (i, t) in enumerate(rows)], schema)
+    found = covering.drop_near_copies(df)
+    assert found.columns == df.columns
+    assert sorted(((r.doc_id, r.kept_id) for r in found.collect()), key=str) == sorted(kept, key=str)
