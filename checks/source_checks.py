@@ -63,6 +63,27 @@ def performance_files(spark, sf):
     )
 
 
+@query("""
+  select case when Seq % 71 = 0 then 'Orig_Rate: n/a' when Seq % 73 = 0 then '15 fields for 16' end as reason, count(*) as n,
+         sum(Seq) as seqs from records group by 1""")
+def rejected_records(spark, sf):
+    """Records with a malformed rate or a field too few are listed with the reason, the others are read: every record once."""
+    rows = A.records(spark, sf)
+    written = {**{n: F.lit("unused") for n, _, kept in _FIELDS if not kept}, "Orig_Rate": F.when(F.col("Seq") % 71 == 0, "n/a").otherwise(F.col("Orig_Rate").cast("string"))}
+    written |= {n: F.date_format(n, "MMyyyy") for n in ("Act_Period", "Orig_Date")}
+    fields = [F.coalesce(written.get(n, F.col(n) if n in rows.columns else F.lit("")).cast("string"), F.lit("")) for n, _, _ in _FIELDS]
+    whole, short = F.concat_ws("|", *fields), F.concat_ws("|", *fields[:-1])
+    path = _path(spark, "mixed")
+    rows.select(F.when((F.col("Seq") % 73 == 0) & (F.col("Seq") % 71 != 0), short).otherwise(whole).alias("value")).write.text(path)
+    fields = [(i, n, n, str(kept), kind) for i, (n, kind, kept) in enumerate(_FIELDS)]
+    spec = layout.layout_of(spark.createDataFrame(fields, layout.LAYOUT_SCHEMA))
+    sound, rejected = performance.split_performance(spark, path, spec)
+    place = [n for n, _, _ in _FIELDS].index("Seq")
+    told = rejected.select(F.array_join("reasons", "; ").alias("reason"), F.split("record", r"\|")[place].cast("bigint").alias("Seq"))
+    both = told.unionByName(sound.select(F.lit(None).cast("string").alias("reason"), "Seq"))
+    return both.groupBy("reason").agg(F.count("*").alias("n"), F.sum("Seq").alias("seqs"))
+
+
 @query("select cast(Zip as varchar) as Zip, cast(Year as integer) as Year, cast(Quarter as integer) as Quarter, HPI from hpi_zip")
 def hpi_zip_file(spark, sf):
     return economics.read_hpi_zip(spark, _csv(spark, A.price_index(spark, sf, "zip"), "hpi_zip"))

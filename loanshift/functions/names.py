@@ -15,6 +15,12 @@ def unused(columns: list[str], *names: str) -> list[str]:
     return [prefix + n for n in names]
 
 
+def prefix(columns: list[str]) -> str:
+    """Underscores that no column begins with: any name after it is free."""
+    lead = max((len(c) - len(c.lstrip("_")) for c in columns), default=0)
+    return "_" * (lead + 1)
+
+
 def join_groups(df: DataFrame, groups: DataFrame, by: list[str]) -> DataFrame:
     """Inner join of per-group columns on ``by``, where null is a group like any other."""
     own = dict(zip(by, unused([*df.columns, *groups.columns], *by)))

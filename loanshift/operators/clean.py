@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loanshift.functions import scalars
+from loanshift.functions.names import prefix
 from loanshift.session import materialize
 
 DATE_COLUMNS = ["Act_Period", "Orig_Date", "First_Pay", "Maturity_Date"]
@@ -59,14 +60,15 @@ def impute_mean(df: DataFrame, columns: list[str] | None = None, by: list[str] |
         # Scalar subqueries: Spark merges them into one aggregate over the pruned columns.
         means = {c: df.agg(F.avg(c)).scalar() for c in columns}
         return df.withColumns({c: F.coalesce(F.col(c), means[c]) for c in columns})
-    means = df.groupBy(*by).agg(*[F.avg(c).alias(f"_mean_{c}") for c in columns])
+    own = prefix(df.columns)
+    means = df.groupBy(*by).agg(*[F.avg(c).alias(f"{own}mean_{c}") for c in columns])
     # Stored, so that a small table of means is broadcast by its measured size.
-    means = materialize(means).select(*[F.col(b).alias(f"_by_{b}") for b in by], *[f"_mean_{c}" for c in columns])
+    means = materialize(means).select(*[F.col(b).alias(f"{own}by_{b}") for b in by], *[f"{own}mean_{c}" for c in columns])
     match = F.lit(True)
     for b in by:
-        match = match & F.col(b).eqNullSafe(F.col(f"_by_{b}"))
+        match = match & F.col(b).eqNullSafe(F.col(f"{own}by_{b}"))
     filled = df.join(means, match, "left")
-    return filled.withColumns({c: F.coalesce(F.col(c), F.col(f"_mean_{c}")) for c in columns}).select(*df.columns)
+    return filled.withColumns({c: F.coalesce(F.col(c), F.col(f"{own}mean_{c}")) for c in columns}).select(*df.columns)
 
 
 def require(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loanshift.functions.names import unused
+
 SUMS_SCHEMA = "grp string, i int, value double"
 
 
@@ -128,8 +130,9 @@ class Discriminant:
 
     def predict(self, df: DataFrame, features: str = "x", out: str = "p_") -> DataFrame:
         """Add one probability column per class."""
-        scored = df.withColumn("_p", self.probabilities(F.col(features)))
-        return scored.withColumns({f"{out}{c}": F.col("_p")[i] for i, c in enumerate(self.classes)}).drop("_p")
+        [values] = unused(df.columns, "p")
+        scored = df.withColumn(values, self.probabilities(F.col(features)))
+        return scored.withColumns({f"{out}{c}": F.col(values)[i] for i, c in enumerate(self.classes)}).drop(values)
 
 
 def solve(sums: dict[str, ClassSums], covariances: dict[str, np.ndarray] | None = None, keep: list[int] | None = None) -> Discriminant:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loanshift.functions.names import unused
+
 # The model's feature roles and the columns dropped before it.
 NUMERIC = [
     "Orig_Rate", "Orig_UPB", "Curr_UPB", "Orig_Term", "OLTV", "DTI", "Cscore_B", "Curr_HPI", "HPI_Adjust_Factor",
@@ -89,20 +91,22 @@ def _rescale(df, columns, fit, shift, width) -> DataFrame:
             *[width(c).alias(f"width_{i}") for i, c in enumerate(columns)],
         )
     )
-    out = df.withColumn("_stats", stats.scalar())
+    [held] = unused(df.columns, "stats")
+    out = df.withColumn(held, stats.scalar())
     scaled = {}
     for i, c in enumerate(columns):
-        spread = F.col(f"_stats.width_{i}")
-        scaled[c] = (F.col(f"`{c}`") - F.col(f"_stats.shift_{i}")) / F.when(spread == 0, F.lit(1.0)).otherwise(spread)
-    return out.withColumns(scaled).drop("_stats")
+        spread = F.col(f"{held}.width_{i}")
+        scaled[c] = (F.col(f"`{c}`") - F.col(f"{held}.shift_{i}")) / F.when(spread == 0, F.lit(1.0)).otherwise(spread)
+    return out.withColumns(scaled).drop(held)
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Balanced weight per class: rows / (classes * rows of the class)."""
     counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n"))
     shape = counts.agg(F.struct(F.sum("n").alias("rows"), F.count("*").alias("classes"))).scalar()
-    weighted = counts.withColumn("_shape", shape)
-    return weighted.select(label, "n", (F.col("_shape.rows") / (F.col("_shape.classes") * F.col("n"))).alias("weight"))
+    [held] = unused(counts.columns, "shape")
+    weighted = counts.withColumn(held, shape)
+    return weighted.select(label, "n", (F.col(f"{held}.rows") / (F.col(f"{held}.classes") * F.col("n"))).alias("weight"))
 
 
 def binary_target(df: DataFrame, following: int, name: str = "Target") -> DataFrame:

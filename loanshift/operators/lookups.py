@@ -28,9 +28,10 @@ def unique_by(dim: DataFrame, keys: list[str], reduce: Callable[[str], Column] |
     if reduce is not None:
         return groups.agg(*[reduce(v).alias(v) for v in values])
     message = F.lit("duplicate lookup key: " + ", ".join(keys))
-    counted = groups.agg(F.count("*").alias("_n"), *[F.first(v).alias(v) for v in values])
+    [rows] = unused(dim.columns, "n")
+    counted = groups.agg(F.count("*").alias(rows), *[F.first(v).alias(v) for v in values])
     return counted.select(
-        *keys, *[F.when(F.col("_n") > 1, F.raise_error(message)).otherwise(F.col(v)).alias(v) for v in values]
+        *keys, *[F.when(F.col(rows) > 1, F.raise_error(message)).otherwise(F.col(v)).alias(v) for v in values]
     )
 
 
@@ -70,8 +71,8 @@ def last_of_month(rates: DataFrame, date: str = "Date") -> DataFrame:
     """The latest record of each month, with Year and Month in place of the date."""
     values = [c for c in rates.columns if c != date]
     dated = rates.withColumns({"Year": F.year(date), "Month": F.month(date)})
-    latest = dated.groupBy("Year", "Month").agg(F.max_by(F.struct(*values), F.col(date)).alias("_row"))
-    return latest.select("Year", "Month", *[F.col("_row").getField(v).alias(v) for v in values])
+    latest = dated.groupBy("Year", "Month").agg(F.max_by(F.struct(*values), F.col(date)).alias("row"))
+    return latest.select("Year", "Month", *[F.col("row").getField(v).alias(v) for v in values])
 
 
 def add_price_index(df: DataFrame, by_zip: DataFrame, by_state: DataFrame, levels: bool = False) -> DataFrame:

@@ -27,14 +27,16 @@ def normalize_ovr(scored: DataFrame, key: list[str], raw: str = "raw", out: str
 def normalize_wide(scored: DataFrame, columns: list[str]) -> DataFrame:
     """The same for one column per class: arithmetic only."""
     total = sum((F.col(c) for c in columns[1:]), F.col(columns[0]))
-    out = scored.withColumn("_sum", total)
-    return out.withColumns({c: F.try_divide(F.col(c), F.col("_sum")) for c in columns}).drop("_sum")
+    [whole] = unused(scored.columns, "sum")
+    out = scored.withColumn(whole, total)
+    return out.withColumns({c: F.try_divide(F.col(c), F.col(whole)) for c in columns}).drop(whole)
 
 
 def melt_scores(scored: DataFrame, columns: dict, keep: list[str], truth: str = "truth") -> DataFrame:
     """One probability column per class to rows (keep..., target, p, y)."""
     cells = [F.struct(F.lit(label).alias("target"), F.col(f"`{c}`").alias("p")) for label, c in columns.items()]
-    long = scored.select(*keep, F.explode(F.array(*cells)).alias("_c")).select(*keep, "_c.*")
+    [cell] = unused(keep, "cell")
+    long = scored.select(*keep, F.explode(F.array(*cells)).alias(cell)).select(*keep, f"{cell}.*")
     return long.withColumn("y", (F.col(truth) == F.col("target")).cast("int"))
 
 
@@ -67,18 +69,18 @@ def points_of_counts(counts: DataFrame, by: list[str], hot_rows: int = HOT_ROWS)
 
 def curve_areas(points: DataFrame, by: list[str]) -> DataFrame:
     """Tie-aware ROC area and average precision from ``roc_points``."""
-    wide = "decimal(38,0)"
+    wide, (pairs_, ap) = "decimal(38,0)", unused(by, "pairs", "ap")
     pairs = F.col("neg").cast(wide) * (2 * F.col("tp") - F.col("pos")).cast(wide)
     precision = F.col("tp") / (F.col("tp") + F.col("fp"))
     return (
         points.groupBy(*by, "positives", "negatives")
-        .agg(F.sum(pairs.cast(wide)).cast("double").alias("_pairs"), F.sum(F.col("pos") * precision).alias("_ap"))
+        .agg(F.sum(pairs.cast(wide)).cast("double").alias(pairs_), F.sum(F.col("pos") * precision).alias(ap))
         .select(
             *by,
             "positives",
             "negatives",
-            F.try_divide(F.col("_pairs"), 2.0 * F.col("positives") * F.col("negatives")).alias("roc_auc"),
-            F.try_divide(F.col("_ap"), F.col("positives")).alias("pr_auc"),
+            F.try_divide(F.col(pairs_), 2.0 * F.col("positives") * F.col("negatives")).alias("roc_auc"),
+            F.try_divide(F.col(ap), F.col("positives")).alias("pr_auc"),
         )
     )
 
@@ -95,14 +97,14 @@ def ovr_auc(areas: DataFrame, by: list[str]) -> DataFrame:
 
 def threshold_metrics(scored: DataFrame, by: list[str], threshold: float = 0.5, eps: float = 1e-15) -> DataFrame:
     """Precision, recall, Brier score and log loss; no predicted positive gives precision 0."""
-    hit = F.col("p") > threshold
+    hit, (right, hits) = F.col("p") > threshold, unused(by, "right", "hits")
     p = F.greatest(F.lit(eps), F.least(F.lit(1 - eps), F.col("p")))
     loss = -F.when(F.col("y") == 1, F.log(p)).otherwise(F.log(1 - p))
     counted = scored.groupBy(*by).agg(
         F.count("*").alias("n"),
         F.sum(F.col("y").cast("bigint")).alias("positives"),
-        F.count_if(hit & (F.col("y") == 1)).alias("_tp"),
-        F.count_if(hit).alias("_hits"),
+        F.count_if(hit & (F.col("y") == 1)).alias(right),
+        F.count_if(hit).alias(hits),
         F.avg((F.col("p") - F.col("y")) * (F.col("p") - F.col("y"))).alias("brier"),
         F.avg(loss).alias("log_loss"),
     )
@@ -114,8 +116,8 @@ def threshold_metrics(scored: DataFrame, by: list[str], threshold: float = 0.5,
         *by,
         "n",
         "positives",
-        share("_tp", "_hits").alias("precision"),
-        share("_tp", "positives").alias("recall"),
+        share(right, hits).alias("precision"),
+        share(right, "positives").alias("recall"),
         "brier",
         "log_loss",
     )
@@ -132,7 +134,7 @@ def calibration(
     per group, so those rows are binned where they are and only bins are
     shuffled; exact quantiles shuffle a count per distinct score.
     """
-    inner = {f"_e{i}": (i + 1) / bins for i in range(bins - 1)}
+    inner = {name: (i + 1) / bins for i, name in enumerate(unused(scored.columns, *[f"edge{i}" for i in range(bins - 1)]))}
     if strategy == "uniform":
         return _binned(scored, by, [F.lit(edge) for edge in inner.values()], F.lit(1), F.col("y"))
     if strategy == "approximate":

@@ -27,6 +27,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loanshift.functions.names import prefix, unused
 from loanshift.functions.states import DEFAULT, LIVE_STATES, PREPAID, STATES, targets_of
 from loanshift.operators import matrix, metrics
 from loanshift.operators.clean import complete_cases
@@ -208,12 +209,12 @@ def portfolio_matrices(
     absent = [s for s in LIVE_STATES if s not in models]
     if absent and missing != "stay":
         raise ValueError(f"no model for states {absent}")
-    out, rows = loans, []
+    out, rows, own = loans, [], prefix(loans.columns)
     for state in LIVE_STATES:
         if state in absent:
             rows += matrix.absorbing(state)
             continue
-        name = f"_p{state}"
+        name = f"{own}p{state}"
         scored = models[state].transform(out)
         made = [c for c in scored.columns if c not in out.columns]
         out = scored.withColumn(name, vector_to_array("probability")).drop(*made)
@@ -273,9 +274,9 @@ def score_states(rows: DataFrame, models: dict[int, PipelineModel], keep: list[s
     """
     parts = []
     for state, model in models.items():
-        own = rows.where(F.col("Current_Status") == state)
+        own, [cell] = rows.where(F.col("Current_Status") == state), unused(rows.columns, "cell")
         wide = class_columns(model.transform(own), state)
         cells = [F.struct(F.lit(t).alias("target"), F.col(f"p_{t}").alias("p")) for t in targets_of(state)]
-        long = wide.select(*keep, F.lit(state).alias("cur"), F.explode(F.array(*cells)).alias("_c"))
-        parts.append(long.select(*[F.col(f"`{c}`") for c in long.columns if c != "_c"], "_c.*"))
+        long = wide.select(*keep, F.lit(state).alias("cur"), F.explode(F.array(*cells)).alias(cell))
+        parts.append(long.select(*[F.col(f"`{c}`") for c in long.columns if c != cell], f"{cell}.*"))
     return reduce(DataFrame.unionByName, parts)

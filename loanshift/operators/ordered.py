@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanshift.functions.names import unused
+from loanshift.functions.names import prefix, unused
 from loanshift.session import materialize
 
 HOT_ROWS = 2_000_000
@@ -53,21 +53,23 @@ def scan(
     ``count_from`` is a cheaper table to count keys in, with the key columns and
     at least as many rows per key as ``df`` (a stored table before joins, say).
     """
-    sizes = (df if count_from is None else count_from).groupBy(*key).agg(F.count("*").alias("_n"))
+    own = prefix([*df.columns, *what.outputs()])
+    rows, hot_names = f"{own}n", {k: f"{own}hot_{k}" for k in key}
+    sizes = (df if count_from is None else count_from).groupBy(*key).agg(F.count("*").alias(rows))
     for name in what.running_sum.values():
         if df.schema[name].dataType.typeName() in ("double", "float"):
             raise TypeError(f"a running sum of {name} would depend on how rows are cut: cast it to a decimal")
-    largest = sizes.agg(F.max("_n")).first()[0]
+    largest = sizes.agg(F.max(rows)).first()[0]
     if (largest or 0) <= hot_rows:
         return _window_scan(df, key, order, what)
 
     # Stored, so that the joins below broadcast the list only if it measures small.
-    hot = materialize(sizes.where(F.col("_n") > hot_rows))
-    hot_total = hot.agg(F.sum("_n")).first()[0]
+    hot = materialize(sizes.where(F.col(rows) > hot_rows))
+    hot_total = hot.agg(F.sum(rows)).first()[0]
     if not hot_total:
         return _window_scan(df, key, order, what)
-    hot_keys = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in key])
-    same_key = _all(F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in key)
+    hot_keys = hot.select(*[F.col(k).alias(n) for k, n in hot_names.items()])
+    same_key = _all(F.col(k).eqNullSafe(F.col(n)) for k, n in hot_names.items())
     cold = df.join(hot_keys, same_key, "left_anti")
     busy = df.join(hot_keys, same_key, "left_semi")
     segments = -(-hot_total // hot_rows) + 1
@@ -103,54 +105,76 @@ def _window_scan(df: DataFrame, key: list[str], order: list[Column], what: Scan)
 
 
 def _segment_scan(df: DataFrame, key: list[str], order: list[Column], what: Scan, segments: int) -> DataFrame:
+    own = prefix([*df.columns, *what.outputs()])
+    seg, first, last, count = f"{own}seg", f"{own}first", f"{own}last", f"{own}rows"
     bounds = [F.col(k).asc() for k in key] + list(order)
     # Written out, so the segment a row belongs to is a fact in the data and a
     # retried task cannot change it.
-    parts = materialize(df.repartitionByRange(segments, *bounds).withColumn("_seg", F.spark_partition_id()))
-    inside = [*key, "_seg"]
+    parts = materialize(df.repartitionByRange(segments, *bounds).withColumn(seg, F.spark_partition_id()))
+    inside = [*key, seg]
     w = Window.partitionBy(*inside).orderBy(*order)
     marked = _window_scan(parts, inside, order, what).withColumns(
-        {"_first": F.row_number().over(w) == 1, "_last": F.lead(F.lit(1)).over(w).isNull()}
+        {first: F.row_number().over(w) == 1, last: F.lead(F.lit(1)).over(w).isNull()}
     )
 
     def at(flag: str, column: str) -> Column:
         return F.max(F.when(F.col(flag), F.col(column)))
 
-    summary = [F.count("*").alias("_rows")]
-    summary += [at("_first", s).alias(f"_in_{n}") for n, s in what.lead.items()]
-    summary += [at("_last", s).alias(f"_in_{n}") for n, s in what.lag.items()]
-    summary += [F.max(s).alias(f"_in_{n}") for n, s in what.running_max.items()]
-    summary += [F.sum(s).alias(f"_in_{n}") for n, s in what.running_sum.items()]
-    summary += [at("_last", n).alias(f"_in_{n}") for n in [*what.fill, *what.last_at]]
+    summary = [F.count("*").alias(count)]
+    summary += [at(first, s).alias(f"{own}in_{n}") for n, s in what.lead.items()]
+    summary += [at(last, s).alias(f"{own}in_{n}") for n, s in what.lag.items()]
+    summary += [F.max(s).alias(f"{own}in_{n}") for n, s in what.running_max.items()]
+    summary += [F.sum(s).alias(f"{own}in_{n}") for n, s in what.running_sum.items()]
+    summary += [at(last, n).alias(f"{own}in_{n}") for n in [*what.fill, *what.last_at]]
 
     # One row per segment and key in it: at most segments + number of hot keys.
-    across = Window.partitionBy(*key).orderBy("_seg")
+    across = Window.partitionBy(*key).orderBy(seg)
     before = across.rowsBetween(Window.unboundedPreceding, -1)
-    carried = {f"_c_{n}": F.lead(f"_in_{n}").over(across) for n in what.lead}
-    carried |= {f"_c_{n}": F.lag(f"_in_{n}").over(across) for n in what.lag}
-    carried |= {f"_c_{n}": F.max(f"_in_{n}").over(before) for n in what.running_max}
-    carried |= {f"_c_{n}": F.sum(f"_in_{n}").over(before) for n in what.running_sum}
-    carried |= {f"_c_{n}": F.last(f"_in_{n}", ignorenulls=True).over(before) for n in what.fill}
-    carried["_c_rows"] = F.sum("_rows").over(before)
+    carried = {f"{own}c_{n}": F.lead(f"{own}in_{n}").over(across) for n in what.lead}
+    carried |= {f"{own}c_{n}": F.lag(f"{own}in_{n}").over(across) for n in what.lag}
+    carried |= {f"{own}c_{n}": F.max(f"{own}in_{n}").over(before) for n in what.running_max}
+    carried |= {f"{own}c_{n}": F.sum(f"{own}in_{n}").over(before) for n in what.running_sum}
+    carried |= {f"{own}c_{n}": F.last(f"{own}in_{n}", ignorenulls=True).over(before) for n in what.fill}
+    carried[f"{own}c_rows"] = F.sum(count).over(before)
     carry = marked.groupBy(*inside).agg(*summary).withColumns(carried)
     # A place in a segment is one in the key after the rows before the segment.
-    rows_before = F.coalesce(F.col("_c_rows"), F.lit(0))
+    rows_before = F.coalesce(F.col(f"{own}c_rows"), F.lit(0))
     for n in what.last_at:
-        carry = carry.withColumn(f"_in_{n}", F.col(f"_in_{n}") + rows_before)
-        carried[f"_c_{n}"] = F.last(f"_in_{n}", ignorenulls=True).over(before)
-        carry = carry.withColumn(f"_c_{n}", carried[f"_c_{n}"])
-    carry = materialize(carry.select(*[F.col(c).alias(f"_k_{c}") for c in inside], *carried))
+        carry = carry.withColumn(f"{own}in_{n}", F.col(f"{own}in_{n}") + rows_before)
+        carried[f"{own}c_{n}"] = F.last(f"{own}in_{n}", ignorenulls=True).over(before)
+        carry = carry.withColumn(f"{own}c_{n}", carried[f"{own}c_{n}"])
+    carry = materialize(carry.select(*[F.col(c).alias(f"{own}k_{c}") for c in inside], *carried))
 
     joined = marked.join(
-        carry, _all(F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in inside), "left"
+        carry, _all(F.col(c).eqNullSafe(F.col(f"{own}k_{c}")) for c in inside), "left"
     )
-    result = {n: F.when(F.col("_last"), F.col(f"_c_{n}")).otherwise(F.col(n)) for n in what.lead}
-    result |= {n: F.when(F.col("_first"), F.col(f"_c_{n}")).otherwise(F.col(n)) for n in what.lag}
-    result |= {n: F.greatest(F.col(n), F.col(f"_c_{n}")) for n in what.running_max}
-    result |= {n: F.coalesce(F.col(n) + F.col(f"_c_{n}"), F.col(n), F.col(f"_c_{n}")) for n in what.running_sum}
-    result |= {n: F.coalesce(F.col(n), F.col(f"_c_{n}")) for n in what.fill}
-    offset = F.coalesce(F.col("_c_rows"), F.lit(0))
-    result |= {n: F.coalesce(F.col(n) + offset, F.col(f"_c_{n}")) for n in what.last_at}
+    result = {n: F.when(F.col(last), F.col(f"{own}c_{n}")).otherwise(F.col(n)) for n in what.lead}
+    result |= {n: F.when(F.col(first), F.col(f"{own}c_{n}")).otherwise(F.col(n)) for n in what.lag}
+    result |= {n: F.greatest(F.col(n), F.col(f"{own}c_{n}")) for n in what.running_max}
+    result |= {n: F.coalesce(F.col(n) + F.col(f"{own}c_{n}"), F.col(n), F.col(f"{own}c_{n}")) for n in what.running_sum}
+    result |= {n: F.coalesce(F.col(n), F.col(f"{own}c_{n}")) for n in what.fill}
+    offset = F.coalesce(F.col(f"{own}c_rows"), F.lit(0))
+    result |= {n: F.coalesce(F.col(n) + offset, F.col(f"{own}c_{n}")) for n in what.last_at}
     if what.position:
-        result[what.position] = F.col(what.position) + F.coalesce(F.col("_c_rows"), F.lit(0))
+        result[what.position] = F.col(what.position) + F.coalesce(F.col(f"{own}c_rows"), F.lit(0))
     return joined.withColumns(result).select(*df.columns, *what.outputs())
+
+
+def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """Add the 0-based position of every row of the whole table in ``order``, which must be unique.
+
+    Rows are range-partitioned and numbered inside their range; the sizes of the
+    ranges before, one number per shuffle partition, are added.
+    """
+    spark = df.sparkSession
+    part, before = unused([*df.columns, name], "range", "before")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Written out, so the range a row belongs to is a fact in the data.
+    ranged = materialize(df.repartitionByRange(parts, *order).withColumn(part, F.spark_partition_id()))
+    starts, total = [], 0
+    for r in sorted(ranged.groupBy(part).count().collect()):  # one row per range
+        starts.append((r[0], total))
+        total += r["count"]
+    sizes = F.broadcast(spark.createDataFrame(starts, f"`{part}` int, `{before}` long"))
+    place = F.row_number().over(Window.partitionBy(part).orderBy(*order)) - 1 + F.col(before)
+    return ranged.join(sizes, part).withColumn(name, place).select(*[F.col(f"`{c}`") for c in df.columns], name)

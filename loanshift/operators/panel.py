@@ -36,7 +36,8 @@ def add_history(df: DataFrame, hot_rows: int = HOT_ROWS, count_from: DataFrame |
     All four share one partitioning and one sort. The running worst status is
     null where the current status is null.
     """
-    fills = {"_rem": "Rem_Months"} if "Rem_Months" in df.columns else {}
+    [filled] = unused(df.columns, "rem")
+    fills = {filled: "Rem_Months"} if "Rem_Months" in df.columns else {}
     what = Scan(
         lead={"Next_Status": "Current_Status"},
         running_max={"Cum_Max_Status": "Current_Status"},
@@ -47,7 +48,7 @@ def add_history(df: DataFrame, hot_rows: int = HOT_ROWS, count_from: DataFrame |
     out = out.withColumn(
         "Cum_Max_Status", F.when(F.col("Current_Status").isNotNull(), F.col("Cum_Max_Status"))
     )
-    return out.withColumn("Rem_Months", F.col("_rem")).drop("_rem") if fills else out
+    return out.withColumn("Rem_Months", F.col(filled)).drop(filled) if fills else out
 
 
 def _holds(condition: Column) -> Column:

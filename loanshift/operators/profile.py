@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loanshift.functions.names import unused
 from loanshift.functions.states import DEFAULT
 from loanshift.operators.ordered import HOT_ROWS
 from loanshift.operators.quantiles import quantiles, quantiles_of, value_counts
@@ -16,8 +17,9 @@ QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 def melt(df: DataFrame, columns: list[str], cast: str, keep: list[str] | None = None) -> DataFrame:
     """Rows (keep..., column, value), nulls left out."""
     cells = [F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast(cast).alias("value")) for c in columns]
-    long = df.select(*(keep or []), F.explode(F.array(*cells)).alias("_cell"))
-    return long.select(*(keep or []), "_cell.*").where(F.col("value").isNotNull())
+    [cell] = unused(keep or [], "cell")
+    long = df.select(*(keep or []), F.explode(F.array(*cells)).alias(cell))
+    return long.select(*(keep or []), f"{cell}.*").where(F.col("value").isNotNull())
 
 
 def frequencies(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loanshift.functions.names import prefix
 from loanshift.operators.ordered import HOT_ROWS, Scan, scan
 from loanshift.session import materialize
 
@@ -25,25 +26,27 @@ def quantiles_of(
 ) -> DataFrame:
     """One row per group with a column per named probability, linearly interpolated."""
     by = by or []
-    key = ["_all", *by]
-    rows = counts.withColumn("_all", F.lit(0))
-    ranked = scan(rows, key, [F.col("value").asc()], Scan(running_sum={"_upto": "n"}), hot_rows)
+    own = prefix([*counts.columns, *probabilities])
+    everything, upto, whole = f"{own}all", f"{own}upto", f"{own}total"
+    key = [everything, *by]
+    rows = counts.withColumn(everything, F.lit(0))
+    ranked = scan(rows, key, [F.col("value").asc()], Scan(running_sum={upto: "n"}), hot_rows)
     # One row per group, stored so that Catalyst sees how small it is.
-    totals = materialize(rows.groupBy(*[F.col(k).alias(f"_t_{k}") for k in key]).agg(F.sum("n").alias("_total")))
+    totals = materialize(rows.groupBy(*[F.col(k).alias(f"{own}t_{k}") for k in key]).agg(F.sum("n").alias(whole)))
     match = F.lit(True)
     for k in key:
-        match = match & F.col(k).eqNullSafe(F.col(f"_t_{k}"))
+        match = match & F.col(k).eqNullSafe(F.col(f"{own}t_{k}"))
     placed = ranked.join(totals, match)
 
     def at(index: Column) -> Column:
-        inside = (F.col("_upto") - F.col("n") <= index) & (index < F.col("_upto"))
+        inside = (F.col(upto) - F.col("n") <= index) & (index < F.col(upto))
         return F.max(F.when(inside, F.col("value")))
 
-    found, result = [F.max("_total").alias("_total")], {}
+    found, result = [F.max(whole).alias(whole)], {}
     for name, p in probabilities.items():
-        rank = F.lit(float(p)) * (F.col("_total") - 1)
-        found += [at(F.floor(rank)).alias(f"_lo_{name}"), at(F.ceil(rank)).alias(f"_hi_{name}")]
-        lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
+        rank = F.lit(float(p)) * (F.col(whole) - 1)
+        found += [at(F.floor(rank)).alias(f"{own}lo_{name}"), at(F.ceil(rank)).alias(f"{own}hi_{name}")]
+        lo, hi = F.col(f"{own}lo_{name}"), F.col(f"{own}hi_{name}")
         result[name] = lo + (hi - lo) * (rank - F.floor(rank))
     out = placed.groupBy(*key).agg(*found).withColumns(result)
     return materialize(out.select(*by, *probabilities))

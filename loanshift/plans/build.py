@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loanshift.functions import names
 from loanshift.operators import clean, features, lookups, panel, sampling
 from loanshift.operators.ordered import HOT_ROWS
 
@@ -80,10 +81,11 @@ def transition_table(
     narrow = [c for c in ("Loan_ID", "Act_Period", "Seq", "Current_Status") if c in out.columns]
     unused = {"Zero_Balance_Code", *features.NOT_IN_PANEL} - {"Orig_Date", "State"}
     rest = [c for c in out.columns if c not in narrow and c not in unused]
+    [whole] = names.unused(out.columns, "row")
     carried = F.when(sampling.in_sample(out, fractions), F.struct(*[F.col(f"`{c}`") for c in rest]))
-    history = panel.add_history(out.select(*narrow, carried.alias("_row")), hot_rows, count_from)
-    seen = panel.keep_observed(history, require_balance=False).where(F.col("_row").isNotNull())
-    rows = panel.legal_transitions(seen).select(*narrow, "Next_Status", "_row.*")
+    history = panel.add_history(out.select(*narrow, carried.alias(whole)), hot_rows, count_from)
+    seen = panel.keep_observed(history, require_balance=False).where(F.col(whole).isNotNull())
+    rows = panel.legal_transitions(seen).select(*narrow, "Next_Status", f"{whole}.*")
     rows = rows.where(F.col("Curr_UPB").isNotNull())
     rows = clean.require(enrich(rows, series))
     rows = features.month_indicators(features.vintage_bins(rows, edges=vintage_edges))

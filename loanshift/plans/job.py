@@ -40,24 +40,33 @@ def read_series(spark: SparkSession, files: Files) -> Series:
     )
 
 
-def store_records(spark: SparkSession, files: Files, path: str, mode: str = "error") -> DataFrame:
+def store_records(spark: SparkSession, files: Files, path: str, mode: str = "error", rejected: str | None = None) -> DataFrame:
     """The listed performance files with their dates parsed, ``Time_Stamp`` among them, written once as Parquet.
 
-    Text is parsed once; every later pass reads only the columns it needs.
+    Text is parsed once; every later pass reads only the columns it needs. A
+    malformed record is an error, or with ``rejected`` is listed in a table there.
     """
     spec = layout.read_layout(spark, files.layout)
-    records = clean.parse_dates(performance.read_listed(spark, files.folder, files.file_list, spec))
+    if rejected is None:
+        rows = performance.read_listed(spark, files.folder, files.file_list, spec)
+    else:
+        rows, others = performance.split_listed(spark, files.folder, files.file_list, spec)
+        others.write.mode(mode).parquet(rejected)
+    records = clean.parse_dates(rows)
     records.write.mode(mode).parquet(path)
     return spark.read.schema(records.schema).parquet(path)
 
 
-def build_from_files(spark: SparkSession, files: Files, out: str, mode: str = "error", **settings) -> DataFrame:
+def build_from_files(
+    spark: SparkSession, files: Files, out: str, mode: str = "error", list_rejected: bool = False, **settings
+) -> DataFrame:
     """Writes ``out/records``, ``out/transitions`` and ``out/columns``; returns the stored transitions.
 
     ``settings`` are those of ``transition_table``. ``mode`` decides about
-    tables that are there already, by default an error.
+    tables that are there already, by default an error. With ``list_rejected``
+    malformed records go to ``out/rejected``.
     """
-    records = store_records(spark, files, f"{out}/records", mode)
+    records = store_records(spark, files, f"{out}/records", mode, f"{out}/rejected" if list_rejected else None)
     settings.setdefault("count_from", records.select("Loan_ID"))
     built = transition_table(records, read_series(spark, files), **settings)
     tables.write_transitions(built, f"{out}/transitions", mode)

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loanshift.functions import scalars
 from loanshift.operators.lookups import last_of_month, lookup, unique_by
+from loanshift.sources import checked
 
 # File formats.
 HPI_ZIP_SCHEMA = "Zip string, Year int, Quarter int, HPI double"
@@ -24,7 +26,11 @@ MONTH_FIRST = "M/d/yyyy"
 
 
 def _read(spark: SparkSession, path: str, schema: str, **options) -> DataFrame:
-    return spark.read.schema(schema).csv(path, header=True, enforceSchema=True, **options)
+    """Columns of ``schema`` by position; text where a number belongs is an error, blank text is null."""
+    wanted = T.StructType.fromDDL(schema)
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in wanted])
+    rows = spark.read.schema(texts).csv(path, header=True, enforceSchema=True, **options)
+    return rows.select(*[F.col(f"`{f.name}`") if f.dataType == T.StringType() else checked.number(f) for f in wanted])
 
 
 def read_hpi_zip(spark: SparkSession, path: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanshift.functions import scalars
-from loanshift.operators.ordered import Scan, scan
+from loanshift.operators.ordered import numbered
 
 # Response shape and ids per request.
 RESPONSE_SCHEMA = (
@@ -25,7 +25,7 @@ def read_series_json(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_series_json(df: DataFrame, column: str = "json") -> DataFrame:
-    return flatten_series(df.select(F.from_json(column, RESPONSE_SCHEMA).alias("_r")).select("_r.*"))
+    return flatten_series(df.select(F.from_json(column, RESPONSE_SCHEMA).alias("r")).select("r.*"))
 
 
 def flatten_series(responses: DataFrame) -> DataFrame:
@@ -45,9 +45,8 @@ def request_batches(codes: DataFrame, prefix: str, size: int = REQUEST_SIZE) ->
 
     ``codes`` is one column of distinct area codes.
     """
-    listed = codes.select("code", F.lit(0).alias("_all"))
-    placed = scan(listed, ["_all"], [F.col("code").asc()], Scan(position="_at"))
+    placed = numbered(codes.select("code"), [F.col("code").asc()], "at")
     return placed.select(
         scalars.series_id(prefix, F.col("code")).alias("series"),
-        F.floor(F.col("_at") / size).cast("int").alias("request"),
+        F.floor(F.col("at") / size).cast("int").alias("request"),
     )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from loanshift import session
 from loanshift.functions import scalars
 from loanshift.operators import lookups, matrix, metrics, models, panel, profile
-from loanshift.operators.ordered import Scan, scan
+from loanshift.operators.ordered import Scan, numbered, scan
 from loanshift.sources import tables
 
 
@@ -123,3 +123,28 @@ def test_histogram_of_columns_without_values(spark):
     assert profile.histogram(df, ["a"], bins=4).count() == 0
     sketched = profile.box_stats(spark.range(1, 1002).withColumn("v", F.col("id") * 1.0), "v", accuracy=10_000).first()
     assert (sketched.n, sketched.median, sketched.outliers) == (1001, 501.0, 0)
+
+
+@pytest.mark.parametrize("hot_rows", [10**6, 9])
+def test_scans_leave_columns_of_any_name_alone(spark, hot_rows):
+    rows = [(k % 2 if k % 9 else None, i, (i * 7 + k) % 11, (i + k) % 3 == 0, "s", 1.5, True, False, 3, "h") for k in range(3) for i in range(25)]
+    schema = "k int, i int, v long, flag boolean, _seg string, _n double, _first boolean, _last boolean, _rows int, _hot_k string"
+    df = spark.createDataFrame([(r[0], k, *r[2:]) for k, r in enumerate(rows)], schema)
+    what = Scan(
+        lead={"nxt": "v"}, lag={"prev": "v"}, running_max={"top": "v"}, running_sum={"sum": "v"}, fill={"held": "v"}, position="at", last_at={"mark": "flag"}
+    )
+    plain = df.select("k", "i", "v", "flag")
+    found = scan(df, ["k"], [F.col("i").asc()], what, hot_rows)
+    assert sorted(found.columns) == sorted([*df.columns, *what.outputs()])
+    expected = scan(plain, ["k"], [F.col("i").asc()], what, 10**6)
+    names = expected.columns
+    assert sorted(map(str, found.select(*names).collect())) == sorted(map(str, expected.collect()))
+    kept = [tuple(r) for r in found.select("_seg", "_n", "_first", "_last", "_rows", "_hot_k").distinct().collect()]
+    assert kept == [("s", 1.5, True, False, 3, "h")]
+
+
+def test_positions_in_the_whole_table(spark):
+    df = spark.createDataFrame([(i * 37 % 101, "r") for i in range(101)], "v int, range string").repartition(7)
+    found = numbered(df, [F.col("v").asc()], "at")
+    assert found.columns == ["v", "range", "at"] and all(r["at"] == r.v for r in found.collect())
+    assert numbered(df.limit(0), [F.col("v").asc()], "at").count() == 0

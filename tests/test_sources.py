@@ -4,6 +4,7 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.errors import PySparkException
 
 from checks import adapter as A
 from loanshift.operators import clean
@@ -23,7 +24,7 @@ def test_layout_and_performance_files(spark, tmp_path):
     assert spec.fields.names == ["Pool", "Loan_ID", "Act_Period", "Orig_Rate", "Deal"]
     assert spec.kept == ["Loan_ID", "Act_Period", "Orig_Rate"]
     write(tmp_path, "2003Q4.csv", "p|001|012004|5.5|d\np|002|112004||d\n")
-    write(tmp_path, "2004Q1.csv", "p|003|22004|x|d\n")
+    write(tmp_path, "2004Q1.csv", "p|003|22004||d\n")
     listed = write(tmp_path, "list.csv", "file\n2003Q4.csv\n2004Q1.csv\n")
     rows = clean.parse_dates(performance.read_listed(spark, str(tmp_path), listed, spec)).orderBy("Loan_ID").collect()
     assert [tuple(r) for r in rows] == [
@@ -110,3 +111,26 @@ def test_cluster_needs_a_shared_folder(monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_folder(Session())
+
+
+def test_malformed_records_are_an_error_or_listed(spark, tmp_path):
+    spec = layout.read_layout(spark, write(tmp_path, "layout.csv", LAYOUT))
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    write(folder, "2004Q1.csv", "p|001|012004|5.5|d\np|002|012004|oops|d\np|003|012004\np|004|012004||d|x|y\np|005|022004| |d\n")
+    with pytest.raises(PySparkException, match="malformed record: p"):
+        performance.read_performance(spark, str(folder), spec).select("Loan_ID").collect()
+    rows, rejected = performance.split_performance(spark, str(folder), spec)
+    assert [r.Loan_ID for r in rows.select("Loan_ID").collect()] == ["001"] and rows.count() == 1
+    assert sorted((r.file, r.record.split("|")[1], r.reasons) for r in rejected.collect()) == [
+        ("2004Q1.csv", "002", ["Orig_Rate: oops"]), ("2004Q1.csv", "003", ["3 fields for 5"]), ("2004Q1.csv", "004", ["7 fields for 5"]),
+        ("2004Q1.csv", "005", ["Orig_Rate:  "]),
+    ]
+
+
+def test_series_with_text_for_a_number_are_an_error(spark, tmp_path):
+    path = write(tmp_path, "h.csv", "a,b,c,d\n27601,2004,1,100.5\n27601,2004,2,\n27601,n.a.,3,1\n")
+    with pytest.raises(PySparkException, match="not a number in Year: n.a."):
+        economics.read_hpi_zip(spark, path).collect()
+    path = write(tmp_path, "ok.csv", "a,b,c,d\n27601,2004,1,100.5\n27601,2004,2, \n")
+    assert [r.HPI for r in economics.read_hpi_zip(spark, path).collect()] == [100.5, None]
