@@ -102,6 +102,16 @@ def materialize(df: DataFrame, partition_by: list[str] | None = None) -> DataFra
     return stored
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's estimate of a table's size, from file sizes and without a job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    """``spark.sql.autoBroadcastJoinThreshold`` in bytes."""
+    return spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

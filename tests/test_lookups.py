@@ -76,7 +76,7 @@ def test_lookups_keep_the_row_count(spark, sf):
 def test_small_dimensions_are_broadcast_without_a_hint(spark, sf):
     rows = A.built(spark, sf)
     plan = rows._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("BroadcastHashJoin") >= 12 and "ResolvedHint" not in plan
+    assert plan.count("BroadcastHashJoin") >= 5 and "SortMergeJoin" not in plan and "ResolvedHint" not in plan
 
 
 @pytest.mark.parametrize("year, expected", [(2004, [0, 0, 0, 0]), (2005, [1, 0, 0, 0]), (2020, [0, 0, 0, 1]), (2021, [0, 0, 0, 0])])
@@ -121,3 +121,47 @@ def test_sampled_build_equals_sampling_the_panel(spark, sf):
     direct = direct.select(*whole.columns)
     assert direct.count() == whole.count() > 0
     assert direct.exceptAll(whole).count() == 0
+
+
+def test_five_joins_serve_all_series(spark, sf):
+    from loanshift.plans.build import enrich
+
+    rows = A.cleaned(spark, sf)
+    series = A.dimensions(spark, sf)
+    before, after = (df._jdf.queryExecution().optimizedPlan().toString().count("Join ") for df in (rows, enrich(rows, series)))
+    assert after - before == 5
+
+
+def test_lookups_without_broadcast_are_salted_and_equal(spark, sf):
+    from loanshift.plans.build import enrich
+
+    rows = A.cleaned(spark, sf)
+    rows = rows.withColumn("ZIP", F.when(F.col("Loan_ID") % 3 == 0, F.lit(7)).otherwise(F.col("ZIP")))  # a hot place
+    series = A.dimensions(spark, sf)
+    small = sorted(map(str, enrich(rows, series).collect()))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spread = enrich(rows, series)
+        assert "SortMergeJoin" in spread._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(str, spread.collect())) == small
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        hot = lookups.add_price_index(rows.where("ZIP = 7"), series.zip_index, series.state_index)
+        zipped = hot.groupBy(F.spark_partition_id()).count().collect()
+        sizes = sorted(r["count"] for r in zipped)
+        assert len(sizes) > 4 and sizes[-1] <= 0.5 * sum(sizes)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_a_gap_in_a_series_is_null(spark):
+    zips = spark.createDataFrame([("z1", 2010, 1, 120.0), ("z1", 2004, 2, 100.0), ("z1", 2007, 3, None), (None, 2010, 1, 5.0), ("z2", None, 1, 5.0)], "Zip string, Year int, Quarter int, HPI double")
+    nothing = zips.where("false").withColumnRenamed("Zip", "State")
+    found = {}
+    for day in (dt.date(2010, 2, 1), dt.date(2009, 2, 1), dt.date(2007, 8, 1), dt.date(2011, 2, 1), dt.date(2001, 1, 1)):
+        row = lookups.add_price_index(one_loan(spark).withColumn("Act_Period", F.lit(day)), zips, nothing).first()
+        found[day.year] = row.Curr_HPI
+    assert found == {2010: 120.0, 2009: None, 2007: None, 2011: None, 2001: None}
