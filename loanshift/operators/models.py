@@ -37,6 +37,8 @@ from loanshift.session import materialize
 FOREST_TREES, FOREST_SEED, IMPORTANCE_SHARE = 50, 123, 0.1
 HIDDEN_LAYERS = [36, 50, 45, 30, 15, 5]
 LOGIT_ITERATIONS = 10_000
+#: Rows of a partition in iterative fits.
+FIT_ROWS = 20_000
 
 
 def state_rows(transitions: DataFrame, state: int, columns: list[str]) -> DataFrame:
@@ -51,6 +53,11 @@ def state_rows(transitions: DataFrame, state: int, columns: list[str]) -> DataFr
     return rows.withColumn("label", at.cast("double"))
 
 
+def dense(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` in as few partitions as ``FIT_ROWS`` allows: an iterative fit runs a job per step, and tiny tasks cost more than they do."""
+    return df.coalesce(max(1, -(-rows // FIT_ROWS)))
+
+
 def feature_pipeline(numeric: list[str], categorical: list[str], one_hot: bool = True, scale: bool = True) -> Pipeline:
     """Stages to a ``features`` vector. Categories and scaling come from the rows
     it is fitted on; unseen or missing categories get a slot of their own."""
@@ -226,7 +233,7 @@ def portfolio_matrices(
 
 def fit_state_logits(
     transitions: DataFrame, numeric: list[str], categorical: list[str], states: list[int] | None = None,
-    max_iter: int | None = None, parallelism: int = 4,
+    max_iter: int | None = None, parallelism: int = 7,
 ) -> dict[int, PipelineModel]:
     """A full pipeline (features and softmax regression) per current state.
 
@@ -239,6 +246,7 @@ def fit_state_logits(
         found = rows.count()
         if not found:
             return None
+        rows = dense(rows, found)
         stages = feature_pipeline(numeric, categorical).getStages()
         logit = multinomial_logit(found, max_iter=max_iter or LOGIT_ITERATIONS)
         fitted = Pipeline(stages=[*stages, logit]).fit(rows)

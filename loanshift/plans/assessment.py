@@ -50,16 +50,18 @@ def discriminant_scores(
 
     A state with fewer than two classes among its training rows has no model and no scores.
     """
-    parts = []
-    for state in states or LIVE_STATES:
+
+    def score(state: int) -> DataFrame | None:
         own, other = (models.state_rows(t, state, [*numeric, *categorical]) for t in (train, test))
         own = materialize(own)
         if own.select("Next_Status").distinct().count() < 2:
-            continue
+            return None
         steps = models.feature_pipeline(numeric, categorical).fit(own)
         arrays, unseen = (steps.transform(t).withColumn("x", vector_to_array("features")) for t in (own, other))
         fitted = discriminant.fit(arrays, "Next_Status", "x", len(models.feature_names(arrays)))
         columns = {int(c): f"p_{c}" for c in fitted.classes}
         long = metrics.melt_scores(fitted.predict(unseen), columns, [*key, "Next_Status"], truth="Next_Status")
-        parts.append(long.select(*key, F.lit(state).alias("cur"), F.col("Next_Status").alias("truth"), "target", "p"))
-    return reduce(DataFrame.unionByName, parts)
+        return long.select(*key, F.lit(state).alias("cur"), F.col("Next_Status").alias("truth"), "target", "p")
+
+    found = models._at_once(train.sparkSession, score, states or LIVE_STATES, 7)
+    return reduce(DataFrame.unionByName, [part for part in found.values() if part is not None])
