@@ -122,6 +122,19 @@ def stratified_sample(spark, sf):
     return rows.select(*WHO, "Current_Status", "Next_Status")
 
 
+@query("""
+  with drawn as (
+    select *, row_number() over (partition by Current_Status, Next_Status order by ('0x' ||
+                substr(md5(concat_ws('|', Loan_ID, cast(Act_Period as varchar), Seq, '601')), 1, 8))::bigint, Loan_ID, Act_Period, Seq) as place,
+           count(*) over (partition by Current_Status, Next_Status) as n from transitions)
+  select Loan_ID, Seq, Current_Status, Next_Status from drawn
+  where place <= round_even(n * case Current_Status when 0 then 0.05e0 when 1 then 0.3e0 else 0.5e0 end, 0)""")
+def exact_sample(spark, sf):
+    """Of every (current, next) pair exactly the rounded share."""
+    shares = {s: 0.05 if s == 0 else 0.3 if s == 1 else 0.5 for s in range(7)}
+    return sampling.sample_exactly(A.transitions(spark, sf), shares).select(*WHO, "Current_Status", "Next_Status")
+
+
 @query("""
   select Loan_ID, Seq, case when ('0x' || substr(md5(concat_ws('|', Loan_ID, cast(Act_Period as varchar), Seq, '123')), 1, 8))::bigint
                               < 0.2e0 * 4294967296 then 'test' else 'train' end as split from transitions""")
@@ -222,6 +235,25 @@ def summary(spark, sf):
     return _rounded(rows, 4, "mean", "std", "q1", "median", "q3")
 
 
+@query(" union all ".join(
+    f"""select '{c}' as "column", count({c}) as n, cast(min({c}) as double) as min, cast(max({c}) as double) as max, true as q1, true as median, true as q3
+        from records""" for c in ("Curr_UPB", "DTI", "Orig_Rate")
+))
+def summary_approx(spark, sf):
+    """Quartiles from a sketch, whose ranks are within the stated distance of theirs."""
+    columns, accuracy = ["Curr_UPB", "DTI", "Orig_Rate"], 100
+    found = profile.summary(A.records(spark, sf), columns, accuracy=accuracy)
+    values = profile.melt(A.records(spark, sf), columns, "double").join(found, "column")
+    ranks = [f(F.col("value"), F.col(q)) for q in profile.QUARTILES for f in (lambda v, q: F.count_if(v < q), lambda v, q: F.count_if(v <= q))]
+    names = [f"{side}_{q}" for q in profile.QUARTILES for side in ("below", "upto")]
+    ranked = values.groupBy("column", "n", "min", "max").agg(*[r.alias(n) for r, n in zip(ranks, names)])
+    near = {
+        q: (F.col(f"below_{q}") <= (p + 1 / accuracy) * F.col("n") + 1) & (F.col(f"upto_{q}") >= (p - 1 / accuracy) * F.col("n") - 1)
+        for q, p in profile.QUARTILES.items()
+    }
+    return ranked.select("column", "n", "min", "max", *[c.alias(q) for q, c in near.items()])
+
+
 @query("""
   select * from (values (0, 'c_custkey', 'bigint'), (1, 'c_name', 'string'), (2, 'c_nationkey', 'int'),
     (3, 'c_acctbal', 'double'), (4, 'c_mktsegment', 'string')) t(position, "Column_Name", dtype)""")

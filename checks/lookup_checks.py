@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from checks import adapter as A
 from checks.registry import query
 from loanshift.operators import lookups, panel
-from loanshift.plans import build
+from loanshift.plans import build, incremental
+from loanshift.session import shared_folder
+from loanshift.sources import tables
 
 WHO = ["Loan_ID", "Seq"]
 
@@ -79,6 +83,41 @@ def panel_full(spark, sf):
     return _panel_columns(A.built(spark, sf))
 
 
+def _by_year(spark, sf):
+    """The records added year by year, each going on from the carry of the one before."""
+    path = f"{shared_folder(spark)}/years-{uuid.uuid4().hex}"
+    rows = A.records(spark, sf).withColumn("year", F.year("Act_Period"))
+    years = sorted(r["year"] for r in rows.select("year").distinct().collect())
+    for before, year in zip([None, *years], years):
+        incremental.add_quarter(spark, path, str(year), rows.where(F.col("year") == year).drop("year"), before and str(before))
+    return path
+
+
+@query(f"select {_PANEL} from panel")
+def panel_incremental(spark, sf):
+    """The same panel built year by year: older years are not read again."""
+    path = _by_year(spark, sf)
+    rows, sums = (incremental.stored(spark, path, n) for n in ("rows", "sums"))
+    return _panel_columns(incremental.panel_of(rows, sums, A.dimensions(spark, sf), A.TEST_EDGES))
+
+
+@query("""
+  select Current_Status as cur, Next_Status as nxt, count(*) as n from clean_observed
+  where Current_Status between 0 and 6 and (Next_Status = 7 or (Next_Status between -1 and 7 and Next_Status <= Current_Status + 1)) group by 1, 2""")
+def counts_incremental(spark, sf):
+    """Transition counts of all records from the counts of the years."""
+    return incremental.transition_counts(spark, _by_year(spark, sf))
+
+
+@query(f"select {_PANEL} from panel")
+def panel_bucketed(spark, sf):
+    """The same panel from records stored bucketed by loan."""
+    name = f"records_{uuid.uuid4().hex}"
+    stored = tables.write_bucketed(A.records(spark, sf), name, 8, f"{shared_folder(spark)}/{name}")
+    found = build.build_panel(stored, A.dimensions(spark, sf), A.TEST_EDGES, count_from=stored.select("Loan_ID"))
+    return _panel_columns(found)
+
+
 @query(f"""
   select {_PANEL} from panel
   where Current_Status between 0 and 6 and (Next_Status = 7 or (Next_Status <= Current_Status + 1 and Next_Status >= -1))

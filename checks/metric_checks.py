@@ -62,6 +62,28 @@ def curve_areas(spark, sf):
     return _rounded(metrics.curve_areas(points, CLASS), 9, "pr_auc")
 
 
+@query(f"""with {_AREAS},
+  bins as (
+    select cur, target, least(floor(p * 256), 255) as bin, sum(y) as pos, sum(1 - y) as neg from scored group by 1, 2, 3),
+  higher as (select *, coalesce(sum(pos) over (partition by cur, target order by bin desc rows between unbounded preceding and 1 preceding), 0) as above from bins),
+  rough as (
+    select cur, target, cast(sum(pos) as bigint) as positives, cast(sum(neg) as bigint) as negatives,
+           cast(sum(neg * (2 * above + pos)) as double) / nullif(2e0 * sum(pos) * sum(neg), 0) as roc_auc,
+           cast(sum(pos * neg) as double) / nullif(2e0 * sum(pos) * sum(neg), 0) as error
+    from higher group by 1, 2)
+  select cur, target, positives, negatives, round(r.roc_auc, 9) as roc_auc, round(error, 9) as error,
+         abs(r.roc_auc - a.roc_auc) <= error + 1e-12 as within
+  from rough r join areas a using (cur, target)""")
+def auc_ovr_approx(spark, sf):
+    """Areas from class histograms of 256 bins, with the bound on their error, beside the exact ones."""
+    scored = A.scored(spark, sf)
+    rough = metrics.sketch_areas(metrics.score_sketch(scored, CLASS, bins=256), CLASS)
+    exact = metrics.curve_areas(metrics.roc_points(scored, CLASS), CLASS).select(*CLASS, F.col("roc_auc").alias("exact"))
+    within = F.abs(F.col("roc_auc") - F.col("exact")) <= F.col("error") + 1e-12
+    found = rough.join(exact, CLASS).withColumn("within", within).drop("exact")
+    return _rounded(found, 9, "roc_auc", "error")
+
+
 @query(f"""with {_AREAS}
   select cur, round(avg(roc_auc), 9) as macro_auc, round(sum(roc_auc * pp) / sum(pp), 9) as weighted_auc,
          count(*) as classes from areas where roc_auc is not null group by 1""")

@@ -67,6 +67,40 @@ def points_of_counts(counts: DataFrame, by: list[str], hot_rows: int = HOT_ROWS)
     )
 
 
+def score_sketch(scored: DataFrame, by: list[str], bins: int = 4096) -> DataFrame:
+    """``(by..., bin, pos, neg)``: class counts in equal bins of scores from 0 to 1, at most ``bins`` rows a group.
+
+    Sketches of parts of a table add up: group their union by (by, bin) and sum.
+    Rows without a score are left out.
+    """
+    bin_ = F.least(F.floor(F.col("p") * bins), F.lit(bins - 1)).cast("int").alias("bin")
+    return scored.where(F.col("p").isNotNull()).groupBy(*by, bin_).agg(
+        F.sum(F.col("y").cast("bigint")).alias("pos"), F.sum((1 - F.col("y")).cast("bigint")).alias("neg")
+    )
+
+
+def sketch_areas(sketch: DataFrame, by: list[str]) -> DataFrame:
+    """``(by..., positives, negatives, roc_auc, error)``: the exact area is within ``error`` of ``roc_auc``.
+
+    Pairs of unlike class in one bin count half, as ties do; whichever way they
+    fall, the area moves by no more than half their share of all pairs.
+    """
+    # A group has no more rows than bins.
+    above = Window.partitionBy(*by).orderBy(F.col("bin").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    higher, pairs, same = unused([*by, *sketch.columns], "higher", "pairs", "same")
+    placed = sketch.withColumn(higher, F.coalesce(F.sum("pos").over(above), F.lit(0)))
+    wide = "decimal(38,0)"
+    won = F.col("neg").cast(wide) * (2 * F.col(higher) + F.col("pos")).cast(wide)
+    sums = placed.groupBy(*by).agg(
+        F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"), F.sum(won).cast("double").alias(pairs),
+        F.sum(F.col("pos").cast(wide) * F.col("neg").cast(wide)).cast("double").alias(same),
+    )
+    every = 2.0 * F.col("positives") * F.col("negatives")
+    return sums.select(
+        *by, "positives", "negatives", F.try_divide(F.col(pairs), every).alias("roc_auc"), F.try_divide(F.col(same), every).alias("error")
+    )
+
+
 def curve_areas(points: DataFrame, by: list[str]) -> DataFrame:
     """Tie-aware ROC area and average precision from ``roc_points``."""
     wide, (pairs_, ap) = "decimal(38,0)", unused(by, "pairs", "ap")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loanshift.functions.names import unused
 from loanshift.functions.states import DEFAULT
@@ -103,19 +104,36 @@ def next_status_group(following: Column) -> Column:
     )
 
 
-def summary(df: DataFrame, columns: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Count, mean, sample deviation, minimum, quartiles, maximum, one row per column."""
+def summary(df: DataFrame, columns: list[str], hot_rows: int = HOT_ROWS, accuracy: int | None = None) -> DataFrame:
+    """Count, mean, sample deviation, minimum, quartiles, maximum, one row per column.
+
+    Exact quartiles shuffle a count per distinct value. With ``accuracy`` they
+    come from a bounded sketch, values whose rank is within 1 / accuracy, in the
+    same pass as the moments.
+    """
     long = melt(df, columns, "double")
+    sketched = [] if accuracy is None else [F.percentile_approx("value", list(QUARTILES.values()), accuracy).alias("quartiles")]
     moments = long.groupBy("column").agg(
         F.count("value").alias("n"),
         F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
+        *sketched,
     )
+    if accuracy is not None:
+        found = {name: F.col("quartiles")[k] for k, name in enumerate(QUARTILES)}
+        return moments.withColumns(found).drop("quartiles")
     return moments.join(quantiles(long, "value", QUARTILES, ["column"], hot_rows), "column")
 
 
+def described(df: DataFrame, accuracy: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """All columns by type: ``summary`` of the numeric ones, ``frequencies`` of the others."""
+    numeric = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
+    plain = [f.name for f in df.schema if isinstance(f.dataType, (T.StringType, T.BooleanType, T.DateType))]
+    return summary(df, numeric, accuracy=accuracy), frequencies(df, plain)
+
+
 def listing(df: DataFrame) -> DataFrame:
     """Column names and types of a table."""
     rows = [(i, name, kind) for i, (name, kind) in enumerate(df.dtypes)]

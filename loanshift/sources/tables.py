@@ -33,6 +33,19 @@ def combine_all(spark: SparkSession, path: str) -> DataFrame:
     return complete_cases(read_transitions(spark, path))
 
 
+def write_bucketed(records: DataFrame, name: str, buckets: int, path: str | None = None, mode: str = "error") -> DataFrame:
+    """Records as a catalog table bucketed by loan and sorted inside, so that windows per loan need no shuffle.
+
+    Choose ``buckets`` so that one fits a task. ``path`` puts the files elsewhere
+    than the warehouse.
+    """
+    order = [c for c in ("Loan_ID", "Act_Period", "Seq") if c in records.columns]
+    # One file per bucket, or its rows would have to be sorted again.
+    writer = records.repartition(buckets, "Loan_ID").write.mode(mode).bucketBy(buckets, "Loan_ID").sortBy(*order)
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+    return records.sparkSession.table(name)
+
+
 def write_result(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Splits, predictions, probabilities, metrics, importances."""
     df.write.mode(mode).parquet(path)
