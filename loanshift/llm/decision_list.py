@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -147,10 +148,13 @@ Tally = tuple[int, int]
 
 
 def _tallies(rows: DataFrame, cuts: dict[str, list[float]]) -> tuple[dict[Condition, dict[bool, Tally]], dict[bool, Tally]]:
-    """Bad and good rows of every single condition by pruning part, and of the parts: one job, and a bounded answer."""
-    bins = F.explode(F.array(*[F.struct(F.lit(s).alias("s"), F.col(f"bin_{s}").alias("b")) for s in cuts]))
+    """Bad and good rows of every single condition by pruning part, and of the parts: one job, and a bounded answer.
+
+    Each statistic's bins are counted on their own, which reads one column and makes no row longer.
+    """
     sums = [F.sum("bad").alias("p"), F.sum(1 - F.col("bad")).alias("n")]
-    found = rows.select("bad", "pruning", bins.alias("x")).groupBy("x.s", "x.b", "pruning").agg(*sums).collect()
+    each = [rows.groupBy(F.lit(s).alias("s"), F.col(f"bin_{s}").alias("b"), "pruning").agg(*sums) for s in cuts]
+    found = reduce(DataFrame.unionByName, each).collect()
 
     def count(statistic: str, part: bool, least: int) -> Tally:
         own = [r for r in found if r["s"] == statistic and r["pruning"] == part and r["b"] >= least]
@@ -176,14 +180,14 @@ def _gain(before: Tally, after: Tally) -> float:
     return p1 * (math.log2(p1 / (p1 + n1)) - math.log2(p0 / (p0 + n0))) if p1 else 0.0
 
 
-def _grow(rows: DataFrame, cuts: dict[str, list[float]], barred: set[tuple[str, bool]]) -> Rule:
+def _grow(rows: DataFrame, cuts: dict[str, list[float]], barred: set[tuple[str, bool]], alone: tuple) -> Rule:
     """Conditions added by the best FOIL gain until no good row is left or nothing is gained.
 
-    ``barred`` statistics and directions cannot come first.
+    ``alone`` are the tallies of all ``rows``; ``barred`` statistics and directions cannot come first.
     """
     rule: Rule = ()
     while len(rule) < MAX_CONDITIONS:
-        tallies, whole = _tallies(rows.where(_all(rule)), cuts)
+        tallies, whole = _tallies(rows.where(_all(rule)), cuts) if rule else alone
         before = whole[False]
         if not all(before):
             return rule
@@ -227,8 +231,9 @@ def _next_rule(left: DataFrame, cuts: dict[str, list[float]]) -> Rule:
     After the last failure single conditions are all tried, the one with the most bad rows first.
     """
     barred: set[tuple[str, bool]] = set()
+    first = _tallies(left, cuts)
     while True:
-        rule = _grow(left, cuts, barred)
+        rule = _grow(left, cuts, barred, first)
         if not rule:
             break
         prefixes = {f"k{k}_": _all(rule[:k]) for k in range(1, len(rule) + 1)}
@@ -238,7 +243,7 @@ def _next_rule(left: DataFrame, cuts: dict[str, list[float]]) -> Rule:
         if _precise(counts[length - 1]):
             return rule[:length]
         barred.add((rule[0].statistic, rule[0].at_least))
-    tallies, whole = _tallies(left, cuts)
+    tallies, whole = first
     if not any(good for _, good in whole.values()):
         return ()
     alone = {c: t for c, t in tallies.items() if _precise(t[True]) and _precise(t[False])}
