@@ -3,10 +3,7 @@
 Of all substrings of ``K`` bytes (UTF-8) those are anchors whose smallest inner
 substring of ``S`` bytes, by hash, is the first or the last one (Edgar, 2021).
 Whether a substring is an anchor depends on its own bytes alone, so an edit
-leaves every anchor away from it in place. The fingerprint of a text holds the
-``SKETCH`` smallest anchor hashes, which estimates the resemblance of the sets
-of anchors without bias and bounds what is stored and shuffled.
-
+leaves every anchor away from it in 
 Being context-free also makes edited texts cheap: their anchors are those of the
 part kept, those of the part put in, and the few across the seam.
 """
@@ -21,11 +18,15 @@ from pyspark.sql import functions as F
 from loanshift.llm.text import fresh, local_table
 
 K, S, SKETCH = 12, 9, 64
+#: All hashes below are kept: one anchor in 32.
+BOUND = 1 << 27
 #: Bytes of a text looked at together, which bounds memory on long texts.
 BLOCK = 1024
 #: Ranges of doc_id per shuffle partition.
 RANGES_PER_PARTITION = 4
 LOW = (1 << 32) - 1
+#: An anchor in one number: its hash, then its place in 31 bits.
+PLACE = (1 << 31) - 1
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -75,47 +76,131 @@ def anchors(raw: Column, k: int = K, s: int = S) -> Column:
     return _let(raw, of_text)
 
 
-def sketch(hashes: Column, size: int = SKETCH) -> Column:
-    """The ``size`` smallest distinct hashes, ascending."""
+def packed(raw: Column, before: Column | None = None, k: int = K, s: int = S) -> Column:
+    """The anchors of a binary, ``array<bigint>``: hash times 2 ** 31 plus place, ``before`` bytes further on."""
+    ahead = F.lit(0) if before is None else before
+    return F.transform(anchors(raw, k, s), lambda a: F.shiftleft(a["h"], 31) + a["at"] + ahead)
+
+
+def _hash(anchor: Column) -> Column:
+    return F.shiftright(anchor, 31)
+
+
+def _place(anchor: Column) -> Column:
+    return anchor.bitwiseAND(F.lit(PLACE).cast("bigint"))
+
+
+def sketch(found: Column, size: int = SKETCH) -> Column:
+    """Of packed anchors the first place of each hash, for the ``size`` smallest hashes and all below ``BOUND``, ascending."""
+
+    def firsts(values: Column) -> Column:
+        return _let(
+            F.sort_array(values),
+            lambda v: F.filter(v, lambda x, i: (i == 0) | (_hash(x) != _hash(F.get(v, i - 1)))),
+        )
 
     def least(values: Column) -> Column:
-        return F.slice(F.array_sort(F.array_distinct(values)), 1, size)
+        def cut(few: Column) -> Column:
+            return F.slice(few, F.lit(1), F.greatest(F.lit(size), F.size(F.filter(few, lambda x: _hash(x) < BOUND))))
+
+        return _let(firsts(values), cut)
 
     def of_many(values: Column) -> Column:
         # Hashes are evenly spread: about four times as many as wanted lie below this bound, and it is checked.
-        bound = F.lit(4 * size * (LOW + 1)) / F.size(values)
+        bound = F.greatest(F.lit(float(BOUND)), F.lit(4 * size * (LOW + 1)) / F.size(values))
         return _let(
-            least(F.filter(values, lambda h: h < bound)), lambda few: F.when(F.size(few) == size, few).otherwise(least(values))
+            least(F.filter(values, lambda x: _hash(x) < bound)), lambda few: F.when(F.size(few) >= size, few).otherwise(least(values))
         )
 
-    return _let(hashes, lambda values: F.when(F.size(values) > 8 * size, of_many(values)).otherwise(least(values)))
+    return _let(found, lambda values: F.when(F.size(values) > 8 * size, of_many(values)).otherwise(least(values)))
 
 
 def whole(raw: Column) -> Column:
     """The sketch of a text too short for an anchor: the hash of all of it."""
-    return F.array(F.xxhash64(raw).bitwiseAND(F.lit(LOW)))
+    return F.array(F.shiftleft(F.xxhash64(raw).bitwiseAND(F.lit(LOW)), 31) + 1)
 
 
 def fingerprint(raw: Column, k: int = K, s: int = S) -> Column:
     """The sketch of a binary, ``array<bigint>``; equal texts have equal ones and none is empty."""
-    return F.when(F.octet_length(raw) < k, whole(raw)).otherwise(_or_whole(sketch(anchors(raw, k, s)["h"]), raw))
+    return F.when(F.octet_length(raw) < k, whole(raw)).otherwise(_or_whole(sketch(packed(raw, None, k, s)), raw))
 
 
 def _or_whole(found: Column, raw: Column) -> Column:
     return _let(found, lambda f: F.when(F.size(f) == 0, whole(raw)).otherwise(f))
 
 
+def chain(pairs: Column) -> Column:
+    """How many pairs of places the longest chain holds that ascends in both; ``pairs`` are first * 2 ** 31 + second.
+
+    Pairs that follow each other in both orders are on it together or not at
+    all, so the search is over runs of such pairs: one run in an unmoved text.
+    """
+
+    def ranks(ordered: Column) -> Column:
+        by_second = F.sort_array(F.transform(ordered, lambda x, i: F.shiftleft(_place(x), 31) + i))
+        by_first = F.sort_array(F.transform(by_second, lambda x, rank: F.shiftleft(_place(x), 31) + rank))
+        return F.transform(by_first, _place)
+
+    def longest(runs: Column) -> Column:
+        def extend(done: Column, run: Column) -> Column:
+            before = F.filter(done, lambda d: d["rank"] < run["rank"])
+            best = F.coalesce(F.array_max(F.transform(before, lambda d: d["n"])), F.lit(0))
+            return F.concat(done, F.array(F.struct(run["rank"].alias("rank"), (run["n"] + best).alias("n"))))
+
+        ends = F.aggregate(runs, F.array().cast("array<struct<rank:bigint,n:int>>"), extend)
+        return F.array_max(F.transform(ends, lambda d: d["n"]))
+
+    def of_ranks(rank: Column) -> Column:
+        starts = F.array_compact(F.transform(rank, lambda x, i: F.when((i == 0) | (x != F.get(rank, i - 1) + 1), i)))
+
+        def of_starts(start: Column) -> Column:
+            runs = F.transform(
+                start,
+                lambda i, k: F.struct(F.get(rank, i).alias("rank"), (F.coalesce(F.get(start, k + 1), F.size(rank)) - i).alias("n")),
+            )
+            return F.when(F.size(start) <= 1, F.size(rank)).otherwise(longest(runs))
+
+        return _let(starts, of_starts)
+
+    return _let(_let(F.sort_array(pairs), ranks), of_ranks)
+
+
 def likeness(a: Column, b: Column, size: int = SKETCH) -> Column:
-    """Resemblance of two sketches, 0 to 1: of the smallest hashes of both together, the share that both have."""
+    """Likeness of two sketches, 0 to 1, in the order of their places.
+
+    Compared are the hashes up to where both sketches have all of them; of
+    these, the share that lies on the longest chain of anchors that ascends
+    in both texts. Equal texts have 1.
+    """
+
+    def reach(found: Column) -> Column:
+        last = _hash(F.get(found, F.size(found) - 1))
+        return F.when(F.size(found) < size, F.lit(LOW + 1)).otherwise(F.greatest(last + 1, F.lit(BOUND).cast("bigint")))
+
+    def side(found: Column, bound: Column, tag: int) -> Column:
+        below = F.filter(found, lambda x: _hash(x) < bound)
+        return F.transform(below, lambda x: F.shiftleft(_hash(x), 32) + F.lit(tag << 31).cast("bigint") + _place(x))
+
+    def rate(both: Column) -> Column:
+        # A hash of both texts stands twice, the first text's place before the second's.
+        def pair(x: Column, i: Column) -> Column:
+            other = F.get(both, i + 1)
+            same = F.shiftrightunsigned(x, 32) == F.shiftrightunsigned(other, 32)
+            return F.when(same, F.shiftleft(_place(x), 31) + _place(other))
+
+        pairs = F.array_compact(F.transform(both, pair))
+        return _let(pairs, lambda p: F.when(F.size(p) == 0, 0.0).otherwise(chain(p) / (F.size(both) - F.size(p))))
 
-    def shared(both: Column) -> Column:
-        return F.size(F.array_intersect(F.array_intersect(both, a), b)) / F.size(both)
+    def below(bound: Column) -> Column:
+        return _let(F.sort_array(F.concat(side(a, bound, 0), side(b, bound, 1))), rate)
 
-    return _let(sketch(F.array_union(a, b), size), shared)
+    return _let(F.least(reach(a), reach(b)), below)
 
 
 def as_text(found: Column) -> Column:
-    return F.lower(F.array_join(F.transform(found, lambda h: F.lpad(F.hex(h), 8, "0")), ""))
+    """Eight hex digits for each hash, in the order of the places."""
+    ordered = F.sort_array(F.transform(found, lambda x: F.shiftleft(_place(x), 32) + _hash(x)))
+    return F.lower(F.array_join(F.transform(ordered, lambda x: F.lpad(F.hex(x.bitwiseAND(F.lit(LOW))), 8, "0")), ""))
 
 
 def _range_of(value: Column, bounds: list[int]) -> Column:
@@ -180,17 +265,18 @@ def edited(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("raw", F.encode("text", "UTF-8")).withColumn("cut", F.octet_length(kept_text))
 
     def sketches(inside: Column) -> Column:
-        across = anchors(F.substring(F.col("raw"), F.greatest(F.col("cut") - (K - 2), F.lit(1)), F.octet_length("raw")))["h"]
+        at = F.greatest(F.col("cut") - (K - 2), F.lit(1))
+        across = packed(F.substring(F.col("raw"), at, F.octet_length("raw")), at - 1)
         return F.struct(sketch(F.concat(inside, across)).alias("own"), sketch(inside).alias("kept"))
 
-    rows = rows.withColumn("s", _let(anchors(F.substring(F.col("raw"), F.lit(1), F.col("cut")))["h"], sketches))
+    rows = rows.withColumn("s", _let(packed(F.substring(F.col("raw"), F.lit(1), F.col("cut"))), sketches))
     rows = rows.select("doc_id", "tie", "text", "n_chars", _or_whole(F.col("s.own"), F.col("raw")).alias("own"), F.col("s.kept").alias("kept_sketch"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) * RANGES_PER_PARTITION
     led = with_next(rows, ["text", "own"], parts)
     led = led.withColumn("kept", kept_text).withColumn("given", F.expr("left(next_text, n_chars div 4)"))
     kept, given = F.encode("kept", "UTF-8"), F.encode("given", "UTF-8")
-    tail = F.substring(kept, F.greatest(F.octet_length(kept) - (K - 2), F.lit(1)), F.lit(K - 1))
-    seam = anchors(F.concat(tail, given))["h"]
+    at = F.greatest(F.octet_length(kept) - (K - 2), F.lit(1))
+    seam = packed(F.concat(F.substring(kept, at, F.lit(K - 1)), given), at - 1)
     both = F.concat(kept, given)
     led = led.withColumn("edited", _or_whole(sketch(F.concat("kept_sketch", seam)), both))
     return led.select(
