@@ -9,13 +9,16 @@ changes; only a group of equal texts that is itself overfull is subdivided, by
 doc_id. The ranges, largest first, each go to the emptiest shard, those of one
 group together as long as the group is no larger than a shard.
 
-Draws are hashes, so a rerun gives the same shards. The driver sees the sample
-and the ranges, whose number is a parameter.
+Draws are hashes, so a rerun gives the same shards. A range holds ``RANGE_BYTES``
+at most, but for hot rows alike, so tasks stay of one size as the table grows.
+The driver sees a few draws and one row per range: 25,000 ranges for 100 TB.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,6 +31,8 @@ from loanshift.llm.text import fresh
 from loanshift.session import materialize
 
 SHARDS, RANGES_PER_SHARD, DRAWS_PER_RANGE, SEED = 8, 64, 32, 23
+#: Bytes that a range should not pass; small tables have smaller ones.
+RANGE_BYTES = 8 << 30
 #: Of its even share, what makes a range overfull.
 OVERFULL = 2.0
 LEAST = -(1 << 63)
@@ -65,18 +70,20 @@ class Ranges:
             found[mine] = start + np.searchsorted(seconds[start : high[mine[0]]], ties[mine], "right")
         return found
 
-    def add(self, rows: DataFrame) -> DataFrame:
-        """``rows (key, tie, ...)`` with their ``range``."""
-        shared = rows.sparkSession.sparkContext.broadcast(self)
+    def add(self, rows: DataFrame, name: str = "range", values: np.ndarray | None = None) -> DataFrame:
+        """``rows (key, tie, ...)`` with their range, or what ``values`` holds for it, as ``name``."""
+        shared = rows.sparkSession.sparkContext.broadcast((self, values))
         names = rows.columns
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                found = shared.value.find(np.asarray(batch["key"]), np.asarray(batch["tie"]))
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found.astype(np.int32))], names=[*names, "range"])
+                ranges, values = shared.value
+                found = ranges.find(np.asarray(batch["key"]), np.asarray(batch["tie"]))
+                found = found if values is None else values[found]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found.astype(np.int32))], names=[*names, name])
 
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-        return rows.mapInArrow(run, f"{fields}, `range` int")
+        return rows.mapInArrow(run, f"{fields}, `{name}` int")
 
 
 def _quantiles(sample: list[tuple[int, int, float]], parts: int) -> list[Key]:
@@ -98,14 +105,16 @@ def _quantiles(sample: list[tuple[int, int, float]], parts: int) -> list[Key]:
     return sorted(set(chosen))
 
 
-def sampled_ranges(rows: DataFrame, count: int) -> tuple[Ranges, list]:
-    """About ``count`` ranges of ``rows (key, tie, size)``, none overfull that can be divided, and their sizes.
+def sampled_ranges(rows: DataFrame, least: int) -> tuple[Ranges, list]:
+    """Ranges of ``rows (key, tie, size)``, none overfull that can be divided, and their sizes.
 
+    About ``least`` of them, or more, so that their even share is ``RANGE_BYTES`` over ``OVERFULL`` at most.
     Each size is a row ``(range, size, rows, divisible)``.
     """
     total = rows.agg(F.sum("size")).first()[0] or 0
     if not total:
         return Ranges([]), []
+    count = max(least, math.ceil(total * OVERFULL / RANGE_BYTES))
     share = total / count
     ranges, tried = Ranges([]), -1
     wanted = {0: count}
@@ -118,9 +127,11 @@ def sampled_ranges(rows: DataFrame, count: int) -> tuple[Ranges, list]:
         sample = ranged.where(F.col("range").isin(list(wanted))).where(drawn < F.col("size") * draws)
         weight = F.greatest(F.col("size").cast("double"), 1 / draws)
         found = sample.groupBy("range", "key", "tie").agg(F.sum(weight).alias("w")).collect()
-        new: set[Key] = set()
+        draws_of, new = defaultdict(list), set()
+        for r in found:
+            draws_of[r["range"]].append((r["key"], r["tie"], r["w"]))
         for number, parts in wanted.items():
-            new.update(_quantiles([(r["key"], r["tie"], r["w"]) for r in found if r["range"] == number], parts))
+            new.update(_quantiles(draws_of[number], parts))
         ranges = Ranges(sorted({*ranges.splitters, *new}))
         stats = [F.sum("size").alias("size"), F.count("*").alias("rows"), F.min(F.struct("key", "tie")).alias("a"), F.max(F.struct("key", "tie")).alias("b")]
         sizes = ranges.add(rows).groupBy("range").agg(*stats).orderBy("range").collect()
@@ -201,7 +212,7 @@ def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"),
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LEAST)).alias("tie"),
     )
-    table = F.array(*[F.lit(of_range.get(k, 0)) for k in range(len(ranges.splitters) + 1)])
-    dealt = ranges.add(whole).withColumn("shard", F.get(table, F.col("range")))
+    shard_of = np.array([of_range.get(k, 0) for k in range(len(ranges.splitters) + 1)], np.int32)
+    dealt = ranges.add(ranges.add(whole), "shard", shard_of)
     dealt = dealt.repartition("range").sortWithinPartitions("shard", "key", "tie")
     dealt.select("row.*", F.col("shard").alias(name)).write.partitionBy(name).parquet(path)

@@ -39,6 +39,35 @@ def test_shards_are_whole_even_and_gapless(spark, n, heavy):
     assert Counter(map(str, again)) == Counter(map(str, found))
 
 
+def test_more_ranges_as_the_table_grows(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(splitters, "RANGE_BYTES", 2000)
+    rows = corpus(3000, 250)
+    df = spark.createDataFrame(rows, "doc_id long, text string, shard string").repartition(4)
+    found = splitters.shard_documents(df).collect()
+    total, of_range, slots = sum(r["size"] for r in found), defaultdict(list), defaultdict(list)
+    for r in found:
+        of_range[r["range"]].append(r)
+        slots[r.shard].append(r.slot)
+    assert total / 1000 < len(of_range) < 4 * total / 1000
+    # Only rows alike in text and id go past the bound, by what one row may add.
+    assert all(sum(r["size"] for r in rs) <= 2000 + 450 or len({(r.doc_id, r.text_crc32) for r in rs}) == 1 for rs in of_range.values())
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert Counter((r.doc_id, r.text_crc32) for r in found) == Counter((i, zlib.crc32((t or "").encode())) for i, t, _ in rows)
+    splitters.write_shards(df, f"{tmp_path}/out")
+    stored = Counter((r.doc_id, zlib.crc32((r.text or "").encode()), r._shard) for r in spark.read.parquet(f"{tmp_path}/out").collect())
+    assert stored == Counter((r.doc_id, r.text_crc32, r.shard) for r in found)
+
+
+def test_a_hot_pair_of_text_and_id_is_kept_whole(spark):
+    rows = [(7, "again and again")] * 4000 + [(i, f"text {i}") for i in range(2000)]
+    found = splitters.shard_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter(r.doc_id for r in found) == Counter(i for i, _ in rows)
+    slots = defaultdict(list)
+    for r in found:
+        slots[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
 def test_find_equals_bisection():
     draw = np.random.default_rng(1)
     marks = sorted({(int(a), int(b)) for a, b in draw.integers(0, 6, (12, 2))})
