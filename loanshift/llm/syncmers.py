@@ -34,8 +34,8 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def anchors(raw: Column, k: int = K, s: int = S) -> Column:
-    """``array<struct<at int, h bigint>>`` of a binary: where anchors start (from 1), and 32 bits of their hash.
+def packed(raw: Column, before: Column | None = None, k: int = K, s: int = S) -> Column:
+    """The anchors of a binary, ``array<bigint>``: 32 bits of hash, then the place (from 1), ``before`` bytes further on.
 
     An anchor is hashed through its first and last inner substring, which
     between them hold all of it (so 2 * ``s`` >= ``k``).
@@ -57,29 +57,31 @@ def anchors(raw: Column, k: int = K, s: int = S) -> Column:
             chosen = F.filter(F.sequence(F.lit(0), F.size(h) - 1 - last), at_edge)
             return F.transform(
                 chosen,
-                lambda i: F.struct(
-                    (start + i + 1).alias("at"), F.xxhash64(F.get(h, i), F.get(h, i + last)).bitwiseAND(F.lit(LOW)).alias("h")
-                ),
+                lambda i: F.shiftleft(F.xxhash64(F.get(h, i), F.get(h, i + last)).bitwiseAND(F.lit(LOW)), 31) + (start + i),
             )
 
         return _let(hashes, edges)
 
-    def of_text(whole_text: Column) -> Column:
+    def of_text(whole_text: Column, first: Column) -> Column:
         size = F.octet_length(whole_text)
-        starts = F.sequence(F.lit(0), size - k, F.lit(BLOCK))
         blocks = F.transform(
-            starts,
-            lambda at: _let(F.substring(whole_text, at + 1, F.lit(BLOCK + k - 1)), lambda block: of_block(block, at)),
+            F.sequence(F.lit(0), size - k, F.lit(BLOCK)),
+            lambda at: _let(
+                F.substring(whole_text, at + 1, F.lit(BLOCK + k - 1)),
+                lambda block: _let(at + first, lambda start: of_block(block, start)),
+            ),
         )
-        return F.when(size >= k, F.flatten(blocks)).otherwise(F.array().cast("array<struct<at:int,h:bigint>>"))
+        return F.when(size >= k, F.flatten(blocks)).otherwise(F.array().cast("array<bigint>"))
 
-    return _let(raw, of_text)
+    first = F.lit(1) if before is None else before + 1
+    return _let(raw, lambda text: _let(first, lambda place: of_text(text, place)))
 
 
-def packed(raw: Column, before: Column | None = None, k: int = K, s: int = S) -> Column:
-    """The anchors of a binary, ``array<bigint>``: hash times 2 ** 31 plus place, ``before`` bytes further on."""
-    ahead = F.lit(0) if before is None else before
-    return F.transform(anchors(raw, k, s), lambda a: F.shiftleft(a["h"], 31) + a["at"] + ahead)
+def anchors(raw: Column, k: int = K, s: int = S) -> Column:
+    """``array<struct<at int, h bigint>>`` of a binary: where anchors start (from 1), and 32 bits of their hash."""
+    return F.transform(
+        packed(raw, None, k, s), lambda x: F.struct(_place(x).cast("int").alias("at"), _hash(x).alias("h"))
+    )
 
 
 def _hash(anchor: Column) -> Column:
@@ -96,21 +98,20 @@ def sketch(found: Column, size: int = SKETCH) -> Column:
     def firsts(values: Column) -> Column:
         return _let(
             F.sort_array(values),
-            lambda v: F.filter(v, lambda x, i: (i == 0) | (_hash(x) != _hash(F.get(v, i - 1)))),
+            lambda v: F.filter(v, lambda x, i: (i == 0) | (x.bitwiseXOR(F.get(v, i - 1)) > PLACE)),
         )
 
     def least(values: Column) -> Column:
         def cut(few: Column) -> Column:
-            return F.slice(few, F.lit(1), F.greatest(F.lit(size), F.size(F.filter(few, lambda x: _hash(x) < BOUND))))
+            return F.slice(few, F.lit(1), F.greatest(F.lit(size), F.size(F.filter(few, lambda x: x < BOUND << 31))))
 
         return _let(firsts(values), cut)
 
     def of_many(values: Column) -> Column:
         # Hashes are evenly spread: about four times as many as wanted lie below this bound, and it is checked.
         bound = F.greatest(F.lit(float(BOUND)), F.lit(4 * size * (LOW + 1)) / F.size(values))
-        return _let(
-            least(F.filter(values, lambda x: _hash(x) < bound)), lambda few: F.when(F.size(few) >= size, few).otherwise(least(values))
-        )
+        below = _let(F.shiftleft(bound.cast("bigint"), 31), lambda end: F.filter(values, lambda x: x < end))
+        return _let(least(below), lambda few: F.when(F.size(few) >= size, few).otherwise(least(values)))
 
     return _let(found, lambda values: F.when(F.size(values) > 8 * size, of_many(values)).otherwise(least(values)))
 
@@ -174,11 +175,11 @@ def likeness(a: Column, b: Column, size: int = SKETCH) -> Column:
     """
 
     def reach(found: Column) -> Column:
-        last = _hash(F.get(found, F.size(found) - 1))
-        return F.when(F.size(found) < size, F.lit(LOW + 1)).otherwise(F.greatest(last + 1, F.lit(BOUND).cast("bigint")))
+        last = F.get(found, F.size(found) - 1).bitwiseOR(F.lit(PLACE).cast("bigint"))
+        return F.when(F.size(found) < size, F.lit((1 << 63) - 1)).otherwise(F.greatest(last, F.lit((BOUND << 31) - 1)))
 
     def side(found: Column, bound: Column, tag: int) -> Column:
-        below = F.filter(found, lambda x: _hash(x) < bound)
+        below = F.filter(found, lambda x: x <= bound)
         return F.transform(below, lambda x: F.shiftleft(_hash(x), 32) + F.lit(tag << 31).cast("bigint") + _place(x))
 
     def rate(both: Column) -> Column:
