@@ -1,5 +1,6 @@
 """Each stage on its own input against brute force, and the whole run."""
 
+import random
 import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
@@ -98,3 +99,45 @@ def test_run_equals_the_stages(spark, sf, stages):
     found = Counter((r.doc_id, r.piece, r.length, r.ids_crc32) for r in contract.queries()["pipeline"](spark, sf).collect())
     assert found == Counter((r.doc_id, r.piece, r.length, r.ids_crc32) for r in stages[-1][3])
     assert defaultdict(int, found)
+
+
+FIELDS = "doc_id long, text string, lang string, source string, n_chars int, size string, shard int, th int, kept string, fingerprint int, piece int"
+
+
+def odd_tables(spark, path, rows):
+    docs = [(i, t, None, s, None if t is None else len(t), "x", 1, 2, None, 3, 4) for i, t, s in rows]
+    spark.createDataFrame(docs, FIELDS).write.parquet(f"{path}/documents.parquet")
+    labels = [(i, 1, 0) for i, _, _ in rows[:20]] + [(None, 0, 0), (0, 1, 0), (None, None, None)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    return str(path)
+
+
+def prose(draw, n):
+    return " ".join("".join(draw.choice("abcdefgh") for _ in range(draw.randrange(2, 9))) for _ in range(n))
+
+
+def test_nulls_repeated_rows_long_texts_and_clashing_names(spark, tmp_path):
+    draw = random.Random(8)
+    good = [(i, prose(draw, 120), ["a", "b", None][i % 3]) for i in range(40)]
+    long, copy, unnamed = (50, prose(draw, 30_000), "a"), (60, good[7][1], "b"), (None, prose(draw, 90), "b")
+    junk = [(70, None, "a"), (71, "", None), (72, " \n ", "b"), (None, None, None), (73, "two words", "a")]
+    path = odd_tables(spark, tmp_path, [*good, good[3], good[3], long, copy, unnamed, *junk])
+    docs, left = table(spark, path, "documents"), []
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        stage(spark, docs, path).write.parquet(f"{tmp_path}/{k}")
+        after = spark.read.parquet(f"{tmp_path}/{k}")
+        assert after.schema.names == docs.schema.names
+        left.append(Counter((r.doc_id, r.text) for r in after.collect()))
+        docs = after
+    rows = lambda chosen: Counter((i, t) for i, t, _ in chosen)
+    assert left[0] == rows([*good, good[3], good[3], long, copy, unnamed])
+    assert left[1] == rows([*good, long, unnamed]) == left[2]
+    found = corpus_pipeline.run(spark, path).collect()
+    pieces = Counter((r.doc_id, r.piece) for r in found)
+    assert {i for i, _ in pieces} == {i for i, _ in left[3]} <= {i for i, _ in left[2]}
+    assert all(sum(r.length for r in found if r.sequence_id == k) <= 4096 for k in {r.sequence_id for r in found})
+
+
+def test_empty_tables(spark, tmp_path):
+    path = odd_tables(spark, tmp_path, [])
+    assert corpus_pipeline.run(spark, path).count() == 0
