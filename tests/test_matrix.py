@@ -64,3 +64,44 @@ def test_state_never_left_has_a_zero_row(spark):
     assert found.count() == 81
     assert found.where("cur = 5").agg(F.sum("p")).first()[0] == 0.0
     assert found.where("cur = 0 and nxt = 0").first().p == 0.75
+
+
+def plain_walks(cells, base, start, months, paths):
+    """Where each walk of one loan ends, path by path and month by month; null where it meets a row with a null."""
+    ends = []
+    for path in range(paths):
+        at = start
+        for month in range(months):
+            x = (base + (path * months + month) * matrix.GOLDEN) & matrix.MASK32
+            for shift, factor in matrix.MIX_STEPS:
+                x = (x ^ (x >> shift)) * factor & matrix.MASK32
+            row = cells[at * 9 : at * 9 + 9]
+            if None in row:
+                at = None
+                break
+            upto = [sum(row[: i + 1]) for i in range(9)]
+            at = sum(upto[i] <= x / 2**32 * upto[8] for i in range(8))
+        ends.append(at if at is None else at - 1)
+    return ends
+
+
+@pytest.mark.parametrize("at_once", [1 << 14, 7])
+def test_sampled_paths_equal_plain_walks(spark, loans, monkeypatch, at_once):
+    monkeypatch.setattr(matrix, "WALKS_AT_ONCE", at_once)
+    rows = [(r[0], list(r["matrix"])) for r in loans.limit(3).collect()]
+    holed = list(rows[0][1])
+    holed[9 * 2 + 4] = None
+    rows += [(100, holed), (101, [None] * 81), (None, rows[1][1]), (102, rows[2][1]), (102, rows[2][1]), (103, [0.0] * 81), (104, [2 * x for x in rows[1][1]])]
+    held = spark.createDataFrame(rows, "Loan_ID int, matrix array<double>").withColumn("base", matrix.path_base(F.col("Loan_ID"), 1))
+    wanted = {}
+    for loan, cells, base in held.select("Loan_ID", "matrix", "base").collect():
+        for end in plain_walks(cells, base, 1, 4, 60):
+            wanted[loan, end] = wanted.get((loan, end), 0) + 1
+    found = matrix.sampled_horizon(held.drop("base"), 0, 4, 60).collect()
+    assert {(r.Loan_ID, r.nxt): r.n for r in found} == wanted and len(found) == len(wanted)
+    assert all(r.p == r.n / 60 for r in found)
+
+
+def test_walks_never_become_rows(loans):
+    plan = matrix.sampled_horizon(loans, 0)._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence(" not in plan
