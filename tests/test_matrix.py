@@ -105,3 +105,8 @@ def test_sampled_paths_equal_plain_walks(spark, loans, monkeypatch, at_once):
 def test_walks_never_become_rows(loans):
     plan = matrix.sampled_horizon(loans, 0)._jdf.queryExecution().optimizedPlan().toString()
     assert "sequence(" not in plan
+
+
+def test_a_task_holds_a_bounded_number_of_loans(spark, sf, monkeypatch):
+    monkeypatch.setattr(A, "LOANS_A_TASK", 5)
+    assert A.matrix_rows(spark, sf).rdd.getNumPartitions() == -(-A.table(spark, sf, "customer").count() // 5)
