@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import adapter as A
-from loanshift.operators import metrics, profile
+from loanshift.operators import metrics, ordered, profile
 from loanshift.operators.quantiles import quantiles
 
 
@@ -93,3 +93,14 @@ def test_ties_go_to_the_smaller_label(spark):
 def test_probabilities_sum_to_one(spark, sf):
     sums = A.scored(spark, sf).groupBy("Loan_ID", "Seq").agg(F.sum("p").alias("s"))
     assert sums.where(F.abs(F.col("s") - 1) > 1e-12).count() == 0
+
+
+def test_a_low_limit_does_not_make_ever_more_segments(spark, monkeypatch):
+    rows = spark.range(4000).select((F.col("id") % 2).alias("k"), F.hash("id").alias("at"), F.lit(1).alias("n"))
+    what = ordered.Scan(running_sum={"upto": "n"}, position="place", lag={"before": "at"})
+    wide, plain = ordered.scan(rows, ["k"], [F.col("at"), F.col("n")], what, hot_rows=100), ordered.scan(rows, ["k"], [F.col("at"), F.col("n")], what)
+    monkeypatch.setattr(ordered, "MOST_SEGMENTS", 3)
+    monkeypatch.setattr(ordered, "HOT_ROWS", 500)
+    assert [ordered._segments(4000, n) for n in (100, 1000, 4000)] == [9, 5, 2] and ordered._segments(1000, 100) == 3
+    few = ordered.scan(rows, ["k"], [F.col("at"), F.col("n")], what, hot_rows=100)
+    assert sorted(map(str, few.collect())) == sorted(map(str, plain.collect())) == sorted(map(str, wide.collect()))
