@@ -110,3 +110,13 @@ def test_walks_never_become_rows(loans):
 def test_a_task_holds_a_bounded_number_of_loans(spark, sf, monkeypatch):
     monkeypatch.setattr(A, "LOANS_A_TASK", 5)
     assert A.matrix_rows(spark, sf).rdd.getNumPartitions() == -(-A.table(spark, sf, "customer").count() // 5)
+
+
+def test_a_task_holds_a_bounded_number_of_records(spark, sf, monkeypatch):
+    usual = sorted(A.records(spark, sf).collect(), key=str)
+    monkeypatch.setattr(A, "RECORDS_A_TASK", 10)
+    spread = A.records(spark, sf)
+    parts = -(-A.table(spark, sf, "orders").count() // 10)
+    assert "hashpartitioning(o_custkey#" in (plan := spread._jdf.queryExecution().executedPlan().toString())
+    assert f", {parts}), REPARTITION_BY_NUM" in plan
+    assert sorted(spread.collect(), key=str) == usual
