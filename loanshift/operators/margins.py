@@ -30,6 +30,8 @@ from loanshift.session import discard, materialize
 BLOCK_ROWS = 1 << 14
 #: Numbers of a random Fourier map, and landmarks of a Nyström map.
 FOURIER, LANDMARKS = 200, 100
+#: Sums that a task holds before it passes them on.
+HELD_BYTES = 64 << 20
 SEED = 123
 MAX_STEPS = 100
 NO_FOLD = -1
@@ -165,7 +167,7 @@ def machines(rows: DataFrame, kernels: list[Kernel], folds: list[int], c: float
 
 
 def _sums(machine: Machine, z: np.ndarray, y: np.ndarray, weight: np.ndarray, w: np.ndarray) -> np.ndarray:
-    """Loss, gradient and second derivatives over the rows of a block, flat, without the penalty."""
+    """Loss, gradient and second derivatives (a triangle of them) over the rows of a block, flat, without the penalty."""
     margin = y * (z @ w)
     if machine.loss == "hinge":
         short = np.maximum(1.0 - margin, 0.0)
@@ -175,7 +177,7 @@ def _sums(machine: Machine, z: np.ndarray, y: np.ndarray, weight: np.ndarray, w:
         loss, slope, bend = np.logaddexp(0, -margin), -p * y, p * (1 - p)
     weight = weight * machine.c
     curved = z * (weight * bend)[:, None]
-    return np.concatenate([[weight @ loss], z.T @ (weight * slope), (z.T @ curved).ravel()])
+    return np.concatenate([[weight @ loss], z.T @ (weight * slope), (z.T @ curved)[np.triu_indices(z.shape[1])]])
 
 
 def fit(
@@ -193,9 +195,10 @@ def fit(
     keys = sorted({(m.cur, m.kernel) for m in wanted})
     if not keys:
         return {}
-    parts = max(spark.sparkContext.defaultParallelism, min(4 * spark.sparkContext.defaultParallelism, len(keys)))
+    cores = spark.sparkContext.defaultParallelism
     listed = F.broadcast(spark.createDataFrame(keys, "cur int, kernel int"))  # groups times kernels
-    tiles = materialize(listed.join(stored, "cur").repartition(parts, "cur", "kernel", "block"))
+    # Neighbouring blocks of a group and map share a task, which adds up their sums.
+    tiles = materialize(listed.join(stored, "cur").repartitionByRange(max(cores, min(4 * cores, len(keys))), "cur", "kernel", "block"))
     widths = {key: found[key](np.zeros((1, _width(found[key], stored, key[0])))).shape[1] + 1 for key in keys}
     state = {n: _Search(np.zeros(widths[m.cur, m.kernel])) for n, m in enumerate(wanted)}
     whole = {n: s for n, s in state.items() if wanted[n].cur not in many}
@@ -277,7 +280,9 @@ def _mapped(row: dict, found: Map) -> np.ndarray:
 def _step(sums: np.ndarray, w: np.ndarray) -> tuple[float, float, np.ndarray]:
     """Objective, slope and Newton direction at ``w`` from its sums over all rows; the intercept has no penalty."""
     d, plain = len(w), np.append(np.ones(len(w) - 1), 0.0)
-    slope, bend = sums[1 : d + 1] + plain * w, sums[d + 1 :].reshape(d, d) + np.diag(plain + 1e-9)
+    upper = np.zeros((d, d))
+    upper[np.triu_indices(d)] = sums[d + 1 :]
+    slope, bend = sums[1 : d + 1] + plain * w, upper + np.triu(upper, 1).T + np.diag(plain + 1e-9)
     direction = -np.linalg.solve(bend, slope)
     return float(sums[0] + 0.5 * (plain * w) @ w), float(slope @ direction), direction
 
@@ -319,8 +324,16 @@ def _newton(tiles: DataFrame, found: dict, wanted: list[Machine], sizes: dict, o
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         all_maps, trials = shared.value
+        held: dict[int, np.ndarray] = {}  # sums of the task's blocks, so that fewer are shuffled
+
+        def told() -> Iterator[pa.RecordBatch]:
+            for number, sums in held.items():
+                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([sums.tobytes()])], names=["number", "sums"])
+            held.clear()
+
         for batch in batches:
-            for row in batch.to_pylist():
+            for n in range(batch.num_rows):
+                [row] = batch.slice(n, 1).to_pylist()  # a block is megabytes
                 key = (row["cur"], row["kernel"])
                 if key not in by_tile:
                     continue
@@ -329,7 +342,10 @@ def _newton(tiles: DataFrame, found: dict, wanted: list[Machine], sizes: dict, o
                     m = wanted[number]
                     y = np.where(label == m.label, 1.0, -1.0)
                     sums = _sums(m, z, y, _weights(m, sizes, label, fold), trials[number])
-                    yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([sums.tobytes()])], names=["number", "sums"])
+                    held[number] = held[number] + sums if number in held else sums
+                if sum(x.nbytes for x in held.values()) > HELD_BYTES:
+                    yield from told()
+        yield from told()
 
     def solve(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, number = None, None

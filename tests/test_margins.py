@@ -150,3 +150,26 @@ def test_isotonic_equals_one_pass(spark, at_once):
         assert r.chance == pytest.approx(share[-1])
     for g in pools:
         assert sum(r.chance for r in told if r.g == g and r.id >= 0) == pytest.approx(sum(y for h, _, y, *_ in data if h == g))
+
+
+@pytest.mark.parametrize("held", [0, 1 << 26])
+def test_a_task_adds_up_the_sums_of_its_blocks(data, monkeypatch, held):
+    (_, rows), kernel = data, Kernel("linear")
+    found = margins.maps(rows, [kernel])
+    stored, wanted = margins.blocks(rows, block_rows=60), margins.machines(rows, [kernel], [margins.NO_FOLD])
+    sizes, start = margins._class_sizes(stored), {n: np.zeros(4) for n in range(len(wanted))}
+    tiles = stored.withColumn("kernel", F.lit(0)).coalesce(1)
+    monkeypatch.setattr(margins, "HELD_BYTES", held)
+    passed, plain = [], type(tiles).groupBy
+
+    def groupBy(df, *by):
+        if by == ("number",):
+            passed.append((df.count(), df.agg(F.max(F.length("sums"))).first()[0]))
+        return plain(df, *by)
+
+    monkeypatch.setattr(type(tiles), "groupBy", groupBy)
+    width = margins._width(found[wanted[0].cur, 0], stored, wanted[0].cur) + 1
+    told = margins._newton(tiles, found, wanted, sizes, {n: np.zeros(width) for n in start})
+    assert sorted(told) == sorted(start)
+    blocks = sum(stored.where(F.col("cur") == m.cur).count() for m in wanted)
+    assert blocks > len(wanted) and passed == [(len(wanted) if held else blocks, 8 * (1 + width + width * (width + 1) // 2))]
