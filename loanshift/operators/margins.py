@@ -9,14 +9,19 @@ polynomial and sigmoid kernels. On the map a machine per class minimises
 with the squared hinge loss of support vectors or the logistic loss, by Newton
 steps: a step needs sums over rows of a gradient and a matrix as wide as the
 map, so one job per step serves every machine, and weights alone reach the
-driver. Rows are stored once as blocks of bytes.
+driver. Rows are stored once as blocks of bytes, whatever the number of kernels;
+a task holds a block, and the map of a part of it, at a time. Steps begin where the
+machine without held-out rows ends on the group's first block, which leaves
+few of them to the job over all rows; that one decides when a machine is done.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -28,12 +33,16 @@ from loanshift.functions.names import unused
 from loanshift.session import discard, materialize
 
 BLOCK_ROWS = 1 << 14
+#: Rows of a block that are mapped at a time, and blocks of a row group in storage.
+MAPPED_ROWS, BLOCKS_A_GROUP = 1 << 11, 2
 #: Numbers of a random Fourier map, and landmarks of a Nyström map.
 FOURIER, LANDMARKS = 200, 100
 #: Sums that a task holds before it passes them on.
 HELD_BYTES = 64 << 20
 SEED = 123
 MAX_STEPS = 100
+#: Tolerance of the first block's machines, where those over all blocks begin.
+ROUGH = 1e-3
 NO_FOLD = -1
 BLOCK_SCHEMA = "cur int, block int, n int, x binary, label binary, fold binary"
 
@@ -119,15 +128,20 @@ def blocks(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
         ]
         return pa.table(columns, names=["cur", "block", "n", "x", "label", "fold"])
 
-    return materialize(thin.groupBy("cur", "block").applyInArrow(build, BLOCK_SCHEMA))
+    return materialize(thin.groupBy("cur", "block").applyInArrow(build, BLOCK_SCHEMA), rows_a_group=BLOCKS_A_GROUP)
 
 
 def maps(rows: DataFrame, kernels: list[Kernel], landmarks: int = LANDMARKS) -> dict[tuple[int, int], Map]:
     """A map per group and kernel, from the variance of the group's values and its ``landmarks`` rows of lowest hash."""
     entry = rows.select("cur", F.explode("x").alias("v"))
     spread = {r["cur"]: r["s"] for r in entry.groupBy("cur").agg(F.var_pop("v").alias("s")).collect()}  # one row per group
+    # Hashes alone are ordered first, so that few rows with their values are.
+    drawn = rows.select("cur", F.xxhash64("x").alias("h"))
+    place = F.row_number().over(Window.partitionBy("cur").orderBy("h"))
+    ends = drawn.withColumn("place", place).where(F.col("place") <= landmarks).groupBy("cur").agg(F.max("h").alias("end")).collect()  # one row per group
+    near = reduce(or_, [F.col("cur").eqNullSafe(F.lit(r["cur"])) & (F.xxhash64("x") <= r["end"]) for r in ends], F.lit(False))
     first = Window.partitionBy("cur").orderBy(F.xxhash64("x"), F.col("x"))
-    lowest = rows.select("cur", "x", F.row_number().over(first).alias("place")).where(F.col("place") <= landmarks)
+    lowest = rows.where(near).select("cur", "x", F.row_number().over(first).alias("place")).where(F.col("place") <= landmarks)
     chosen: dict[int, list] = {}
     for r in lowest.collect():  # groups times landmarks
         chosen.setdefault(r["cur"], []).append((r["place"], r["x"]))
@@ -166,18 +180,30 @@ def machines(rows: DataFrame, kernels: list[Kernel], folds: list[int], c: float
     ]
 
 
-def _sums(machine: Machine, z: np.ndarray, y: np.ndarray, weight: np.ndarray, w: np.ndarray) -> np.ndarray:
-    """Loss, gradient and second derivatives (a triangle of them) over the rows of a block, flat, without the penalty."""
-    margin = y * (z @ w)
-    if machine.loss == "hinge":
-        short = np.maximum(1.0 - margin, 0.0)
-        loss, slope, bend = short**2, -2.0 * short * y, np.where(short > 0, 2.0, 0.0)
-    else:
-        p = 1.0 / (1.0 + np.exp(margin))
-        loss, slope, bend = np.logaddexp(0, -margin), -p * y, p * (1 - p)
-    weight = weight * machine.c
-    curved = z * (weight * bend)[:, None]
-    return np.concatenate([[weight @ loss], z.T @ (weight * slope), (z.T @ curved)[np.triu_indices(z.shape[1])]])
+def _sums(own: list[tuple[Machine, np.ndarray]], z: np.ndarray, label: np.ndarray, weights: dict[int, np.ndarray]) -> list[np.ndarray]:
+    """Per machine of one map, at its ``w``: loss, gradient and second derivatives (a triangle of them) over rows, flat, without the penalty.
+
+    ``weights`` are the rows' by held-out fold.
+    """
+    scores = z @ np.stack([w for _, w in own], axis=1)
+    losses, slopes, triangles, upper = [], np.empty_like(scores), [], np.triu_indices(z.shape[1])
+    for k, (m, _) in enumerate(own):
+        y, weight = np.where(label == m.label, 1.0, -1.0), weights[m.held] * m.c
+        margin = y * scores[:, k]
+        if m.loss == "hinge":
+            short = np.maximum(1.0 - margin, 0.0)
+            loss, slope, bend = short**2, -2.0 * short * y, np.where(short > 0, 2.0, 0.0)
+        else:
+            p = 1.0 / (1.0 + np.exp(margin))
+            loss, slope, bend = np.logaddexp(0, -margin), -p * y, p * (1 - p)
+        losses.append(weight @ loss)
+        slopes[:, k] = weight * slope
+        bend = weight * bend
+        live = np.flatnonzero(bend)
+        # A matrix times itself takes half the work, rows without weight none.
+        curved = z[live] * np.sqrt(bend[live])[:, None]
+        triangles.append((curved.T @ curved)[upper])
+    return [np.concatenate([[loss], slope, triangle]) for loss, slope, triangle in zip(losses, (z.T @ slopes).T, triangles)]
 
 
 def fit(
@@ -191,30 +217,37 @@ def fit(
     the others each step is one job, which converged machines leave.
     """
     sizes, spark = _class_sizes(stored), stored.sparkSession
-    many = {r["cur"] for r in stored.groupBy("cur").count().where("count > 1").collect()}  # one row per group
+    blocks_of = {r["cur"]: (r["count"], r["first"]) for r in stored.groupBy("cur").agg(F.count("*").alias("count"), F.min("block").alias("first")).collect()}  # one row per group
+    many = {cur: n for cur, (n, _) in blocks_of.items() if n > 1}
     keys = sorted({(m.cur, m.kernel) for m in wanted})
     if not keys:
         return {}
     cores = spark.sparkContext.defaultParallelism
     listed = F.broadcast(spark.createDataFrame(keys, "cur int, kernel int"))  # groups times kernels
-    # Neighbouring blocks of a group and map share a task, which adds up their sums.
-    tiles = materialize(listed.join(stored, "cur").repartitionByRange(max(cores, min(4 * cores, len(keys))), "cur", "kernel", "block"))
-    widths = {key: found[key](np.zeros((1, _width(found[key], stored, key[0])))).shape[1] + 1 for key in keys}
-    state = {n: _Search(np.zeros(widths[m.cur, m.kernel])) for n, m in enumerate(wanted)}
-    whole = {n: s for n, s in state.items() if wanted[n].cur not in many}
-    results = {}
-    if whole:
-        here = tiles.where(~F.col("cur").isin(sorted(many))) if many else tiles
-        results = _newton_whole(here, found, wanted, sizes, sorted(whole), max_steps, tolerance)
-    rest = {n: s for n, s in state.items() if n not in whole}
-    for _ in range(max_steps):
-        open_ = {n: s.trial for n, s in rest.items() if not s.done}
-        if not open_:
-            break
-        for number, step in _newton(tiles, found, wanted, sizes, open_).items():
-            rest[number].advance(*step, tolerance)
-    discard(tiles)
-    return {m: results[n] if n in results else (rest[n].best, rest[n].done) for n, m in enumerate(wanted)}
+    is_first = F.struct("cur", "block").isin([F.struct(F.lit(cur).alias("cur"), F.lit(first).alias("block")) for cur, (_, first) in blocks_of.items()])
+    spread = max(cores, min(4 * cores, len(keys)))
+    firsts = materialize(listed.join(stored.where(is_first), "cur").repartition(spread, "cur", "kernel"), rows_a_group=BLOCKS_A_GROUP)
+    whole = [m for m in wanted if m.cur not in many]
+    begins = sorted({replace(m, held=NO_FOLD) for m in wanted if m.cur in many}, key=lambda m: (m.cur, m.kernel, m.label, m.loss, m.c))
+    results = _newton_whole(firsts, found, whole, sizes, max_steps, tolerance) if whole else {}
+    begun = _newton_whole(firsts, found, begins, sizes, max_steps, ROUGH, many) if begins else {}
+    discard(firsts)
+    rest = {n: _Search(begun[replace(m, held=NO_FOLD)][0]) for n, m in enumerate(wanted) if m.cur in many}
+    if rest:
+        tiles, enough = stored.where(F.col("cur").isin(list(many))), sum(many.values()) >= 4 * cores
+        if not enough:
+            # Neighbouring blocks of a group and map share a task, which adds up their sums.
+            ranged = listed.join(tiles, "cur").repartitionByRange(spread, "cur", "kernel", "block")
+            tiles = materialize(ranged, rows_a_group=BLOCKS_A_GROUP)
+        for _ in range(max_steps):
+            open_ = {n: s.trial for n, s in rest.items() if not s.done}
+            if not open_:
+                break
+            for number, step in _newton(tiles, found, wanted, sizes, open_).items():
+                rest[number].advance(*step, tolerance)
+        if not enough:
+            discard(tiles)
+    return {m: (rest[n].best, rest[n].done) if n in rest else results[m] for n, m in enumerate(wanted)}
 
 
 def _width(found: Map, stored: DataFrame, cur: int) -> int:
@@ -235,7 +268,7 @@ def _class_sizes(stored: DataFrame) -> dict[tuple[int, int, int], int]:
                 columns = [pa.array(np.full(len(n), row["cur"], np.int32)), pa.array(kinds[0]), pa.array(kinds[1]), pa.array(n)]
                 yield pa.RecordBatch.from_arrays(columns, names=["cur", "label", "fold", "n"])
 
-    counts = stored.mapInArrow(count, "cur int, label int, fold int, n long").groupBy("cur", "label", "fold").agg(F.sum("n").alias("n"))
+    counts = stored.select("cur", "label", "fold").mapInArrow(count, "cur int, label int, fold int, n long").groupBy("cur", "label", "fold").agg(F.sum("n").alias("n"))
     return {(r["cur"], r["label"], r["fold"]): r["n"] for r in counts.collect()}  # groups times classes times folds
 
 
@@ -272,9 +305,17 @@ def _weights(m: Machine, sizes: dict, label: np.ndarray, fold: np.ndarray) -> np
     return weight
 
 
-def _mapped(row: dict, found: Map) -> np.ndarray:
+def _parts(row: dict) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Values, labels and folds of a block, some rows at a time."""
     x = np.frombuffer(row["x"]).reshape(row["n"], -1)
-    return np.concatenate([found(x), np.ones((row["n"], 1))], axis=1)
+    label, fold = np.frombuffer(row["label"], np.int32), np.frombuffer(row["fold"], np.int32)
+    for at in range(0, len(x), MAPPED_ROWS):
+        some = slice(at, at + MAPPED_ROWS)
+        yield x[some], label[some], fold[some]
+
+
+def _mapped(x: np.ndarray, found: Map) -> np.ndarray:
+    return np.concatenate([found(x), np.ones((len(x), 1))], axis=1)
 
 
 def _step(sums: np.ndarray, w: np.ndarray) -> tuple[float, float, np.ndarray]:
@@ -287,39 +328,46 @@ def _step(sums: np.ndarray, w: np.ndarray) -> tuple[float, float, np.ndarray]:
     return float(sums[0] + 0.5 * (plain * w) @ w), float(slope @ direction), direction
 
 
-def _newton_whole(tiles: DataFrame, found: dict, wanted: list[Machine], sizes: dict, numbers: list[int], max_steps: int, tolerance: float) -> dict:
-    """Machines of groups that fit in one block, each trained to the end where the block is."""
+def _newton_whole(tiles: DataFrame, found: dict, wanted: list[Machine], sizes: dict, max_steps: int, tolerance: float, blocks_of: dict | None = None) -> dict:
+    """Machines trained to the end where a block is, which has all rows of its group, or one part in ``blocks_of``."""
     by_tile: dict[tuple[int, int], list[int]] = {}
-    for number in numbers:
-        by_tile.setdefault((wanted[number].cur, wanted[number].kernel), []).append(number)
+    for number, m in enumerate(wanted):
+        by_tile.setdefault((m.cur, m.kernel), []).append(number)
     shared = tiles.sparkSession.sparkContext.broadcast(found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                key = (row["cur"], row["kernel"])
-                z, label, fold = _mapped(row, shared.value[key]), np.frombuffer(row["label"], np.int32), np.frombuffer(row["fold"], np.int32)
-                for number in by_tile.get(key, []):
-                    m, search = wanted[number], _Search(np.zeros(z.shape[1]))
-                    y, weight = np.where(label == m.label, 1.0, -1.0), _weights(m, sizes, label, fold)
-                    learns = weight > 0
-                    own, y, weight = z[learns], y[learns], weight[learns]
+            for n in range(batch.num_rows):
+                key = (batch["cur"][n].as_py(), batch["kernel"][n].as_py())
+                if key not in by_tile:
+                    continue
+                [row] = batch.slice(n, 1).to_pylist()
+                parts, times = list(_parts(row)), (blocks_of or {}).get(key[0], 1)
+                mapped = [_mapped(x, shared.value[key]) for x, _, _ in parts]
+                for number in by_tile[key]:
+                    m, search = wanted[number], _Search(np.zeros(mapped[0].shape[1]))
+                    weights = [{m.held: times * _weights(m, sizes, label, fold)} for _, label, fold in parts]
                     for _ in range(max_steps):
-                        search.advance(*_step(_sums(m, own, y, weight, search.trial), search.trial), tolerance)
+                        sums = [_sums([(m, search.trial)], z, label, w)[0] for z, (_, label, _), w in zip(mapped, parts, weights)]
+                        search.advance(*_step(sum(sums), search.trial), tolerance)
                         if search.done:
                             break
                     arrays = [pa.array([number], pa.int32()), pa.array([search.best.tolist()]), pa.array([search.done])]
                     yield pa.RecordBatch.from_arrays(arrays, names=["number", "w", "done"])
 
     told = tiles.mapInArrow(run, "number int, w array<double>, done boolean").collect()
-    return {r["number"]: (np.array(r["w"]), r["done"]) for r in told}
+    shared.unpersist()
+    return {wanted[r["number"]]: (np.array(r["w"]), r["done"]) for r in told}
 
 
 def _newton(tiles: DataFrame, found: dict, wanted: list[Machine], sizes: dict, open_: dict[int, np.ndarray]) -> dict:
-    """Objective, slope and Newton direction per open machine: one job over all blocks and maps."""
-    by_tile: dict[tuple[int, int], list[int]] = {}
+    """Objective, slope and Newton direction per open machine: one job over all blocks and maps.
+
+    A tile is a block under one ``kernel``, or without that column under all of its group's.
+    """
+    by_cur: dict[int, dict[int, list[int]]] = {}
     for number in open_:
-        by_tile.setdefault((wanted[number].cur, wanted[number].kernel), []).append(number)
+        by_cur.setdefault(wanted[number].cur, {}).setdefault(wanted[number].kernel, []).append(number)
     shared = tiles.sparkSession.sparkContext.broadcast((found, open_))  # maps and weights, as many as there are machines
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -333,16 +381,20 @@ def _newton(tiles: DataFrame, found: dict, wanted: list[Machine], sizes: dict, o
 
         for batch in batches:
             for n in range(batch.num_rows):
-                [row] = batch.slice(n, 1).to_pylist()  # a block is megabytes
-                key = (row["cur"], row["kernel"])
-                if key not in by_tile:
+                cur = batch["cur"][n].as_py()
+                kernels = by_cur.get(cur, {})
+                if "kernel" in batch.schema.names:
+                    kernels = {k: own for k, own in kernels.items() if k == batch["kernel"][n].as_py()}
+                if not kernels:
                     continue
-                z, label, fold = _mapped(row, all_maps[key]), np.frombuffer(row["label"], np.int32), np.frombuffer(row["fold"], np.int32)
-                for number in by_tile[key]:
-                    m = wanted[number]
-                    y = np.where(label == m.label, 1.0, -1.0)
-                    sums = _sums(m, z, y, _weights(m, sizes, label, fold), trials[number])
-                    held[number] = held[number] + sums if number in held else sums
+                [row] = batch.slice(n, 1).to_pylist()  # a block is megabytes
+                for x, label, fold in _parts(row):
+                    weights = {}
+                    for kernel, numbers in kernels.items():
+                        z, own = _mapped(x, all_maps[cur, kernel]), [(wanted[number], trials[number]) for number in numbers]
+                        weights.update({m.held: _weights(m, sizes, label, fold) for m, _ in own if m.held not in weights})
+                        for number, sums in zip(numbers, _sums(own, z, label, weights)):
+                            held[number] = held[number] + sums if number in held else sums
                 if sum(x.nbytes for x in held.values()) > HELD_BYTES:
                     yield from told()
         yield from told()
@@ -359,6 +411,7 @@ def _newton(tiles: DataFrame, found: dict, wanted: list[Machine], sizes: dict, o
 
     summed = tiles.mapInArrow(parts, "number int, sums binary").groupBy("number")
     rows = summed.applyInArrow(solve, "number int, value double, slope double, direction array<double>").collect()
+    shared.unpersist()
     return {r["number"]: (r["value"], r["slope"], np.array(r["direction"])) for r in rows}
 
 

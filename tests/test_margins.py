@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -173,3 +174,37 @@ def test_a_task_adds_up_the_sums_of_its_blocks(data, monkeypatch, held):
     assert sorted(told) == sorted(start)
     blocks = sum(stored.where(F.col("cur") == m.cur).count() for m in wanted)
     assert blocks > len(wanted) and passed == [(len(wanted) if held else blocks, 8 * (1 + width + width * (width + 1) // 2))]
+
+
+def test_row_groups_hold_few_blocks_and_blocks_are_not_copied_per_kernel(data, monkeypatch):
+    (_, rows), kernels = data, [Kernel("linear"), Kernel("rbf")]
+    stored, found = margins.blocks(rows, block_rows=2), margins.maps(rows, kernels)
+    files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in stored.inputFiles()]
+    assert max(f.num_rows for f in files) > margins.BLOCKS_A_GROUP
+    assert all(f.row_group(k).num_rows <= margins.BLOCKS_A_GROUP for f in files for k in range(f.num_row_groups))
+    assert stored.count() >= 4 * rows.sparkSession.sparkContext.defaultParallelism
+    read, plain_step = [], margins._newton
+
+    def newton(tiles, *more):
+        read.append(tiles.count())
+        return plain_step(tiles, *more)
+
+    monkeypatch.setattr(margins, "_newton", newton)
+    fitted = margins.fit(stored, found, margins.machines(rows, kernels, [margins.NO_FOLD]))
+    assert all(done for _, done in fitted.values()) and set(read) == {stored.count()}
+
+
+def test_steps_over_all_blocks_begin_near_their_end(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(4000, 3))
+    rows = [(0, own.tolist(), int(own[0] + 0.5 * rng.normal() > 0), i % 3) for i, own in enumerate(x)]
+    table, kernel = spark.createDataFrame(rows, "cur int, x array<double>, label int, fold int"), Kernel("rbf")
+    steps, plain_step = [], margins._newton
+    monkeypatch.setattr(margins, "_newton", lambda *a: steps.append(a[-1]) or plain_step(*a))
+    found = margins.maps(table, [kernel])
+    wanted = margins.machines(table, [kernel], [0, 1, 2], loss="logistic")
+    many = margins.fit(margins.blocks(table, 2000), found, wanted)
+    assert all(w.any() for w in steps[0].values()) and len(steps) <= 5 and all(done for _, done in many.values())
+    whole = margins.fit(margins.blocks(table, 4000), found, wanted)
+    for m in wanted:
+        assert many[m][0] == pytest.approx(whole[m][0], abs=0.02)
